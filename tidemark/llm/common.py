@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: The columns of the documents table, in order.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -33,11 +35,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict | None]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict | None]], schema: str | StructType) -> DataFrame:
     """Rows of each Arrow batch to columns of other rows. make() runs once a task and returns the function of a batch."""
-    out = df.sparkSession.createDataFrame([], schema).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
+    out = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,7 +45,8 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
         for batch in batches:
             columns = step(batch)
             if columns is not None:
-                yield pa.RecordBatch.from_arrays([x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, f.type, from_pandas=True) for f in arrow for x in [columns[f.name]]], schema=arrow)
+                arrays = [x if isinstance(x, pa.Array) else pa.array(x, f.type, from_pandas=True) for f in arrow for x in [columns[f.name]]]
+                yield pa.RecordBatch.from_arrays(arrays, names=arrow.names)
 
     return df.mapInArrow(run, out)
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tidemark.llm.quality import op7_host_quality
 from tidemark.llm.sharding import op5_sharding
 
 QUERIES = {
     "op5_sharding": op5_sharding,
+    "op7_host_quality": op7_host_quality,
 }
 
 #: DuckDB SQL where it can express a query over whole tables.
