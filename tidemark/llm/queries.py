@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from tidemark.llm.quality import op7_host_quality
 from tidemark.llm.sharding import op5_sharding
+from tidemark.llm.simhash import op2_simhash
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op5_sharding": op5_sharding,
     "op7_host_quality": op7_host_quality,
 }
