@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontamination import op4_winnowing
 from tidemark.llm.quality import op7_host_quality
 from tidemark.llm.sharding import op5_sharding
 from tidemark.llm.simhash import op2_simhash
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op4_winnowing": op4_winnowing,
     "op5_sharding": op5_sharding,
     "op7_host_quality": op7_host_quality,
 }
