@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.decontamination import op4_winnowing
+from tidemark.llm.language import op10_language
 from tidemark.llm.packing import op9_packing
 from tidemark.llm.quality import op7_host_quality
 from tidemark.llm.sharding import op5_sharding
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op7_host_quality": op7_host_quality,
     "op9_packing": op9_packing,
+    "op10_language": op10_language,
 }
 
 #: DuckDB SQL where it can express a query over whole tables.
