@@ -8,12 +8,14 @@ from tidemark.llm.packing import op9_packing
 from tidemark.llm.quality import op7_host_quality
 from tidemark.llm.sharding import op5_sharding
 from tidemark.llm.simhash import op2_simhash
+from tidemark.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op4_winnowing": op4_winnowing,
     "op5_sharding": op5_sharding,
     "op7_host_quality": op7_host_quality,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_language": op10_language,
 }
