@@ -8,10 +8,12 @@ from tidemark.llm.packing import op9_packing
 from tidemark.llm.quality import op7_host_quality
 from tidemark.llm.sharding import op5_sharding
 from tidemark.llm.simhash import op2_simhash
+from tidemark.llm.token_counts import op3_token_counts
 from tidemark.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_token_counts": op3_token_counts,
     "op4_winnowing": op4_winnowing,
     "op5_sharding": op5_sharding,
     "op7_host_quality": op7_host_quality,

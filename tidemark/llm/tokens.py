@@ -10,9 +10,11 @@ one go to the tokenizers library, as do texts beyond printable Latin-1.
 
 from __future__ import annotations
 
+import base64
 import json
 import sys
 import types
+from collections.abc import Callable
 from struct import pack
 
 import numpy as np
@@ -22,6 +24,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Chunks that a worker remembers before it starts anew.
 REMEMBERED = 400_000
 
@@ -120,3 +123,14 @@ def word_bpe(path: str, doubtful: frozenset[int]) -> WordBpe:
     if path not in cache:
         cache[path] = WordBpe(path, doubtful)
     return cache[path]
+
+
+def byte_bpe(path: str) -> Callable[[str | None], np.ndarray]:
+    """The process's own encoder of a file of ranks: unsigned 32-bit ids of a text, none for a null."""
+    cache = worker_cache()
+    if path not in cache:
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        cache[path] = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encode = cache[path].encode_ordinary
+    return lambda text: np.array(encode(text), "<u4") if text else np.empty(0, "<u4")
