@@ -6,6 +6,7 @@ from tidemark.llm.decontamination import op4_winnowing
 from tidemark.llm.language import op10_language
 from tidemark.llm.packing import op9_packing
 from tidemark.llm.quality import op7_host_quality
+from tidemark.llm.scoring import op6_pseudo_likelihood
 from tidemark.llm.sharding import op5_sharding
 from tidemark.llm.simhash import op2_simhash
 from tidemark.llm.token_counts import op3_token_counts
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_winnowing": op4_winnowing,
     "op5_sharding": op5_sharding,
+    "op6_pseudo_likelihood": op6_pseudo_likelihood,
     "op7_host_quality": op7_host_quality,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
