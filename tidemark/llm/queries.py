@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.decontamination import op4_winnowing
 from tidemark.llm.language import op10_language
 from tidemark.llm.packing import op9_packing
+from tidemark.llm.pii import op1_contextual_pii
 from tidemark.llm.quality import op7_host_quality
 from tidemark.llm.scoring import op6_pseudo_likelihood
 from tidemark.llm.sharding import op5_sharding
@@ -13,6 +14,7 @@ from tidemark.llm.token_counts import op3_token_counts
 from tidemark.llm.toxicity import op8_toxicity
 
 QUERIES = {
+    "op1_contextual_pii": op1_contextual_pii,
     "op2_simhash": op2_simhash,
     "op3_token_counts": op3_token_counts,
     "op4_winnowing": op4_winnowing,
