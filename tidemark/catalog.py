@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from tidemark.plans import analytics, ingestion, streams
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = analytics.QUERIES | ingestion.QUERIES | streams.QUERIES
+ORACLE_SQL: dict[str, str] = analytics.ORACLE_SQL | ingestion.ORACLE_SQL | streams.ORACLE_SQL
