@@ -26,8 +26,9 @@ KINDS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 CONTEXT = "context"
-#: Strings of an identifier's shape: letters and digits, joined by single marks.
-SHAPE = r"(?<![A-Za-z0-9])[A-Za-z0-9]++(?:[._@/+:-][A-Za-z0-9]++)*+"
+#: Strings of an identifier's shape: letters and digits, joined by single marks, with a digit early on. Plain
+#: words are none, so that they stand between matches as context.
+SHAPE = r"(?<![A-Za-z0-9])(?=[A-Za-z._@/+:-]{0,64}+[0-9])[A-Za-z0-9]++(?:[._@/+:-][A-Za-z0-9]++)*+"
 LEAST_DIGITS, LEAST_LENGTH = 4, 6
 #: Characters on either side in which context words are sought.
 REACH = 64
