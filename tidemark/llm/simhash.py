@@ -254,6 +254,16 @@ def links(fps: DataFrame) -> DataFrame:
     return linked
 
 
+def _rooted(rows: DataFrame) -> DataFrame:
+    """rows of doc_id and fingerprint with component_id and root, one fingerprint of the component."""
+    fps = written(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")), "fingerprints")
+    roots = written(components(links(fps)), "roots")
+    labelled = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    heads = labelled.groupBy(F.col("root").alias("head")).agg(F.min("least").alias("component_id"))
+    table = labelled.join(heads, F.col("root") == F.col("head")).select("fp", "root", "component_id")
+    return rows.join(table, rows["fingerprint"] == table["fp"], "left").drop("fp")
+
+
 def classed(rows: DataFrame) -> DataFrame:
     """rows of doc_id and fingerprint with component_id, the least doc_id that links reach.
 
@@ -261,12 +271,7 @@ def classed(rows: DataFrame) -> DataFrame:
     rows has a null id. Copies share a fingerprint and so a component. An empty table gives
     no rows.
     """
-    fps = written(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")), "fingerprints")
-    roots = written(components(links(fps)), "roots")
-    labelled = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    heads = labelled.groupBy(F.col("root").alias("head")).agg(F.min("least").alias("component_id"))
-    table = labelled.join(heads, F.col("root") == F.col("head")).select("fp", "component_id")
-    return rows.join(table, rows["fingerprint"] == table["fp"], "left").drop("fp")
+    return _rooted(rows).drop("root")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -275,14 +280,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of docs, one of each component: that of its least doc_id, one of them if that id repeats."""
+    """One row of docs of each component: that of its least doc_id (a null one only if there is no other, the least
+    fingerprint of an id that repeats, and any of rows that repeat wholly). A column fingerprint gives way."""
     table = written(fingerprinted(docs), "simhash")
-    narrow = table.select("doc_id", "fingerprint")
-    heads = written(classed(narrow).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", "fingerprint").agg(F.count(F.lit(1)).alias("copies")), "heads")
-    keyed = heads.select(F.col("component_id").alias("_head"), F.col("fingerprint").alias("_fp"))
-    kept = table.join(keyed, table["doc_id"].eqNullSafe(F.col("_head")) & (table["fingerprint"] == F.col("_fp")), "left_semi")
-    if not heads.where("copies > 1").isEmpty() or heads.count() > heads.select("component_id").distinct().count():
-        kept = kept.dropDuplicates(["doc_id"])  # a doc_id that repeats
+    each = _rooted(table.select("doc_id", "fingerprint")).groupBy("root", "doc_id", "fingerprint").agg(F.count(F.lit(1)).alias("copies"))
+    first = F.min_by(F.struct("doc_id", "fingerprint", "copies"), F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("fingerprint")))
+    heads = written(each.groupBy("root").agg(first.alias("h")).select(F.col("h.doc_id").alias("_id"), F.col("h.fingerprint").alias("_fp"), "h.copies"), "heads")
+    kept = table.join(heads, table["doc_id"].eqNullSafe(F.col("_id")) & (table["fingerprint"] == F.col("_fp")), "left_semi")
+    if not heads.where("copies > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "fingerprint"])
     return kept.drop("fingerprint")
 
 
