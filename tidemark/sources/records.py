@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import StructType
 
 from tidemark import schemas
 from tidemark.functions import text as T
@@ -16,20 +16,15 @@ def json_records(spark: SparkSession, path: str, schema: StructType) -> DataFram
     Items that aren't objects are dropped. An error is raised if none is left.
     """
     whole = spark.read.text(path, wholetext=True).select(F.trim("value").alias("value"))
-    array = F.from_json("value", ArrayType(schema))
-    out = whole.where(F.col("value").startswith("[")).select(F.explode(array).alias("r"))
-    # one object over several lines, or an object a line
-    objects = spark.read.schema(schema.add("_bad", "string") if "_bad" not in schema.names else schema).option("columnNameOfCorruptRecord", "_bad").option("multiLine", True).json(path)
-    lines = spark.read.text(path).select(F.trim("value").alias("value")).where(F.col("value").startswith("{"))
-    is_lines = lines.where(F.col("value").endswith("}")).select(F.from_json("value", schema).alias("r"))
-    if not out.isEmpty():
-        found = out.where("r is not null").select("r.*")
-    elif not is_lines.isEmpty():
-        found = is_lines.select("r.*")
-    else:
-        found = objects.where("_bad is null").drop("_bad")
-    found = found.select(*[c for c in schema.names if c != "_bad"])
-    found = found.where(F.coalesce(*(F.col(c).cast("string") for c in found.columns)).isNotNull())
+    items = whole.where(F.col("value").startswith("[")).select(F.explode(F.from_json("value", "array<string>")).alias("value"))
+    objects = items.where(F.ltrim("value").startswith("{"))
+    if objects.isEmpty():  # one object over any number of lines, or else one a line
+        objects = whole.where(F.col("value").startswith("{") & (F.size(F.split("value", r"\}\s*\n\s*\{")) == 1))
+    parsed = lambda texts: texts.select(F.from_json("value", schema).alias("r")).select("r.*").where(F.coalesce(*(F.col(c).cast("string") for c in schema.names)).isNotNull())
+    found = parsed(objects)
+    if found.isEmpty():
+        lines = spark.read.text(path).select(F.trim("value").alias("value"))
+        found = parsed(lines.where(F.col("value").startswith("{")))
     if found.isEmpty():
         raise ValueError(f"no valid record in {path}")
     return found
