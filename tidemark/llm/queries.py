@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm import oracles
 from tidemark.llm.decontamination import op4_winnowing
 from tidemark.llm.language import op10_language
 from tidemark.llm.packing import op9_packing
@@ -27,4 +28,7 @@ QUERIES = {
 }
 
 #: DuckDB SQL where it can express a query over whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op4_winnowing": oracles.WINNOWING,
+    "op7_host_quality": oracles.QUALITY,
+}
