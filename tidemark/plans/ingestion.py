@@ -33,18 +33,18 @@ def _time(text: str):
 
 
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The events of a table's earlier rows and of a batch that is merged into it: together all events."""
+    """A table's events (likes and skips) and those of a batch that is merged into it: together all events."""
     events = A.events(spark, sf_dir)
-    odd = F.col("event_id").cast("long") % 2 == 1
-    return events.where(~odd), events.where(odd)
+    old = F.col("event").isin("like", "skip")
+    return events.where(old), events.where(~old)
 
 
 def _stamped(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("created_at", _time(text)).withColumn("updated_at", _time(text))
 
 
-_SIDES_SQL = WEIGHED_SQL + """, old AS (SELECT user_id, episode_id, day, sum(weight) AS engagement, count(*) AS num_events, max(ts) AS last_ts FROM weighed WHERE CAST(event_id AS BIGINT) % 2 = 0 GROUP BY ALL),
-new AS (SELECT user_id, episode_id, day, sum(weight) AS engagement, count(*) AS num_events, max(ts) AS last_ts FROM weighed WHERE CAST(event_id AS BIGINT) % 2 = 1 GROUP BY ALL)"""
+_SIDES_SQL = WEIGHED_SQL + """, old AS (SELECT user_id, episode_id, day, sum(weight) AS engagement, count(*) AS num_events, max(ts) AS last_ts FROM weighed WHERE event IN ('like', 'skip') GROUP BY ALL),
+new AS (SELECT user_id, episode_id, day, sum(weight) AS engagement, count(*) AS num_events, max(ts) AS last_ts FROM weighed WHERE event NOT IN ('like', 'skip') GROUP BY ALL)"""
 
 
 @query(
@@ -82,7 +82,7 @@ def merge_update_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {EVENTS_SQL}, liked AS (SELECT *, CAST(event_id AS BIGINT) % 2 AS side FROM ev WHERE (event IN ('like', 'complete') OR (event = 'rate' AND rating >= 4)) AND episode_id IS NOT NULL),
+    f"""WITH {EVENTS_SQL}, liked AS (SELECT *, CASE WHEN event IN ('like', 'skip') THEN 0 ELSE 1 END AS side FROM ev WHERE (event IN ('like', 'complete') OR (event = 'rate' AND rating >= 4)) AND episode_id IS NOT NULL),
     old AS (SELECT user_id, episode_id, max(ts) AS a FROM liked WHERE side = 0 GROUP BY ALL), new AS (SELECT user_id, episode_id, max(ts) AS b FROM liked WHERE side = 1 GROUP BY ALL)
     SELECT user_id, episode_id, coalesce(a, b) AS first_seen_at, coalesce(b, a) AS last_seen_at FROM old FULL JOIN new USING (user_id, episode_id)"""
 )
@@ -92,7 +92,7 @@ def merge_set_on_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merges.set_on_insert(["user_id", "episode_id"])(target, new)
 
 
-_LATEST_SQL = "CASE WHEN CAST(event_id AS BIGINT) % 7 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%dT%H:%M') END"
+_LATEST_SQL = "CASE WHEN event = 'skip' THEN NULL ELSE strftime(ts, '%Y-%m-%dT%H:%M') END"
 
 
 @query(
@@ -101,7 +101,7 @@ _LATEST_SQL = "CASE WHEN CAST(event_id AS BIGINT) % 7 = 0 THEN NULL ELSE strftim
 )
 def upsert_keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.col("event_id").cast("long")
-    rows = A.events(spark, sf_dir).select("user_id", "episode_id", "event", F.when(seq % 7 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm")).alias("ingest_ts"), seq.alias("seq"))
+    rows = A.events(spark, sf_dir).select("user_id", "episode_id", "event", F.when(F.col("event") != "skip", F.date_format("ts", "yyyy-MM-dd'T'HH:mm")).alias("ingest_ts"), seq.alias("seq"))
     return merges.latest(rows, ["user_id", "episode_id"], "ingest_ts", "seq")
 
 
@@ -115,14 +115,17 @@ def schema_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH t AS (SELECT CAST(doc_id AS VARCHAR) AS episode_id, doc_id % 3 = 0 AS failed, CAST(doc_id % 5 AS INTEGER) AS retry_count FROM documents),
-    e AS (SELECT CAST(page_id AS VARCHAR) AS episode_id, regexp_extract(html, '<title>([^<]*)', 1) AS episode_title, CASE WHEN page_id % 4 = 0 THEN '' ELSE url END AS audio_url FROM pages)
+    """WITH t AS (SELECT CAST(doc_id AS VARCHAR) AS episode_id, quality = 0 OR toxic = 1 AS failed, CAST(1 - quality + 2 * toxic AS INTEGER) AS retry_count FROM labels),
+    e AS (SELECT CAST(page_id AS VARCHAR) AS episode_id, regexp_extract(html, '<title>([^<]*)', 1) AS episode_title, CASE WHEN url LIKE '%#%' THEN '' ELSE url END AS audio_url FROM pages)
     SELECT episode_id, retry_count, episode_title, audio_url FROM t JOIN e USING (episode_id) WHERE failed AND retry_count < 3 AND audio_url <> ''"""
 )
 def retry_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = A.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("episode_id"), (F.col("doc_id") % 3 == 0).alias("failed"), (F.col("doc_id") % 5).cast("string").alias("retry_count"))
-    pages = A.table(spark, sf_dir, "pages").select(F.col("page_id").alias("episode_id"), F.regexp_extract("html", "<title>([^<]*)", 1).alias("episode_title"), F.when(F.col("page_id") % 4 == 0, "").otherwise(F.col("url")).alias("audio_url"))
-    return ingest.retry_queue(docs, pages)
+    # labels stand for transcripts: bad ones failed, and the two labels give the retries so far
+    failed, count = (F.col("quality") == 0) | (F.col("toxic") == 1), (1 - F.col("quality") + 2 * F.col("toxic")).cast("string")
+    transcripts = A.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("episode_id"), failed.alias("failed"), count.alias("retry_count"))
+    url = F.when(F.contains("url", F.lit("#")), "").otherwise(F.col("url"))
+    pages = A.table(spark, sf_dir, "pages").select(F.col("page_id").alias("episode_id"), F.regexp_extract("html", "<title>([^<]*)", 1).alias("episode_title"), url.alias("audio_url"))
+    return ingest.retry_queue(transcripts, pages)
 
 
 @query("SELECT user_id AS key, max(event_id) AS \"offset\", arg_max(event_type, event_id) AS value FROM events GROUP BY ALL")
@@ -164,12 +167,12 @@ def transcript_hygiene(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.where(F.length("transcript") > 0)
 
 
-@query("SELECT CAST(page_id AS VARCHAR) AS episode_id, CASE WHEN page_id % 5 = 0 THEN NULL ELSE url END AS audio_url FROM pages")
+@query("SELECT CAST(page_id AS VARCHAR) AS episode_id, CASE WHEN url LIKE '%?%' THEN NULL ELSE url END AS audio_url FROM pages")
 def json_payload_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # every fifth payload is broken, and of every third the id is only in the key
-    page = F.col("page_id")
-    payload = F.to_json(F.struct(F.when(page % 3 != 0, page.cast("string")).alias("episode_id"), F.col("url").alias("audio_url")))
-    messages = A.table(spark, sf_dir, "pages").select(page.cast("string").alias("key"), F.when(page % 5 == 0, "{broken").otherwise(payload).cast("binary").alias("value"))
+    # payloads of addresses with a query are broken, and of secure ones the id is only in the key
+    page, url = F.col("page_id").cast("string"), F.col("url")
+    payload = F.to_json(F.struct(F.when(~url.startswith("https"), page).alias("episode_id"), url.alias("audio_url")))
+    messages = A.table(spark, sf_dir, "pages").select(page.alias("key"), F.when(F.contains(url, F.lit("?")), "{broken").otherwise(payload).cast("binary").alias("value"))
     return records.parsed_messages(messages).select("episode_id", "audio_url")
 
 
