@@ -84,15 +84,7 @@ def fingerprint(text):
 
 def test_op2(spark, small, texts):
     got = {r["doc_id"]: r for r in Q["op2_simhash"](spark, small).collect()}
-    prints = {d: fingerprint(t) for d, t in texts.items()}
-    least = {d: d for d in texts}
-    changed = True
-    while changed:
-        changed = False
-        for a in texts:
-            for b in texts:
-                if least[a] > least[b] and (prints[a] ^ prints[b]).bit_count() <= 4:
-                    least[a], changed = least[b], True
+    prints, least = components_of(texts)
     assert {d: (r["fingerprint"], r["component_id"]) for d, r in got.items()} == {d: (f"{prints[d]:016x}", least[d]) for d in texts}
 
 
@@ -234,23 +226,6 @@ def test_network_learns(spark):
     assert z[np.arange(len(runs)), runs[:, 2]].mean() > -0.7
 
 
-def test_op7(spark, small, texts):
-    for r in Q["op7_host_quality"](spark, small).collect():
-        text = texts[r["doc_id"]] or ""
-        words = re.findall(r"[^\x20\x09-\x0D]+", text)
-        windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
-        counts, covered, seen, same = Counter(windows), set(), set(), 0
-        for i, w in enumerate(windows):
-            if counts[w] > 1:
-                covered |= set(range(i, i + 5))
-        for line in text.split("\n"):
-            if re.search(r"[^\x20\x09-\x0D]", line):
-                same += line in seen
-                seen.add(line)
-        assert [r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")] == [len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), same, len(covered)]
-        assert r["base_failed"] == (len(words) < 10 or 100 * len(covered) > 20 * len(words)) and not (r["kept"] and r["base_failed"])
-
-
 def test_a_bad_host_loses_its_doubtful_documents_only(spark):
     from tidemark.llm.quality import judged
 
@@ -334,12 +309,87 @@ def test_ids_are_the_tokenizers_own():
         assert bpe.ids(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
+def figures(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    counts, covered, seen, same = Counter(windows), set(), set(), 0
+    for i, w in enumerate(windows):
+        if counts[w] > 1:
+            covered |= set(range(i, i + 5))
+    for line in (text or "").split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            same += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), same, len(covered)
+
+
+def failures(text):
+    n, chars, symbols, same, repeated = figures(text)
+    return [n < 10, 100 * repeated > 20 * n, 100 * symbols > 25 * n, same >= 3 and same * 20 > n, n > 0 and not 3 * n <= chars <= 14 * n]
+
+
+def test_op7(spark, small, texts):
+    hosts = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    kept = kept_by_quality(texts, hosts)
+    for r in Q["op7_host_quality"](spark, small).collect():
+        assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == figures(texts[r["doc_id"]])
+        assert r["base_failed"] == any(failures(texts[r["doc_id"]])[:2]) and r["kept"] == (r["doc_id"] in kept)
+
+
+def kept_by_quality(texts, hosts):
+    fails = {d: failures(t) for d, t in texts.items()}
+    by_host = defaultdict(list)
+    for d in texts:
+        by_host[hosts[d]].append(fails[d])
+    total, bad = len(texts), defaultdict(set)
+    for rule in range(5):
+        rates = {h: (len(f), sum(x[rule] for x in f)) for h, f in by_host.items()}
+        mean = sum(k for _, k in rates.values()) / total
+        between = sum(k * k / n for n, k in rates.values()) / total - mean * mean - mean * (1 - mean) * len(rates) / total
+        weight = min(10_000, max(1, mean * (1 - mean) / between - 1)) if between > 0 else 10_000
+        for h, (n, k) in rates.items():
+            if (k + weight * mean) / (n + weight) > 0.5:
+                bad[h].add(rule)
+    return {d for d in texts if not any(fails[d][:2]) and not any(fails[d][r] for r in bad[hosts[d]])}
+
+
+def components_of(texts):
+    prints, least, changed = {d: fingerprint(t) for d, t in texts.items()}, {d: d for d in texts}, True
+    while changed:
+        changed = False
+        for a in texts:
+            for b in texts:
+                if least[a] > least[b] and (prints[a] ^ prints[b]).bit_count() <= 4:
+                    least[a], changed = least[b], True
+    return prints, least
+
+
+def redacted(text):
+    spans = sorted((int(a), int(b), kind.upper()) for kind, a, b in (x.split(":") for x in base_spans(text).split(",") if x))
+    out, at = [], 0
+    for k, (a, b, kind) in enumerate(spans):
+        if a >= at or not k:
+            out += [text[at:a], f"[{kind}]"]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
 def test_pipeline(spark, small, texts):
+    """All stages against plain Python; the smallest tables have no contexts beyond the seeds'."""
     import corpus_pipeline
 
-    rows = corpus_pipeline.run(spark, small).collect()
-    kept = {r["doc_id"] for r in rows}
-    good = {r["doc_id"] for r in Q["op7_host_quality"](spark, small).where("kept").collect()}
-    hits = {r["doc_id"] for r in Q["op4_winnowing"](spark, small).where("contaminated").collect()}
-    assert kept and kept <= good - hits
-    assert all(r["doc_id"] in texts for r in rows)
+    hosts = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    contaminated = {r["doc_id"] for r in Q["op4_winnowing"](spark, small).where("contaminated").collect()}  # itself tested above
+    left = {d: texts[d] for d in kept_by_quality(texts, hosts)}
+    left = {d: left[d] for d, head in components_of(left)[1].items() if head == d}
+    left = {d: redacted(t) for d, t in left.items() if d not in contaminated}
+    pieces = defaultdict(list)
+    for r in corpus_pipeline.run(spark, small).collect():
+        pieces[r["doc_id"]].append(r)
+    assert set(pieces) == set(left)
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for d, t in left.items():
+        ids = [*whole.encode(t, add_special_tokens=False).ids, 2]
+        own = sorted(pieces[d], key=lambda r: r["start"])
+        assert [(r["start"], r["ids_crc32"]) for r in own] == [(a, zlib.crc32(np.array(ids[a : a + r["length"]], "<u4").tobytes())) for a, r in zip(np.cumsum([0, *(r["length"] for r in own)]).tolist(), own, strict=False)]
+        assert sum(r["length"] for r in own) == len(ids)
