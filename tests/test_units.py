@@ -267,6 +267,11 @@ def test_ingestion(spark):
     assert rows(ingest.unseen(new, new.limit(0)), "episode_id") == [("5",), ("6",)] == rows(ingest.unseen(new, None), "episode_id")
 
 
+def test_known_ids_are_normalised_keys(spark):
+    df = spark.createDataFrame([(b"ep-12",), (b"12",), (b"x",), (None,)], "key binary")
+    assert rows(ingest.known_ids(df)) == [("12",), ("x",)]
+
+
 def test_poll_stops_at_the_first_new_batch(spark):
     log = spark.createDataFrame([(i, f"e{i}") for i in range(20)], "offset long, episode_id string")
     poll = lambda known: ingest.poll_until_new(log, spark.createDataFrame([(f"e{i}",) for i in range(known)], "episode_id string"), 4)

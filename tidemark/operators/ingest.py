@@ -15,6 +15,12 @@ def unseen(df: DataFrame, known: DataFrame | None, key: str = "episode_id") -> D
     return df if known is None else df.join(known.select(key).distinct(), key, "left_anti")
 
 
+def known_ids(messages: DataFrame) -> DataFrame:
+    """Distinct normalised keys of a compacted topic, as episode_id."""
+    key = T.normalized_id(F.col("key").cast("string"))
+    return messages.select(key.alias("episode_id")).where(F.col("episode_id").isNotNull()).distinct()
+
+
 def pending(transcripts: DataFrame, done: DataFrame, day: str | None = None) -> DataFrame:
     """Transcripts with text that aren't embedded yet; of one day if the table has dates and one is asked for."""
     T.require(transcripts, "episode_id", "transcript")
