@@ -24,7 +24,7 @@ SPAN, GRAM = 10, 7
 #: k-grams among which one is chosen.
 CHOICE = SPAN - GRAM + 1
 #: Bytes of item texts in one broadcast block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 #: A-Z to a-z; other ASCII characters but digits and a-z to spaces; bytes of other characters stay.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
