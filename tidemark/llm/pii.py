@@ -33,6 +33,8 @@ LEAST_DIGITS, LEAST_LENGTH = 4, 6
 #: Characters on either side in which context words are sought.
 REACH = 64
 ROUNDS, LEAST_SEEDS, LEAST_SCORE = 3, 3, 0.8
+#: New spans are broadcast if there are at most so many, else joined by shuffles.
+BROADCAST_SPANS = 100_000
 #: Sizes are summed in blocks, so that many matches in one text don't cost their square.
 BLOCK = 64
 
@@ -66,27 +68,38 @@ def _words(piece: Column, last: bool) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(near), "[0-9]", "0"), r"\s+"), lambda w: w != "")
 
 
-def _located(df: DataFrame, pattern: str, gate: Column, to: str) -> DataFrame:
-    """df with `to`: an array of start, end (code points), match and patterns for each match in the column text.
+def _located(df: DataFrame, searches: dict[str, tuple[str, Column]]) -> DataFrame:
+    """df with, for each name, an array of start, end (code points), match and patterns for each match in the
+    column text of a regular expression, where its gate is true.
 
-    The text between matches and the matches themselves give the places by their lengths.
+    The text between matches and the matches themselves give the places by their lengths. All
+    searches go through each step together, so that the plan stays short.
     """
     none = F.array().cast("array<string>")
-    df = df.withColumn("_m", F.when(gate, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(none))
-    df = df.withColumn("_p", F.when(F.size("_m") > 0, F.split("text", pattern, -1)).otherwise(none))
-    df = df.withColumn("_s", F.transform("_p", lambda p, i: F.length(p) + F.coalesce(F.length(F.get("_m", i)), F.lit(0))))
-    df = df.withColumn("_b", F.transform(F.sequence(F.lit(0), F.floor(F.size("_s") / BLOCK).cast("int")), lambda b: _sum(F.slice("_s", b * BLOCK + 1, BLOCK))))
-    df = df.withColumn("_c", F.transform("_p", lambda p: F.struct(_words(p, True).alias("before"), _words(p, False).alias("after"))))
-
-    def span(m: Column, i: Column) -> Column:
-        block = F.floor(i / BLOCK).cast("int")
-        start = _sum(F.slice("_b", F.lit(1), block)) + _sum(F.slice("_s", block * BLOCK + 1, i - block * BLOCK)) + F.length(F.get("_p", i))
-        before, after = F.reverse(F.get("_c", i)["before"]), F.get("_c", i + 1)["after"]
+    each = {f"_{step}_{name}": (name, step) for name in searches for step in ("m", "p", "s", "b", "c")}
+    df = df.withColumns({f"_m_{n}": F.when(gate, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(none) for n, (pattern, gate) in searches.items()})
+    df = df.withColumns({f"_p_{n}": F.when(F.size(f"_m_{n}") > 0, F.split("text", pattern, -1)).otherwise(none) for n, (pattern, _) in searches.items()})
+
+    def size(n: str, p: Column, i: Column) -> Column:
+        return F.length(p) + F.coalesce(F.length(F.get(f"_m_{n}", i)), F.lit(0))
+
+    def block(n: str, b: Column) -> Column:
+        return _sum(F.slice(f"_s_{n}", b * BLOCK + 1, BLOCK))
+
+    def around(p: Column) -> Column:
+        return F.struct(_words(p, True).alias("before"), _words(p, False).alias("after"))
+
+    def span(n: str, m: Column, i: Column) -> Column:
+        blocks = F.floor(i / BLOCK).cast("int")
+        start = _sum(F.slice(f"_b_{n}", F.lit(1), blocks)) + _sum(F.slice(f"_s_{n}", blocks * BLOCK + 1, i - blocks * BLOCK)) + F.length(F.get(f"_p_{n}", i))
+        before, after = F.reverse(F.get(f"_c_{n}", i)["before"]), F.get(f"_c_{n}", i + 1)["after"]
         first, second, right = F.get(before, F.lit(0)), F.get(before, F.lit(1)), F.get(after, F.lit(0))
         patterns = F.array(F.concat(F.lit("l2 "), second, F.lit(" "), first), F.concat(F.lit("lr "), first, F.lit(" | "), right))  # null if a word is missing
         return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match"), F.array_compact(patterns).alias("patterns"))
 
-    return df.withColumn(to, F.transform("_m", span)).drop("_m", "_p", "_s", "_b", "_c")
+    df = df.withColumns({f"_s_{n}": F.transform(f"_p_{n}", partial(size, n)) for n in searches} | {f"_c_{n}": F.transform(f"_p_{n}", around) for n in searches})
+    df = df.withColumns({f"_b_{n}": F.transform(F.sequence(F.lit(0), F.floor(F.size(f"_s_{n}") / BLOCK).cast("int")), partial(block, n)) for n in searches})
+    return df.withColumns({n: F.transform(f"_m_{n}", partial(span, n)) for n in searches}).drop(*each)
 
 
 def _passing(kind: str, x: Column) -> Column:
@@ -104,19 +117,14 @@ def _is_kind(kind: str, x: Column) -> Column:
 def extracted(docs: DataFrame) -> DataFrame:
     """docs with base and others: arrays of kind, start, end, match and patterns, of the seeds and of other
     strings of an identifier's shape that overlap no seed. The column text must be there; a null has neither."""
-    digit, at = F.col("text").rlike("[0-9]"), F.contains(F.col("text"), F.lit("@"))
-    df = docs.withColumn("_digit", F.coalesce(digit, F.lit(False))).withColumn("_at", F.coalesce(at, F.lit(False)))
+    df = docs.withColumns({"_digit": F.coalesce(F.col("text").rlike("[0-9]"), F.lit(False)), "_at": F.coalesce(F.contains(F.col("text"), F.lit("@")), F.lit(False))})
     gates = {"email": F.col("_at"), "phone": F.col("_digit") & F.contains(F.col("text"), F.lit("+"))}
-    for kind, pattern in KINDS.items():
-        df = _located(df, pattern, gates.get(kind, F.col("_digit")), f"_{kind}")
-        df = df.withColumn(f"_{kind}", F.transform(F.filter(f"_{kind}", partial(_passing, kind)), partial(_of_kind, kind)))
-    df = df.withColumn("base", F.concat(*(f"_{kind}" for kind in KINDS)))
-    df = _located(df, SHAPE, F.col("_digit"), "_other")
+    searches = {f"_{kind}": (pattern, gates.get(kind, F.col("_digit"))) for kind, pattern in KINDS.items()}
+    df = _located(df, searches | {"_other": (SHAPE, F.col("_digit"))})
+    df = df.withColumn("base", F.concat(*(F.transform(F.filter(f"_{kind}", partial(_passing, kind)), partial(_of_kind, kind)) for kind in KINDS)))
     shaped = F.filter("_other", lambda x: (F.length(x["match"]) >= LEAST_LENGTH) & (F.length(_digits(x["match"])) >= LEAST_DIGITS))
-    df = df.withColumn("_other", shaped)
-    free = F.filter("_other", lambda x: ~F.exists("base", lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))
-    df = df.withColumn("others", F.transform(free, partial(_of_kind, CONTEXT)))
-    return df.drop("_digit", "_at", "_other", *(f"_{kind}" for kind in KINDS))
+    free = F.filter(shaped, lambda x: ~F.exists("base", lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))
+    return df.withColumn("others", F.transform(free, partial(_of_kind, CONTEXT))).drop("_digit", "_at", "_other", *(f"_{kind}" for kind in KINDS))
 
 
 def confident_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -136,24 +144,32 @@ def confident_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def spanned(docs: DataFrame, keep_text: bool = False) -> DataFrame:
-    """docs with spans: an array of start, rank (of the kind), end and kind, sorted; base_spans are the seeds' alone.
+    """docs (doc_id, text and others) with spans: an array of start, rank (of the kind), end and kind, sorted;
+    base_spans are the seeds' alone. Without their text unless keep_text.
 
     A null or empty text has none. Repeated rows have the same spans each; extra columns
     stay, but those named as the results give way. An empty table gives no rows.
     """
     docs = docs.drop("base_spans", "spans", "base", "others")
-    found = extracted(docs).withColumn("_row", F.monotonically_increasing_id())
-    found = written(found if keep_text else found.drop("text"), "identifiers")
+    # equal rows have equal spans, so that two hashes of a row are its key
+    whole = extracted(docs).withColumns({"_key": F.xxhash64("doc_id", "text"), "_key2": F.xxhash64(F.lit(2), "text", "doc_id")})
+    found = written(whole.drop("text"), "identifiers")
     good = confident_patterns(found).withColumnRenamed("pattern", "_good")
-    others = found.select("_row", F.explode("others").alias("x")).select("_row", "x.start", "x.end", F.explode("x.patterns").alias("pattern"))
+    others = found.select("_key", "_key2", F.explode("others").alias("x")).select("_key", "_key2", "x.start", "x.end", F.explode("x.patterns").alias("pattern"))
     ranks = [*KINDS, CONTEXT]
-    entry = lambda x, k: F.struct(x["start"].alias("start"), k.alias("rank"), x["end"].alias("end"), x["kind"].alias("kind"))
     kind_rank = lambda x: F.array_position(F.array(*(F.lit(k) for k in ranks)), x["kind"]).cast("int")
-    new = others.join(good, F.col("pattern") == F.col("_good"), "left_semi").groupBy(F.col("_row").alias("_at")).agg(F.collect_set(F.struct("start", F.lit(len(ranks)).alias("rank"), "end", F.lit(CONTEXT).alias("kind"))).alias("_new"))
-    joined = found.join(new, F.col("_row") == F.col("_at"), "left")
-    joined = joined.withColumn("base_spans", F.array_sort(F.transform("base", lambda x: entry(x, kind_rank(x)))))
+    span = F.struct("start", F.lit(len(ranks)).alias("rank"), "end", F.lit(CONTEXT).alias("kind"))
+    new = others.join(good, F.col("pattern") == F.col("_good"), "left_semi").groupBy(F.col("_key").alias("_k"), F.col("_key2").alias("_k2")).agg(F.collect_set(span).alias("_new"))
+    new = written(new, "context_spans")
+    # with texts the patterns are sought once more: cheaper than another copy of all texts
+    rows = whole if keep_text else found
+    if (new.agg(F.sum(F.size("_new"))).first()[0] or 0) <= BROADCAST_SPANS:
+        new = F.broadcast(new)
+    joined = rows.join(new, (F.col("_key") == F.col("_k")) & (F.col("_key2") == F.col("_k2")), "left")
+    base = F.transform("base", lambda x: F.struct(x["start"].alias("start"), kind_rank(x).alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")))
+    joined = joined.withColumn("base_spans", F.array_sort(base))
     joined = joined.withColumn("spans", F.when(F.col("_new").isNull(), F.col("base_spans")).otherwise(F.array_sort(F.concat("base_spans", "_new"))))
-    return joined.drop("_row", "_at", "_new", "base", "others")
+    return joined.drop("_key", "_key2", "_k", "_k2", "_new", "base", "others")
 
 
 def as_text(spans: str) -> Column:
