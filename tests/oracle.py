@@ -17,7 +17,7 @@ def connection(sf_dir):
 
 def value(x):
     if isinstance(x, float):
-        return round(x, 6) + 0.0
+        return round(x, 9) + 0.0
     if isinstance(x, datetime.datetime):
         return x.replace(tzinfo=None)
     return tuple(map(value, x)) if isinstance(x, list) else x

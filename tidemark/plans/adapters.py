@@ -68,8 +68,8 @@ def hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # ranked at the decimals that are shown, so that the order of sums can't decide
-    return recommend.top_n(hybrid(spark, sf_dir).withColumn("score", F.round("score", 6)), TOP_N).drop("generated_at")
+    # ranked at the decimals that are shown, which hold 0.3 of a similarity exactly, so that the order of sums can't decide
+    return recommend.top_n(hybrid(spark, sf_dir).withColumn("score", F.round("score", 8)), TOP_N).drop("generated_at")
 
 
 EVENTS_SQL = """ev AS (
@@ -104,7 +104,7 @@ CONTENT_SQL = """content AS (
   SELECT user_id, new_episode_id AS episode_id, max(similarity) AS sim_score FROM history JOIN sims ON episode_id = historical_episode_id GROUP BY ALL)"""
 HYBRID_SQL = f"""{RATINGS_SQL}, {HISTORY_SQL}, {KNN_SQL}, {CONTENT_SQL},
 als AS (SELECT user_id, episode_id, engagement / max(engagement) OVER (PARTITION BY user_id) AS als_score FROM ratings),
-hybrid AS (SELECT als.user_id, als.episode_id AS recommended_episode_id, round(max(0.7::DOUBLE * als_score + (1 - 0.7::DOUBLE) * coalesce(sim_score, 0)), 6) AS score
+hybrid AS (SELECT als.user_id, als.episode_id AS recommended_episode_id, round(max(0.7::DOUBLE * als_score + (1 - 0.7::DOUBLE) * coalesce(sim_score, 0)), 8) AS score
   FROM als LEFT JOIN content USING (user_id, episode_id) GROUP BY ALL)"""
 RECS_SQL = HYBRID_SQL + """, recs AS (
   SELECT user_id, recommended_episode_id, score FROM hybrid QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, recommended_episode_id) <= 10)"""

@@ -98,7 +98,7 @@ def content_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {HYBRID_SQL} SELECT * FROM hybrid")
 def hybrid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.hybrid(spark, sf_dir).withColumn("score", F.round("score", 6))
+    return A.hybrid(spark, sf_dir).withColumn("score", F.round("score", 8))
 
 
 @query(f"WITH {RECS_SQL} SELECT * FROM recs")
