@@ -127,8 +127,11 @@ def judged(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT, dro
     """
     names = list(rules())
     facts = measured(docs).drop("base_failed", "kept").withColumns({f"fails_{r}": c for r, c in rules().items()})
-    facts = written(facts.drop("text") if drop_text else facts, "facts")
-    bad = written(host_verdicts(facts, host, limit), "bad_hosts")
+    if drop_text:
+        facts = written(facts.drop("text"), "facts")
+    # else rules are measured once for the hosts and once more here: cheaper than another copy of all texts
+    failures = facts.select(host, *(f"fails_{r}" for r in names))
+    bad = written(host_verdicts(failures, host, limit), "bad_hosts")
     if bad.count() <= BROADCAST_HOSTS:
         joined = facts.join(F.broadcast(bad), facts[host] == bad["_host"], "left")
     else:
