@@ -254,14 +254,10 @@ def links(fps: DataFrame) -> DataFrame:
     return linked
 
 
-def _rooted(rows: DataFrame) -> DataFrame:
-    """rows of doc_id and fingerprint with component_id and root, one fingerprint of the component."""
-    fps = written(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")), "fingerprints")
-    roots = written(components(links(fps)), "roots")
-    labelled = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    heads = labelled.groupBy(F.col("root").alias("head")).agg(F.min("least").alias("component_id"))
-    table = labelled.join(heads, F.col("root") == F.col("head")).select("fp", "root", "component_id")
-    return rows.join(table, rows["fingerprint"] == table["fp"], "left").drop("fp")
+def _rooted(fps: DataFrame) -> DataFrame:
+    """fps (a row for each distinct fp, cheap to read again) with root, one fingerprint of its component."""
+    roots = written(components(links(fps.select("fp"))), "roots")
+    return fps.join(roots, fps["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
 
 
 def classed(rows: DataFrame) -> DataFrame:
@@ -271,7 +267,11 @@ def classed(rows: DataFrame) -> DataFrame:
     rows has a null id. Copies share a fingerprint and so a component. An empty table gives
     no rows.
     """
-    return _rooted(rows).drop("root")
+    fps = written(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")), "fingerprints")
+    labelled = _rooted(fps)
+    heads = labelled.groupBy(F.col("root").alias("head")).agg(F.min("least").alias("component_id"))
+    table = labelled.join(heads, F.col("root") == F.col("head")).select("fp", "component_id")
+    return rows.join(table, rows["fingerprint"] == table["fp"], "left").drop("fp")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -282,10 +282,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of docs of each component: that of its least doc_id (a null one only if there is no other, the least
     fingerprint of an id that repeats, and any of rows that repeat wholly). A column fingerprint gives way."""
-    table = written(fingerprinted(docs), "simhash")
-    each = _rooted(table.select("doc_id", "fingerprint")).groupBy("root", "doc_id", "fingerprint").agg(F.count(F.lit(1)).alias("copies"))
-    first = F.min_by(F.struct("doc_id", "fingerprint", "copies"), F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("fingerprint")))
-    heads = written(each.groupBy("root").agg(first.alias("h")).select(F.col("h.doc_id").alias("_id"), F.col("h.fingerprint").alias("_fp"), "h.copies"), "heads")
+    # fingerprints are made once without the texts and once with them: cheaper than another copy of all texts
+    narrow = written(fingerprinted(docs.select("doc_id", "text"), keep_text=False), "simhash")
+    order = [F.col("doc_id").isNull(), F.col("doc_id")]
+    each = narrow.groupBy("doc_id", "fingerprint").agg(F.count(F.lit(1)).alias("copies"))
+    of_print = each.groupBy(F.col("fingerprint").alias("fp")).agg(F.min_by(F.struct("doc_id", "copies"), F.struct(*order)).alias("h"))
+    fps = written(of_print.select("fp", "h.doc_id", "h.copies"), "fingerprints")
+    first = F.min_by(F.struct("doc_id", "fp", "copies"), F.struct(*order, F.col("fp")))
+    heads = written(_rooted(fps).groupBy("root").agg(first.alias("h")).select(F.col("h.doc_id").alias("_id"), F.col("h.fp").alias("_fp"), "h.copies"), "heads")
+    table = fingerprinted(docs)
     kept = table.join(heads, table["doc_id"].eqNullSafe(F.col("_id")) & (table["fingerprint"] == F.col("_fp")), "left_semi")
     if not heads.where("copies > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "fingerprint"])
