@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,25 +36,30 @@ def _best(queries: DataFrame, history: DataFrame, k: int) -> DataFrame:
     ids = [r["id"] for r in rows]
     shipped = spark.sparkContext.broadcast(_unit(np.array([r["embedding"] for r in rows], np.float64)) if rows else None)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = shipped.value
         if q is None:
             return
-        found = pd.DataFrame({"q": pd.Series(dtype="int64"), "historical_id": pd.Series(dtype="object"), "similarity": pd.Series(dtype="float64")})
+        number, names, near = np.empty(0, np.int64), np.empty(0, "<U1"), np.empty(0)
         for batch in batches:
-            batch = batch[batch["embedding"].notna()]
-            for a in range(0, len(batch), 2048):
-                part = batch.iloc[a : a + 2048]
-                s = np.round(q @ _unit(np.array(part["embedding"].tolist(), np.float64).reshape(len(part), -1)).T, DECIMALS)
-                names = part["id"].to_numpy()
-                order = np.argsort(names.astype(str), kind="stable")  # ties go to the least id
+            batch = batch.filter(pc.is_valid(batch.column("embedding")))
+            for a in range(0, batch.num_rows, 2048):
+                part = batch.slice(a, 2048)
+                own = np.array(part.column("id").to_pylist(), dtype=str)
+                s = np.round(q @ _unit(np.array(part.column("embedding").to_pylist(), np.float64).reshape(len(own), -1)).T, DECIMALS)
+                order = np.argsort(own, kind="stable")  # ties go to the least id
                 top = np.argsort(-s[:, order], axis=1, kind="stable")[:, :k]
-                new = pd.DataFrame({"q": np.repeat(np.arange(len(q)), top.shape[1]), "historical_id": names[order][top.ravel()], "similarity": np.take_along_axis(s[:, order], top, axis=1).ravel()})
-                found = new if found.empty else pd.concat([found, new])
-                found = found.sort_values(["q", "similarity", "historical_id"], ascending=[True, False, True]).groupby("q", sort=False).head(k)
-        yield found.assign(new_id=[ids[i] for i in found["q"]])[["new_id", "historical_id", "similarity"]]
-
-    return history.mapInPandas(run, "new_id string, historical_id string, similarity double")
+                number = np.concatenate((number, np.repeat(np.arange(len(q)), top.shape[1])))
+                names = np.concatenate((names, own[order][top.ravel()]))
+                near = np.concatenate((near, np.take_along_axis(s[:, order], top, axis=1).ravel()))
+                best = np.lexsort((names, -near, number))
+                number, names, near = number[best], names[best], near[best]
+                first = np.searchsorted(number, number, side="left")
+                kept = np.arange(len(number)) - first < k
+                number, names, near = number[kept], names[kept], near[kept]
+        yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in number], pa.string()), pa.array(names.tolist(), pa.string()), pa.array(near)], names=["new_id", "historical_id", "similarity"])
+
+    return history.mapInArrow(run, "new_id string, historical_id string, similarity double")
 
 
 def top_k(queries: DataFrame, history: DataFrame | None, k: int = K, exclude_self: bool = False, block: int = QUERY_BLOCK) -> DataFrame:
