@@ -148,8 +148,8 @@ def test_flat_files(spark, tmp_path, monkeypatch):
         for k, (s, e) in enumerate(zip(starts.tolist(), [*ends.tolist(), len(ids)], strict=True)):
             if k < len(ends) or e > s:
                 wanted[name, k, s, e - s, k < len(ends)] += 1
-    blocks = token_counts.token_files(spark, f"file://{tmp_path}/*.bin", block=7)
-    got = Counter((r["file"][-5], r["document"], r["first_token"], r["n_tokens"], r["ended"]) for r in token_counts.counted(blocks, end_id=9).collect())
+    blocks = token_counts.token_files(spark, f"file://{tmp_path}/*.bin", block=7, width=4)
+    got = Counter((r["file"][-5], r["document"], r["first_token"], r["n_tokens"], r["ended"]) for r in token_counts.counted(blocks, end_id=9, width=4).collect())
     assert got == wanted
 
 

@@ -21,13 +21,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import written
 from tidemark.llm.tokens import BYTE_BPE, byte_bpe
 
-END_ID, BLOCK = 50256, 1 << 16
+#: Bytes of an id; 2 hold ids under 65,536.
+END_ID, BLOCK, WIDTH = 50256, 1 << 16, 2
 #: Blocks that one task scans by a sort; their sums are scanned above.
 RUN = 4096
 
 
-def token_files(spark: SparkSession, path: str, block: int = BLOCK, width: int = 4) -> DataFrame:
-    """Blocks (file, block, ids as little-endian unsigned 32-bit) of raw files of ids of width 2 or 4 bytes.
+def token_files(spark: SparkSession, path: str, block: int = BLOCK, width: int = WIDTH) -> DataFrame:
+    """Blocks (file, block, ids) of raw files of little-endian unsigned ids of width 2 or 4 bytes.
 
     Each file is one row of Spark's binary reader, so it holds at most 2 GB.
     """
@@ -36,19 +37,20 @@ def token_files(spark: SparkSession, path: str, block: int = BLOCK, width: int =
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 for k in range(0, max(1, -(-len(content) // (width * block)))):
-                    ids = np.frombuffer(content[k * width * block : (k + 1) * width * block], f"<u{width}").astype("<u4").tobytes()
+                    ids = bytes(content[k * width * block : (k + 1) * width * block])
                     yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k], pa.int64()), pa.array([ids], pa.binary())], names=["file", "block", "ids"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, block long, ids binary")
 
 
-def token_stream(docs: DataFrame, path: str = BYTE_BPE, end_id: int = END_ID, block: int = BLOCK) -> DataFrame:
+def token_stream(docs: DataFrame, path: str = BYTE_BPE, end_id: int = END_ID, block: int = BLOCK, width: int = WIDTH) -> DataFrame:
     """docs as flat files of full blocks, one file a partition, each document closed by end_id.
 
     Columns: file, block, ids, and doc_ids, whose documents end in the block, in order. Null
-    and empty texts are closed at once. A retried partition gives the same file.
+    and empty texts are closed at once. A retried partition gives the same file. Ids that
+    don't fit the width are an error.
     """
-    end = np.array([end_id], "<u4")
+    end, most = np.array([end_id], f"<u{width}"), (1 << 8 * width) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, name, number = byte_bpe(path), f"part-{TaskContext.get().partitionId()}", 0
@@ -66,7 +68,9 @@ def token_stream(docs: DataFrame, path: str = BYTE_BPE, end_id: int = END_ID, bl
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = bpe(text)
-                held += [ids, end]
+                if len(ids) and ids.max() > most:
+                    raise ValueError(f"the id {ids.max()} needs more than {width} bytes")
+                held += [ids.astype(end.dtype), end]
                 size += len(ids) + 1
                 ends.append((size - 1, doc_id))
                 if size >= 4 * block:
@@ -77,12 +81,12 @@ def token_stream(docs: DataFrame, path: str = BYTE_BPE, end_id: int = END_ID, bl
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "file string, block long, ids binary, doc_ids array<long>")
 
 
-def separators(blocks: DataFrame, end_id: int = END_ID) -> DataFrame:
+def separators(blocks: DataFrame, end_id: int = END_ID, width: int = WIDTH) -> DataFrame:
     """file, block, n (tokens), and ends, the places of all separators of each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.frombuffer(x, "<u4") for x in batch.column("ids").to_pylist()]
+            found = [np.frombuffer(x, f"<u{width}") for x in batch.column("ids").to_pylist()]
             ends = pa.array([np.flatnonzero(x == end_id).astype(np.int32) for x in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("block"), pa.array([len(x) for x in found], pa.int64()), ends], names=["file", "block", "n", "ends"])
 
@@ -120,14 +124,14 @@ def _lengths():
     return F.transform("ends", lambda _, i: F.struct((F.col("before") + i).alias("document"), (last(i) + 1).alias("first_token"), (end(i) - last(i) - 1).alias("n_tokens")))
 
 
-def counted(blocks: DataFrame, end_id: int = END_ID) -> DataFrame:
+def counted(blocks: DataFrame, end_id: int = END_ID, width: int = WIDTH) -> DataFrame:
     """file, document (its place, from 0), first_token, n_tokens (without the separator) and ended, of every document.
 
     blocks must be cheap to read again. Tokens after a file's last separator are a document
     that has not ended. Two separators in a row hold a document of no tokens. Files without
     tokens, and an empty table, give no rows.
     """
-    found = written(prefixed(separators(blocks, end_id)), "separators")
+    found = written(prefixed(separators(blocks, end_id, width)), "separators")
     whole = found.select("file", F.explode(_lengths()).alias("d")).select("file", "d.*", F.lit(True).alias("ended"))
     tails = found.groupBy("file").agg(F.sum("n").alias("n"), F.sum(F.size("ends")).cast("long").alias("document"), F.coalesce(F.max(F.col("start") + F.try_element_at("ends", F.lit(-1))), F.lit(-1)).alias("last"))
     tails = tails.where("n > last + 1").select("file", "document", (F.col("last") + 1).alias("first_token"), (F.col("n") - F.col("last") - 1).alias("n_tokens"), F.lit(False).alias("ended"))
