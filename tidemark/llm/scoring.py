@@ -5,9 +5,9 @@ each class of words: the TOP commonest words of the corpus, and BUCKETS classes
 share the others by hash. A document's score is the sum over its words of the log of
 the probability of each given both sides. Classes are counted over all documents.
 
-The network is trained in numpy on every STRIDE-th word of every document. Windows are dealt to
-trainers; in each round they all start from the same weights, pass their windows in small
-batches, and the weights are averaged by the number of windows.
+The network is trained in numpy on every word of every document, each in one of the rounds. Runs of
+words are dealt to trainers; in each round they all start from the same weights, pass the round's
+windows in small batches, and the weights are averaged by the number of windows.
 """
 
 from __future__ import annotations
@@ -24,14 +24,17 @@ from pyspark.sql.types import StructType
 from tidemark.llm.common import map_batches, written
 from tidemark.llm.tokens import worker_cache
 
-TOP, BUCKETS, REACH, HIDDEN, STRIDE = 191, 64, 2, 32, 16
+TOP, BUCKETS, REACH, HIDDEN = 191, 64, 2, 32
 #: Class 0 stands outside a document; it is never predicted.
 CLASSES = 1 + TOP + BUCKETS
 ROUNDS, BATCH, RATE, SEED = 3, 256, 0.15, 6
-#: Windows of a trainer at most, about.
+#: Windows of a trainer in one round at most, about.
 TRAINER_WINDOWS = 2_000_000
+#: Words of a run dealt to a trainer at least, if its batch has them.
+RUN = 250_000
 #: Distinct words that a task counts before it passes them on, and that it remembers.
 HELD = 300_000
+ONES = np.ones(CLASSES, np.float32)
 PLACES = tuple(k for k in range(-REACH, REACH + 1) if k)
 
 Weights = dict[str, np.ndarray]
@@ -110,13 +113,29 @@ def unflat(x: np.ndarray) -> Weights:
     return out
 
 
-def forward(w: Weights, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden units and log-probabilities of the classes, for rows of the classes around."""
-    h = np.tanh(sum(w["into"][k][around[:, k]] for k in range(len(PLACES))) + w["bias"])
+def hidden_units(w: Weights, around: np.ndarray) -> np.ndarray:
+    """Hidden units for rows of the classes around."""
+    h = w["into"][0].take(around[:, 0], axis=0)
+    for k in range(1, len(PLACES)):
+        h += w["into"][k].take(around[:, k], axis=0)
+    h += w["bias"]
+    return np.tanh(h, out=h)
+
+
+def outputs(w: Weights, h: np.ndarray) -> np.ndarray:
+    """Unscaled log-probabilities of the classes, in the range of float32's exp."""
     z = h @ w["out"]
     z += w["out_bias"]
     z[:, 0] = -np.inf
-    z -= z.max(axis=1, keepdims=True)
+    if np.abs(w["out"]).sum(axis=0).max() + np.abs(w["out_bias"]).max() > 80:  # no hidden unit is over 1
+        z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def forward(w: Weights, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hidden units and log-probabilities of the classes, for rows of the classes around."""
+    h = hidden_units(w, around)
+    z = outputs(w, h)
     z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return h, z
 
@@ -126,69 +145,86 @@ def train(w: Weights, windows: np.ndarray, rate: float = RATE) -> None:
     for k in range(0, len(windows), BATCH):
         rows = windows[k : k + BATCH]
         around, hidden = np.delete(rows, REACH, axis=1), rows[:, REACH]
-        h, z = forward(w, around)
-        d = np.exp(z)
+        h = hidden_units(w, around)
+        d = outputs(w, h)
+        np.exp(d, out=d)
+        d /= (d @ ONES)[:, None]
         d[np.arange(len(d)), hidden] -= 1
-        d *= rate
+        d *= rate / len(d) ** 0.5
         dh = (d @ w["out"].T) * (1 - h * h)
-        w["out"] -= h.T @ d / len(d) ** 0.5
-        w["out_bias"] -= d.sum(axis=0) / len(d) ** 0.5
-        for p in range(len(PLACES)):
-            np.subtract.at(w["into"][p], around[:, p], dh / len(d) ** 0.5)
-        w["bias"] -= dh.sum(axis=0) / len(d) ** 0.5
+        w["out"] -= h.T @ d
+        w["out_bias"] -= d.sum(axis=0)
+        for p in range(len(PLACES)):  # flat, for numpy's fast path
+            np.subtract.at(w["into"][p].reshape(-1), (around[:, p, None] * np.intp(HIDDEN) + np.arange(HIDDEN)).reshape(-1), dh.reshape(-1))
+        w["bias"] -= dh.sum(axis=0)
 
 
 def score(w: Weights, classes: np.ndarray) -> np.ndarray:
-    """Log-probabilities of the words of a padded run of classes."""
-    n = len(classes) - 2 * REACH
-    out = np.empty(n, np.float32)
-    for k in range(0, n, 4096):
-        m = min(4096, n - k)
-        around = np.stack([classes[REACH + p + k : REACH + p + k + m] for p in PLACES], axis=1)
-        _, z = forward(w, around)
-        out[k : k + m] = z[np.arange(m), classes[REACH + k : REACH + k + m]]
+    """Log-probabilities of the words of a padded run of classes; 0 for the zeros between texts."""
+    out = np.zeros(len(classes) - 2 * REACH, np.float32)
+    words = np.flatnonzero(classes[REACH : len(classes) - REACH])
+    for k in range(0, len(words), 512):
+        at = words[k : k + 512]
+        hidden = classes[REACH + at]
+        z = outputs(w, hidden_units(w, np.stack([classes[REACH + p + at] for p in PLACES], axis=1)))
+        own = z[np.arange(len(at)), hidden]
+        out[at] = own - np.log(np.exp(z, out=z) @ ONES)
     return out
 
 
-def training_windows(docs: DataFrame, common: list[bytes]) -> DataFrame:
-    """A row for each batch of documents: n windows, of 2 * REACH + 1 bytes each. Every text with a word has one at least."""
+def training_runs(docs: DataFrame, common: list[bytes]) -> DataFrame:
+    """Rows of n words and their run: a byte for the class of each, with REACH zeros around each text."""
 
     def make():
         classes = Classes(common)
 
         def step(batch: pa.RecordBatch) -> dict | None:
-            found = []
+            counts, runs, held, n = [], [], [], 0
             for text in batch.column("text").to_pylist():
                 own = classes.of(text)
-                middle = np.arange(REACH, len(own) - REACH, STRIDE)
-                found.append(own[middle[:, None] + np.arange(-REACH, REACH + 1)])
-            found = [x for x in found if len(x)]
-            return {"n": [sum(map(len, found))], "windows": [np.concatenate(found).tobytes()]} if found else None
+                if len(own) > 2 * REACH:
+                    held.append(own)
+                    n += len(own) - 2 * REACH
+                if n >= RUN:
+                    counts.append(n)
+                    runs.append(np.concatenate(held).tobytes())
+                    held, n = [], 0
+            if n:
+                counts.append(n)
+                runs.append(np.concatenate(held).tobytes())
+            return {"n": counts, "run": runs} if runs else None
 
         return step
 
-    return map_batches(docs.select("text"), make, "n long, windows binary")
+    return map_batches(docs.select("text"), make, "n long, run binary")
+
+
+def windows_of(run: bytes, number: int, rounds: int = ROUNDS) -> np.ndarray:
+    """The windows of a run that a round trains on: over all rounds, each word is in the middle of one."""
+    classes = np.frombuffer(run, np.uint8)
+    middle = np.flatnonzero(classes)[number::rounds]
+    return classes[middle[:, None] + np.arange(-REACH, REACH + 1)]
 
 
 def trained(docs: DataFrame, common: list[bytes], rounds: int = ROUNDS) -> Weights:
     """Weights after some rounds of averaging. Without any word they stay as they were drawn."""
     spark = docs.sparkSession
-    table = written(training_windows(docs, common), "windows")
+    table = written(training_runs(docs, common), "runs")
     total = table.agg(F.sum("n")).first()[0] or 0
     if not total:
         return fresh_weights()
-    trainers = max(6, -(-int(total) // TRAINER_WINDOWS))
-    dealt = written(table.repartition(trainers, F.xxhash64("windows")), "dealt_windows")
+    trainers = max(6, -(-int(total) // (rounds * TRAINER_WINDOWS)))
+    dealt = written(table.repartition(trainers, F.xxhash64("run")), "dealt_runs")
     weights = fresh_weights()
     for number in range(rounds):
         shipped = spark.sparkContext.broadcast(flat(weights))
         rate = RATE / (1 + number)
 
-        def run(batches: Iterator[pa.RecordBatch], shipped=shipped, rate=rate) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shipped=shipped, number=number, rate=rate) -> Iterator[pa.RecordBatch]:
             w, seen = unflat(shipped.value), 0
             for batch in batches:
-                for x in batch.column("windows").to_pylist():
-                    rows = np.frombuffer(x, np.uint8).reshape(-1, 2 * REACH + 1)
+                for x in batch.column("run"):
+                    rows = windows_of(x.as_py(), number, rounds)
                     train(w, rows[np.random.default_rng(len(rows)).permutation(len(rows))], rate)
                     seen += len(rows)
             if seen:
