@@ -5,6 +5,10 @@ each class of words: the TOP commonest words of the corpus, and BUCKETS classes
 share the others by hash. A document's score is the sum over its words of the log of
 the probability of each given both sides. Classes are counted over all documents.
 
+That is log_likelihood, of classes. word_log_likelihood is of the words themselves: each word that shares
+a class adds the log of its smoothed share of the class's occurrences. The shares of the words
+of most occurrences are broadcast; those of all others are joined.
+
 The network is trained in numpy on every word of every document, each in one of the rounds. Runs of
 words are dealt to trainers; in each round they all start from the same weights, pass the round's
 windows in small batches, and the weights are averaged by the number of windows.
@@ -12,6 +16,7 @@ windows in small batches, and the weights are averaged by the number of windows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +40,10 @@ RUN = 250_000
 #: Distinct words that a task counts before it passes them on, and that it remembers.
 HELD = 300_000
 ONES = np.ones(CLASSES, np.float32)
+#: Words whose shares are broadcast, at most; any other's is joined by its hash.
+KNOWN = 300_000
+#: Added to each count of a class's words, and the count of a word that isn't among them.
+SMOOTH = 0.5
 PLACES = tuple(k for k in range(-REACH, REACH + 1) if k)
 
 Weights = dict[str, np.ndarray]
@@ -67,9 +76,47 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, top: int = TOP) -> list[bytes]:
-    """The commonest words, equal counts by bytes."""
-    return [bytes(r["word"]) for r in word_counts(docs).orderBy(F.desc("n"), "word").limit(top).collect()]
+def vocabulary(docs: DataFrame, top: int = TOP, counts: DataFrame | None = None) -> list[bytes]:
+    """The commonest words, equal counts by bytes. counts: word_counts of docs, where they are there already."""
+    counts = word_counts(docs) if counts is None else counts
+    return [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(top).collect()]
+
+
+def word_hash(word: bytes) -> int:
+    x = xxhash.xxh64_intdigest(word)
+    return x - (1 << 64) if x >> 63 else x
+
+
+def word_shares(counts: DataFrame, common: list[bytes]) -> DataFrame:
+    """hash, n and share (log, in units of 1e-9) of the words that aren't common. All words scored are of the corpus; what an
+    unseen one would have is left free in each class."""
+
+    def make():
+        known = set(common)
+
+        def step(batch: pa.RecordBatch) -> dict:
+            rows = [(word_hash(w), n) for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True) if w not in known]
+            return {"hash": [h for h, _ in rows], "n": [n for _, n in rows]}
+
+        return step
+
+    rare = written(map_batches(counts, make, "hash long, n long"), "rare_words").withColumn("bucket", F.pmod("hash", F.lit(BUCKETS)))
+    sums = {r["bucket"]: r["n"] + SMOOTH * (r["words"] + 1) for r in rare.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()}
+    of = F.element_at(F.array(*(F.lit(float(sums.get(b, SMOOTH))) for b in range(BUCKETS))), (F.col("bucket") + 1).cast("int"))
+    share = F.round(F.log((F.col("n") + SMOOTH) / of) * 1e9).cast("long")
+    return rare.select("hash", "n", share.alias("share"))
+
+
+def broadcast_shares(rare: DataFrame, most: int = KNOWN) -> tuple[int, np.ndarray, np.ndarray]:
+    """The least count whose words, with all of greater counts, are at most so many; their hashes and shares."""
+    least, held = 0, 0
+    for r in rare.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        held += r["words"]
+        if held > most:
+            least = r["n"] + 1
+            break
+    table = rare.where(F.col("n") >= least).select("hash", "share").toArrow()
+    return least, table["hash"].to_numpy(), table["share"].to_numpy()
 
 
 class Classes(dict):
@@ -95,6 +142,31 @@ class Classes(dict):
         return out
 
 
+class Shares(dict):
+    """The log of a word's share of its class in units of 1e-9, or None where it isn't broadcast; remembers up to HELD words."""
+
+    def __init__(self, common: list[bytes], hashes: np.ndarray, shares: np.ndarray) -> None:
+        super().__init__()
+        self.common = dict.fromkeys(common, 0)
+        self.known = dict(zip(hashes.tolist(), shares.tolist(), strict=True))
+        self.update(self.common)
+
+    def __missing__(self, word: bytes) -> int | None:
+        if len(self) > HELD:
+            self.clear()
+            self.update(self.common)
+        x = self[word] = self.known.get(word_hash(word))
+        return x
+
+    def of(self, text: str | None) -> tuple[int, list[int]]:
+        """The sum of the shares that are known, and the hashes of all other words."""
+        words = words_of(text)
+        found = list(map(self.__getitem__, words))
+        if None not in found:
+            return sum(found), []
+        return sum(x for x in found if x is not None), [word_hash(w) for w, x in zip(words, found, strict=True) if x is None]
+
+
 def fresh_weights() -> Weights:
     draw = np.random.default_rng(SEED)
     small = lambda *shape: draw.normal(0, 0.1, shape).astype(np.float32)
@@ -275,11 +347,40 @@ def scored(docs: DataFrame, common: list[bytes], weights: Weights, keep: list[st
     return map_batches(docs.select(*dict.fromkeys([*keep, "text"])), make, schema)
 
 
+def with_shares(docs: DataFrame, common: list[bytes], rare: DataFrame) -> DataFrame:
+    """docs, scored, with word_log_likelihood and mean_word_log_prob; without their text."""
+    least, hashes, shares = broadcast_shares(rare)
+    shipped = docs.sparkSession.sparkContext.broadcast((common, hashes, shares))
+    keep, own_id = [c for c in docs.columns if c != "text"], uuid.uuid4().hex
+
+    def make():
+        cache = worker_cache()
+        if cache.get("shares_of") != own_id:
+            cache["shares_of"], cache["shares"] = own_id, Shares(*shipped.value)
+        own = cache["shares"]
+
+        def step(batch: pa.RecordBatch) -> dict:
+            found = [own.of(t) for t in batch.column("text").to_pylist()]
+            return {c: batch.column(c) for c in keep} | {"_known": [x for x, _ in found], "_others": [x for _, x in found]}
+
+        return step
+
+    schema = StructType([*(docs.schema[c] for c in keep), *StructType.fromDDL("_known long, _others array<long>")])
+    rows = written(map_batches(docs, make, schema).withColumn("_row", F.monotonically_increasing_id()), "scored")
+    other = rows.select(F.col("_row").alias("_r"), F.explode("_others").alias("hash"))
+    summed = other.join(rare.where(F.col("n") < least).select("hash", "share"), "hash").groupBy("_r").agg(F.sum("share").alias("_rare"))
+    joined = rows.drop("_others").join(summed, F.col("_row") == F.col("_r"), "left")
+    whole = joined.withColumn("word_log_likelihood", F.col("log_likelihood") + (F.col("_known") + F.coalesce("_rare", F.lit(0))) / 1e9)
+    mean = F.when(F.col("n_tokens") > 0, F.col("word_log_likelihood") / F.col("n_tokens"))
+    return whole.withColumn("mean_word_log_prob", mean).drop("_row", "_r", "_known", "_rare")
+
+
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """doc_id with its scores, by a network trained on docs themselves. Extra columns are left out."""
     rows = docs.select("doc_id", "text")
-    common = vocabulary(rows)
-    return scored(rows, common, trained(rows, common), ["doc_id"])
+    counts = written(word_counts(rows), "word_counts")
+    common = vocabulary(rows, counts=counts)
+    return with_shares(scored(rows, common, trained(rows, common), ["doc_id", "text"]), common, word_shares(counts, common))
 
 
 def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
