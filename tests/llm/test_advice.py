@@ -36,3 +36,14 @@ def test_words_of_one_class_score_apart(spark, monkeypatch, known):
     for r, w in ((a, often), (b, rare)):
         assert r["word_log_likelihood"] - r["log_likelihood"] == pytest.approx(np.log((counts[w] + S.SMOOTH) / total), abs=1e-6)
     assert by["c1"]["word_log_likelihood"] == by["c1"]["log_likelihood"]
+
+
+def test_discovered_identifiers_admit_patterns(spark):
+    from tidemark.llm import pii
+
+    # mail addresses name "badge no"; the badges found there name "pass key", where no address stands
+    texts = [f"badge no user{i}@site.org now" for i in range(40)] + [f"badge no ab-{i}1234 now" for i in range(8)]
+    texts += [f"pass key ab-{i}1234 then" for i in range(8)] + ["pass key zz-98765 then", "other word qq-98765 then"]
+    rows = pii.spanned(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {texts[r["doc_id"]] for r in rows if any(x["kind"] == pii.CONTEXT for x in r["spans"])}
+    assert found == set(texts[40:-1])

@@ -5,7 +5,9 @@ the seeds: the words around them are lexical patterns, and a graph joins pattern
 instances (seeds, and other strings of an identifier's shape) that stand in them. Over some
 rounds a pattern's score is the share of its distinct instances' scores, and an instance's
 is the chance that one of its patterns at least is right. Patterns of high score and enough
-seeds name the unseen identifiers that stand in them; those spans are added to the seeds'.
+support name the unseen identifiers that stand in them; those spans are added to the seeds'.
+Support is the seeds and the instances that the round before scored high, so each round can
+admit further patterns.
 """
 
 from __future__ import annotations
@@ -132,15 +134,15 @@ def confident_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     each = found.select(F.explode(F.concat("base", "others")).alias("x")).select(F.lower("x.match").alias("instance"), (F.col("x.kind") != CONTEXT).alias("seed"), F.explode("x.patterns").alias("pattern"))
     edges = written(each.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")).withColumn("score", F.col("seed").cast("double")), "edges")
     for _ in range(rounds):
-        of_pattern = edges.groupBy(F.col("pattern").alias("p")).agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("pattern_score"), F.sum(F.col("seed").cast("int")).alias("seeds"))
+        of_pattern = edges.groupBy(F.col("pattern").alias("p")).agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("pattern_score"), F.sum((F.col("score") >= LEAST_SCORE).cast("int")).alias("support"))
         weighed = edges.join(of_pattern, F.col("pattern") == F.col("p")).drop("p")
-        weighed = written(weighed.withColumn("pattern_score", F.when(F.col("seeds") >= LEAST_SEEDS, F.col("pattern_score")).otherwise(F.lit(0.0))), "patterns")
+        weighed = written(weighed.withColumn("pattern_score", F.when(F.col("support") >= LEAST_SEEDS, F.col("pattern_score")).otherwise(F.lit(0.0))), "patterns")
         # the chance that one pattern at least is right; a score stays under 1, so its log is finite
         of_instance = weighed.groupBy(F.col("instance").alias("i")).agg((1 - F.exp(F.sum(F.log1p(-F.col("pattern_score"))))).alias("chance"))
         joined = weighed.select("pattern", "instance", "seed").join(of_instance, F.col("instance") == F.col("i"))
         edges = written(joined.select("pattern", "instance", "seed", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("chance")).alias("score")), "edges")
-    last = edges.groupBy("pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("score"), F.sum(F.col("seed").cast("int")).alias("seeds"))
-    return last.where((F.col("score") >= LEAST_SCORE) & (F.col("seeds") >= LEAST_SEEDS)).select("pattern")
+    last = edges.groupBy("pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("score"), F.sum((F.col("score") >= LEAST_SCORE).cast("int")).alias("support"))
+    return last.where((F.col("score") >= LEAST_SCORE) & (F.col("support") >= LEAST_SEEDS)).select("pattern")
 
 
 def spanned(docs: DataFrame, keep_text: bool = False) -> DataFrame:
