@@ -47,3 +47,11 @@ def test_discovered_identifiers_admit_patterns(spark):
     rows = pii.spanned(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     found = {texts[r["doc_id"]] for r in rows if any(x["kind"] == pii.CONTEXT for x in r["spans"])}
     assert found == set(texts[40:-1])
+
+
+def test_a_query_in_its_history_takes_no_neighbours_place(spark):
+    from tidemark.operators import knn
+
+    df = spark.createDataFrame([(x, [1.0, float(i)]) for i, x in enumerate("abcd")], "id string, embedding array<float>").coalesce(1)
+    got = knn.top_k(df.where("id = 'a'"), df, 3, exclude_self=True).orderBy("rank").collect()
+    assert [r["historical_id"] for r in got] == ["b", "c", "d"]

@@ -72,7 +72,7 @@ def top_k(queries: DataFrame, history: DataFrame | None, k: int = K, exclude_sel
     own = history is None or history.isEmpty()
     table = queries if own else history
     blocks = max(1, -(-queries.count() // block))
-    wanted = k + 1 if exclude_self and own else k
+    wanted = k + 1 if exclude_self else k  # a history may hold the query as well
     found = None
     for b in range(blocks):
         part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
