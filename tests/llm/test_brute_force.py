@@ -303,9 +303,8 @@ def test_plan_places_every_piece():
 
 def test_ids_are_the_tokenizers_own():
     whole = Tokenizer.from_file(tokens.WORD_BPE)
-    whole.encode_special_tokens = True
     bpe = tokens.WordBpe(tokens.WORD_BPE, tokens.unlisted(tokens.WORD_BPE))
-    for text in ["I'm it's we'LL 'D don't", "İstanbul ΣΑΣ ΟΔΟΣ", "a\xa0b\x85c\x1cd", "naïve café ÀÉ 12½ x²", "🙂 hi​there", "<|endoftext|> x", "日本語 テスト", " \n", "éa", "x" * 300]:
+    for text in ["I'm it's we'LL 'D don't", "İstanbul ΣΑΣ ΟΔΟΣ", "a\xa0b\x85c\x1cd", "naïve café ÀÉ 12½ x²", "🙂 hi​there", "<|endoftext|> x", "a<|startoftext|>b <|ENDOFTEXT|> <|endoftext |>", "日本<|endoftext|>", "日本語 テスト", " \n", "éa", "x" * 300]:
         assert bpe.ids(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 

@@ -20,10 +20,13 @@ ROWS_A_RANKED_BUCKET = 50_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share. Where the session names none, one machine makes its own; a cluster can't."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
@@ -32,7 +35,38 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     at = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    out._written_at = at
+    return out
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Deletes the files of tables made by written, once nothing will read them again."""
+    for df in tables:
+        spark = df.sparkSession
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_at)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def private(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of the operator's own, which df doesn't have in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+#: Values of the salt that parts equal rows.
+SALTS = 64
+SALT = "_salt"
+
+
+def salted(df: DataFrame) -> DataFrame:
+    """df with SALT, by which ranked deals rows that are equal; to be written before it is read twice."""
+    return df.withColumn(SALT, (F.monotonically_increasing_id() % SALTS).cast("int"))
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict | None]], schema: str | StructType) -> DataFrame:
@@ -52,21 +86,22 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, rows: int | None = None) -> DataFrame:
-    """df with column `name`: a gapless rank from 0 within each value of keys.
+    """df, a written table with SALT, with column `name`: a gapless rank from 0 within each value of keys.
 
     A group of any size is dealt into hashed buckets that are ranked apart; the counts of
-    the buckets give each its offset. rows: how many df has, where that is known.
+    the buckets give each its offset. Rows equal in all of order must be alike, for which of them has
+    which rank is left open; the salt parts them too. rows: how many df has, where that is known.
     """
     n = df.count() if rows is None else rows
     buckets = max(64, n // ROWS_A_RANKED_BUCKET)
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order, SALT), F.lit(buckets)).cast("int"))
     counts = dealt.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    within = Window.partitionBy(*keys, "_bucket").orderBy(*order, SALT)
     numbered = dealt.withColumn("_at", F.row_number().over(within) - 1)
     same = F.col("_bucket") == F.col("_b")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     joined = numbered.join(offsets, same, "left")
-    return joined.withColumn(name, (F.col("_offset") + F.col("_at")).cast("long")).drop("_bucket", "_b", "_offset", "_at", "_n", *(f"_k{i}" for i in range(len(keys))))
+    return joined.withColumn(name, (F.col("_offset") + F.col("_at")).cast("long")).drop("_bucket", "_b", "_offset", "_at", "_n", SALT, *(f"_k{i}" for i in range(len(keys))))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tidemark.llm.common import map_batches, ranked, written
+from tidemark.llm.common import SALT, map_batches, ranked, salted, written
 from tidemark.llm.tokens import WORD_BPE, unlisted, word_bpe
 
 WINDOW, END_ID, BINS, DEPTH = 4096, 2, 256, 3
@@ -160,9 +160,11 @@ def _places(p: Plan) -> dict[int, tuple[np.ndarray, ...]]:
 def packed(pieces: DataFrame, window: int = WINDOW, bins: int = BINS, depth: int = DEPTH) -> DataFrame:
     """pieces with sequence_id (from 0, gapless) and offset (tokens before it in its sequence).
 
-    pieces has doc_id, start and length, of 1 to window tokens, and whatever else; it must be
-    cheap to read again. Every piece gets one place. An empty table gives no rows.
+    pieces has doc_id, start, length (of 1 to window tokens), doc_tokens and ids or ids_crc32; it is written with
+    a salt first. Every piece gets one place; which of pieces alike in all columns has which is left
+    open. An empty table gives no rows.
     """
+    pieces = written(salted(pieces), "pieces")
     width = -(-window // bins)
     pieces = pieces.withColumn("_bin", F.ceil(F.col("length") / width).cast("int"))
     counts = pieces.groupBy("_bin").count().collect()  # at most `bins` rows
@@ -170,7 +172,7 @@ def packed(pieces: DataFrame, window: int = WINDOW, bins: int = BINS, depth: int
     for row in counts:
         histogram[row["_bin"] - 1] = row["count"]
     places = _places(plan(histogram, depth))
-    table = ranked(pieces, ["_bin"], ["doc_id", "start"], "_rank", rows=int(histogram.sum()))
+    table = ranked(pieces, ["_bin"], [c for c in pieces.columns if c not in ("_bin", SALT)], "_rank", rows=int(histogram.sum()))
     schema = StructType([*(f for f in table.schema if f.name not in ("_bin", "_rank")), StructField("sequence_id", LongType()), StructField("_place", IntegerType())])
 
     def make():
@@ -191,14 +193,15 @@ def packed(pieces: DataFrame, window: int = WINDOW, bins: int = BINS, depth: int
 
 
 def sequences(docs: DataFrame, path: str = WORD_BPE, window: int = WINDOW) -> DataFrame:
-    """Pieces of docs with their ids and places; see tokenized and packed."""
-    return packed(written(tokenized(docs, path, window), "pieces"), window)
+    """Pieces of docs with their ids and places. A null or empty text is end_id alone, repeated rows are packed each,
+    an empty table gives no rows and extra columns are left out; see tokenized and packed."""
+    return packed(tokenized(docs, path, window), window)
 
 
 def packed_documents(docs: DataFrame, path: str = WORD_BPE) -> DataFrame:
-    """Places of all pieces, with a checksum of their ids (ids_crc32) in place of the ids."""
+    """Places of all pieces, with a checksum of their ids (ids_crc32) in place of the ids; otherwise as sequences."""
     pieces = tokenized(docs, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packed(written(pieces, "pieces")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return packed(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ranked, written
+from tidemark.llm.common import ranked, salted, written
 
 #: Production topology: shards of a rack, racks of a region.
 SHARDS_A_RACK, RACKS_A_REGION = 4, 2
@@ -93,7 +93,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     rows = assign(assign(rows, topology(shards)), topology(shards, 1), column="grown_shard")
-    return ranked(written(rows, "sizes"), ["shard"], ["doc_id", "text_crc32", "size"], "slot")  # narrow, so that texts are read once
+    return ranked(written(salted(rows), "sizes"), ["shard"], ["doc_id", "text_crc32", "size", "grown_shard"], "slot")  # narrow, so that texts are read once
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, tree: Node | None = None) -> None:

@@ -5,7 +5,8 @@ piece of such a tokenizer crosses white space, so ids are looked up by space-del
 chunk. A chunk not seen yet is merged by tiktoken's core over the same ranks, with the end
 of a word as byte 0xFF. The two libraries could differ only where a merge that the file
 doesn't list makes a token of it: those tokens are found beforehand, and words that hold
-one go to the tokenizers library, as do texts beyond printable Latin-1.
+one go to the tokenizers library, as do texts beyond printable Latin-1 and texts that hold
+the string of one of the file's special tokens, which that library makes one id.
 """
 
 from __future__ import annotations
@@ -88,7 +89,7 @@ class WordBpe(dict):
     def __init__(self, path: str, doubtful: frozenset[int]) -> None:
         super().__init__()
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         ranks, _ = _read(path)
         self.doubtful = doubtful
         self.core = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
@@ -109,7 +110,7 @@ class WordBpe(dict):
         if not text:
             return b""
         try:
-            plain = not text.encode("latin-1").translate(None, self._SAFE)
+            plain = not text.encode("latin-1").translate(None, self._SAFE) and not any(x in text for x in self.special)
         except UnicodeEncodeError:
             plain = False
         if not plain:
