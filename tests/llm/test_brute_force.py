@@ -205,25 +205,78 @@ def test_moves_stay_in_changed_subtrees(spark):
     assert counts[3] > 2 * counts[2]
 
 
+def plain_score(text, texts, common, counts, paths, net, places=(-2, -1, 1, 2)):
+    """The sum of log-probabilities of a text's words, one word, step and unit at a time."""
+    import math
+
+    from tidemark.llm.scoring import BUCKETS, SMOOTH
+
+    words = (text or "").encode().lower().split()
+    bucket = lambda w: xxhash.xxh64_intdigest(w) % BUCKETS
+    number = lambda w: 1 + common.index(w) if w in common else 1 + len(common) + bucket(w)
+    total, n = 0.0, len(net.into) // len(places)
+    for i, w in enumerate(words):
+        around = [number(words[i + k]) if 0 <= i + k < len(words) else 0 for k in places]
+        h = [math.tanh(sum(float(net.into[k * n + a, d]) for k, a in enumerate(around)) + float(net.hidden[0, d])) for d in range(net.into.shape[1])]
+        for node, side in paths[number(w)]:
+            z = sum(float(a) * b for a, b in zip(net.out[node], h, strict=True)) + float(net.out_bias[node, 0])
+            total -= math.log1p(math.exp(-side * z))
+        if w not in common:
+            own = [x for x in counts if x not in common and bucket(x) == bucket(w)]
+            total += math.log((counts[w] + SMOOTH) / (sum(counts[x] for x in own) + SMOOTH * (len(own) + 1)))
+    return total
+
+
+def test_op6_equals_plain_python(spark, monkeypatch):
+    from tidemark.llm import scoring as S
+
+    draw, given = np.random.default_rng(4), {}
+    texts = [" ".join(f"w{int(x)}" for x in draw.geometric(0.05, draw.integers(1, 30))) for _ in range(60)] + [None, "", "Alone", "w1 W1 w1"]
+
+    def weights(_, tree):
+        net = S.Network(tree)
+        for part in net.parts():
+            part[...] = draw.normal(0, 0.7, part.shape)
+        given.update(net=net, tree=tree)
+        return net
+
+    monkeypatch.setattr(S, "trained", weights)
+    counts = Counter(w for t in texts for w in (t or "").encode().lower().split())
+    common = [w for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if n >= S.LEAST]
+    assert 3 < len(common) < len(counts) - 10
+    rows = S.pseudo_likelihood(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    tree = given["tree"]
+    paths = [[(k, int(s)) for k, s in enumerate(tree.top[i]) if s] + [(abs(int(x)) - 1, 1 if x > 0 else -1) for x in tree.deep[:, i] if x] for i in range(len(tree.depth))]
+    assert sum(np.prod([0.5 for _ in p]) for p in paths[1:]) == pytest.approx(1)  # leaves of one whole tree
+    for r in rows:
+        assert r["log_likelihood"] == pytest.approx(plain_score(texts[r["doc_id"]], texts, common, counts, paths, given["net"]), rel=1e-5, abs=1e-4)
+        assert r["n_tokens"] == len((texts[r["doc_id"]] or "").split())
+
+
 def test_op6(spark, small, texts):
     rows = Q["op6_pseudo_likelihood"](spark, small).collect()
     assert {r["doc_id"]: r["n_tokens"] for r in rows} == {d: len((t or "").encode().split()) for d, t in texts.items()}
-    known = [r for r in rows if r["n_tokens"]]
-    assert sum(r["log_likelihood"] for r in known) / sum(r["n_tokens"] for r in known) > -np.log(255)
+    again = {r["doc_id"]: r["log_likelihood"] for r in Q["op6_pseudo_likelihood"](spark, small).collect()}
+    assert again == {r["doc_id"]: r["log_likelihood"] for r in rows}
+    # better than the words' shares of the corpus, which no context can tell
+    counts = Counter(w for t in texts.values() for w in (t or "").encode().lower().split())
+    total = sum(counts.values())
+    assert sum(r["log_likelihood"] for r in rows) / total > sum(n * np.log(n / total) for n in counts.values()) / total
 
 
-def test_network_learns(spark):
+def test_network_learns():
     from tidemark.llm import scoring as S
 
     draw = np.random.default_rng(0)
-    runs = draw.integers(1, 9, (4000, 5)).astype(np.uint8)
+    runs = draw.integers(1, 9, (60_000, 5)).astype(np.uint16)
     runs[:, 2] = np.where(runs[:, 1] < 5, runs[:, 3], runs[:, 1])  # told by both sides
-    w = S.fresh_weights()
+    tree = S.Tree(np.bincount(runs[:, 2], minlength=9)[1:].astype(float))
+    net, around = S.Network(tree), np.delete(runs, 2, axis=1).astype(np.int64)
     for _ in range(12):
-        S.train(w, runs, 0.15)
-    _, z = S.forward(w, np.delete(runs, 2, axis=1))
-    assert np.allclose(np.exp(z[:, 1:]).sum(axis=1), 1, atol=1e-4)
-    assert z[np.arange(len(runs)), runs[:, 2]].mean() > -0.7
+        S.train(net, tree, runs, 0.3)
+    each = np.stack([S.log_probs(net, tree, around[:500], np.full(500, k)) for k in range(1, 9)])
+    assert np.allclose(np.exp(each).sum(axis=0), 1, atol=1e-4)
+    assert S.log_probs(net, tree, around, runs[:, 2].astype(np.int64)).mean() > -1.2 > np.log(1 / 8)
 
 
 def test_hosts_decide_rows_and_leave_clean_ones(spark, small):

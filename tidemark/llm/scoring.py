@@ -1,22 +1,24 @@
 """Language-model scores by masked pseudo-likelihood.
 
-A small network sees the REACH words on either side of a hidden word and gives a probability to
-each class of words: the TOP commonest words of the corpus, and BUCKETS classes that
-share the others by hash. A document's score is the sum over its words of the log of
-the probability of each given both sides. Classes are counted over all documents.
-
-That is log_likelihood, of classes. word_log_likelihood is of the words themselves: each word that shares
-a class adds the log of its smoothed share of the class's occurrences. The shares of the words
-of most occurrences are broadcast; those of all others are joined.
+A small network sees the REACH words on either side of a hidden word and predicts the word. Its output is a
+Huffman tree over the vocabulary: a word's probability is the product of the decisions on
+its path, so that probabilities of all words sum to one and a prediction costs as many steps as the path
+has. The vocabulary grows with the corpus, up to WORDS words of LEAST occurrences or more; other words
+share BUCKETS leaves by hash, and within its leaf a word has its smoothed share of the leaf's occurrences,
+from exact counts of all words of the corpus. A document's score is the sum over its words of the
+log-probability of each given both sides.
 
 The network is trained in numpy on every word of every document, each in one of the rounds. Runs of
-words are dealt to trainers; in each round they all start from the same weights, pass the round's
-windows in small batches, and the weights are averaged by the number of windows.
+words are dealt to trainers; in each round they start from the same weights and pass the round's windows
+in small batches. Each row of weights then moves by the mean of the trainers' moves, weighted by how often each
+trainer met it. Runs are sorted, and moves are summed as integers, so that the weights don't hang on the order
+in which tasks end, or on tasks that run again.
 """
 
 from __future__ import annotations
 
-import uuid
+import heapq
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,28 +28,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import map_batches, written
-from tidemark.llm.tokens import worker_cache
+from tidemark.llm.common import discarded, map_batches, written
 
-TOP, BUCKETS, REACH, HIDDEN = 191, 64, 2, 32
-#: Class 0 stands outside a document; it is never predicted.
-CLASSES = 1 + TOP + BUCKETS
-ROUNDS, BATCH, RATE, SEED = 3, 256, 0.15, 6
-#: Windows of a trainer in one round at most, about.
-TRAINER_WINDOWS = 2_000_000
-#: Words of a run dealt to a trainer at least, if its batch has them.
+#: Words of the vocabulary at most, their least count, and the leaves that all other words share. Ids fit 16 bits.
+WORDS, LEAST, BUCKETS = 1 << 15, 20, 1 << 10
+REACH, HIDDEN, TOP = 2, 8, 15
+ROUNDS, BATCH, RATE, SEED = 2, 4096, 0.1, 6
+#: Trainers at least, and words of a trainer at most, about.
+TRAINERS, TRAINER_WORDS = 6, 64_000_000
+#: Words whose windows are shuffled together, at least.
 RUN = 250_000
 #: Distinct words that a task counts before it passes them on, and that it remembers.
 HELD = 300_000
-ONES = np.ones(CLASSES, np.float32)
 #: Words whose shares are broadcast, at most; any other's is joined by its hash.
 KNOWN = 300_000
-#: Added to each count of a class's words, and the count of a word that isn't among them.
+#: Added to each count of a leaf's words, and the count of a word that isn't among them.
 SMOOTH = 0.5
+#: Moves are summed in units of 1 / UNIT, in chunks of so many numbers.
+UNIT, CHUNK = 1 << 16, 1 << 14
+#: Words that are scored at once.
+AT_ONCE = 4096
 PLACES = tuple(k for k in range(-REACH, REACH + 1) if k)
 
-Weights = dict[str, np.ndarray]
-
 
 def words_of(text: str | None) -> list[bytes]:
     """Words between the six white space characters, A-Z in lower case."""
@@ -58,15 +60,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """word (binary) and n over all of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, int] = {}
+        counts: Counter[bytes] = Counter()
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                for w in words_of(text):
-                    counts[w] = counts.get(w, 0) + 1
+                counts.update(words_of(text))
                 if len(counts) > HELD:
                     yield out()
                     counts.clear()
@@ -76,10 +77,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, top: int = TOP, counts: DataFrame | None = None) -> list[bytes]:
-    """The commonest words, equal counts by bytes. counts: word_counts of docs, where they are there already."""
-    counts = word_counts(docs) if counts is None else counts
-    return [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(top).collect()]
+def vocabulary(counts: DataFrame, most: int = WORDS, least: int = LEAST) -> list[tuple[bytes, int]]:
+    """The commonest words of word_counts with their counts, equal counts by bytes: `most` at most."""
+    return [(bytes(r["word"]), r["n"]) for r in counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most).collect()]
 
 
 def word_hash(word: bytes) -> int:
@@ -87,9 +87,8 @@ def word_hash(word: bytes) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def word_shares(counts: DataFrame, common: list[bytes]) -> DataFrame:
-    """hash, n and share (log, in units of 1e-9) of the words that aren't common. All words scored are of the corpus; what an
-    unseen one would have is left free in each class."""
+def rare_words(counts: DataFrame, common: list[bytes]) -> DataFrame:
+    """hash, n and bucket of the words that aren't common; a table."""
 
     def make():
         known = set(common)
@@ -100,11 +99,22 @@ def word_shares(counts: DataFrame, common: list[bytes]) -> DataFrame:
 
         return step
 
-    rare = written(map_batches(counts, make, "hash long, n long"), "rare_words").withColumn("bucket", F.pmod("hash", F.lit(BUCKETS)))
-    sums = {r["bucket"]: r["n"] + SMOOTH * (r["words"] + 1) for r in rare.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()}
-    of = F.element_at(F.array(*(F.lit(float(sums.get(b, SMOOTH))) for b in range(BUCKETS))), (F.col("bucket") + 1).cast("int"))
-    share = F.round(F.log((F.col("n") + SMOOTH) / of) * 1e9).cast("long")
-    return rare.select("hash", "n", share.alias("share"))
+    return written(map_batches(counts, make, "hash long, n long").withColumn("bucket", F.pmod("hash", F.lit(BUCKETS)).cast("int")), "rare_words")
+
+
+def bucket_sums(rare: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences and words of each bucket."""
+    n, words = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for r in rare.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
+        n[r["bucket"]], words[r["bucket"]] = r["n"], r["words"]
+    return n, words
+
+
+def word_shares(rare: DataFrame, sums: np.ndarray) -> DataFrame:
+    """hash, n and share (log, in units of 1e-9) of the words that aren't common. sums: by bucket, of smoothed counts.
+    All words scored are of the corpus; what an unseen one would have is left free in each bucket."""
+    of = F.element_at(F.array(*(F.lit(float(x)) for x in sums)), F.col("bucket") + 1)
+    return rare.select("hash", "n", F.round(F.log((F.col("n") + SMOOTH) / of) * 1e9).cast("long").alias("share"))
 
 
 def broadcast_shares(rare: DataFrame, most: int = KNOWN) -> tuple[int, np.ndarray, np.ndarray]:
@@ -119,269 +129,383 @@ def broadcast_shares(rare: DataFrame, most: int = KNOWN) -> tuple[int, np.ndarra
     return least, table["hash"].to_numpy(), table["share"].to_numpy()
 
 
-class Classes(dict):
-    """The class of a word; remembers up to HELD of the words that aren't common."""
+class Tree:
+    """A Huffman tree: the inner nodes on each id's path from the root, the most met first, the side it takes at each,
+    and how often each node is met. Id 0 stands outside a document; it is never predicted and has no path.
 
-    def __init__(self, common: list[bytes]) -> None:
-        super().__init__()
-        self.common = {w: 1 + i for i, w in enumerate(common)}
-        self.update(self.common)
+    Steps through the TOP most met nodes are in a matrix (0 where a path doesn't pass); the others by depth.
+    """
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > HELD:
-            self.clear()
-            self.update(self.common)
-        k = self[word] = 1 + TOP + xxhash.xxh64_intdigest(word) % BUCKETS
-        return k
-
-    def of(self, text: str | None) -> np.ndarray:
-        """Classes of the text's words, with REACH zeros on either side."""
-        words = words_of(text)
-        out = np.zeros(len(words) + 2 * REACH, np.uint8)
-        out[REACH : REACH + len(words)] = np.fromiter(map(self.__getitem__, words), np.uint8, len(words))
+    def __init__(self, counts: np.ndarray) -> None:
+        n = len(counts)
+        inner, total = max(1, n - 1), max(1.0, float(counts.sum()))
+        heap = [(float(c), i) for i, c in enumerate(counts.tolist())]
+        heapq.heapify(heap)
+        up, side, met, bias = np.zeros(2 * n, np.int64), np.zeros(2 * n, np.int8), np.zeros(inner), np.zeros(inner, np.float32)
+        for k in range(n - 1):  # nodes come with growing counts
+            (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            up[[i, j]], side[[i, j]] = n + k, (-1, 1)
+            met[n - 2 - k], bias[n - 2 - k] = a + b, np.log((b + SMOOTH) / (a + SMOOTH))
+            heapq.heappush(heap, (a + b, n + k))
+        self.nodes, self.frequency, self.met, self.bias = n - 1, np.concatenate(([0], counts)) / total, met / total, bias
+        self.top = np.zeros((n + 1, min(TOP, inner)), np.float32)
+        deep: list[list[tuple[int, int]]] = [[]]
+        for i in range(n):
+            path, at = [], i
+            while at != 2 * n - 2:
+                node, own = 2 * n - 2 - int(up[at]), int(side[at])
+                if node < TOP:
+                    self.top[i + 1, node] = own
+                else:
+                    path.append((node, own))
+                at = int(up[at])
+            deep.append(path)
+        self.depth = np.array([len(x) for x in deep], np.uint8)
+        most = int(self.depth.max(initial=0))
+        self.deep = np.zeros((most, n + 1), np.int32)  # nodes, counted from 1, with their sides as signs
+        for i, path in enumerate(deep):
+            for k, (node, own) in enumerate(path):
+                self.deep[k, i] = own * (node + 1)
+
+    @classmethod
+    def of(cls, state: dict) -> Tree:
+        """The tree of another's __dict__; plain arrays are what can be broadcast to workers without this package."""
+        tree = cls.__new__(cls)
+        tree.__dict__.update(state)
+        return tree
+
+    def times_met(self, hidden: np.ndarray) -> np.ndarray:
+        """How often each node is met, where each id is predicted so often."""
+        out = np.zeros(max(1, self.nodes), np.int64)
+        out[: self.top.shape[1]] = np.rint(hidden @ np.abs(self.top).astype(np.float64))
+        for steps in self.deep:
+            out += np.bincount(np.maximum(np.abs(steps) - 1, 0), hidden * (steps != 0), len(out)).astype(np.int64)
         return out
 
+    def by_depth(self, ids: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """An order of ids by falling depth, and how many have a step at each depth."""
+        depth = self.depth[ids]
+        order = np.argsort(255 - depth, kind="stable")
+        counts = np.cumsum(np.bincount(depth, minlength=len(self.deep) + 1)[::-1])[::-1][1:].tolist()
+        return order, [m for m in counts if m]
+
+    def deep_steps(self, ids: np.ndarray, counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Of ids in that order: nodes and sides of the steps at each depth in turn."""
+        steps = np.concatenate([self.deep[k].take(ids[:m]) for k, m in enumerate(counts)])
+        return np.abs(steps) - 1, np.sign(steps).astype(np.float32)
+
+
+class Network:
+    """Weights: a row for each place and id, the hidden units' bias, and a row with a bias for each node of the tree."""
+
+    def __init__(self, tree: Tree) -> None:
+        draw, n = np.random.default_rng(SEED), len(tree.depth)
+        self.into = draw.normal(0, 0.2, (len(PLACES) * n, HIDDEN)).astype(np.float32)
+        self.hidden = np.zeros((1, HIDDEN), np.float32)
+        self.out = np.zeros((len(tree.bias), HIDDEN), np.float32)
+        self.out_bias = tree.bias[:, None].copy()  # without the sides, words have their shares of the corpus
+        self.ids = n
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.into, self.hidden, self.out, self.out_bias]
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.parts()])
+
+    def load(self, x: np.ndarray) -> Network:
+        at = 0
+        for part in self.parts():
+            part[...] = x[at : at + part.size].reshape(part.shape)
+            at += part.size
+        return self
+
+    def units(self, around: np.ndarray) -> np.ndarray:
+        """Hidden units for rows of the ids around."""
+        h = self.into.take(around[:, 0], axis=0)
+        for k in range(1, len(PLACES)):
+            h += self.into.take(around[:, k] + k * self.ids, axis=0)
+        h += self.hidden
+        return np.tanh(h, out=h)
+
+
+def _log_sigmoid(z: np.ndarray) -> np.ndarray:
+    return np.minimum(z, 0) - np.log(1 + np.exp(-np.abs(z)))
+
+
+def log_probs(net: Network, tree: Tree, around: np.ndarray, hidden: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the hidden ids for rows of the ids around."""
+    if not tree.nodes:  # a single word is sure
+        return np.zeros(len(hidden), np.float32)
+    order, counts = tree.by_depth(hidden)
+    ids, h = hidden[order], net.units(around[order])
+    top, n = tree.top.take(ids, axis=0), tree.top.shape[1]
+    z = (h @ net.out[:n].T + net.out_bias[:n, 0]) * top
+    logs = (_log_sigmoid(z) * np.abs(top)).sum(axis=1)
+    if counts:
+        nodes, side = tree.deep_steps(ids, counts)
+        z = np.einsum("ij,ij->i", net.out.take(nodes, axis=0), np.concatenate([h[:m] for m in counts])) + net.out_bias[:, 0].take(nodes)
+        deep, at = _log_sigmoid(z * side), 0
+        for m in counts:
+            logs[:m] += deep[at : at + m]
+            at += m
+    out = np.empty(len(hidden), np.float32)
+    out[order] = logs
+    return out
+
 
-class Shares(dict):
-    """The log of a word's share of its class in units of 1e-9, or None where it isn't broadcast; remembers up to HELD words."""
+def _subtract(rows: np.ndarray, at: np.ndarray, moves: np.ndarray) -> None:
+    """rows[at] -= moves, where at may repeat: by pairs of numbers, which numpy adds in one step."""
+    pairs = np.arange(HIDDEN // 2)
+    np.subtract.at(rows.view(np.complex64).reshape(-1), (at[:, None] * np.intp(HIDDEN // 2) + pairs).reshape(-1), moves.view(np.complex64).reshape(-1))
+
+
+def train(net: Network, tree: Tree, windows: np.ndarray, rate: float = RATE) -> None:
+    """One pass of gradient steps over windows (ids of each place, the hidden word in the middle). A row of weights that
+    a batch meets often takes shorter steps."""
+    if not tree.nodes:
+        return
+    node_rate = (rate / np.sqrt(1 + BATCH * tree.met)).astype(np.float32)
+    word_rate = (rate / np.sqrt(1 + BATCH * tree.frequency)).astype(np.float32)
+    word_rate[0] = rate / BATCH**0.5  # outside a document
+    with np.errstate(over="ignore"):  # the inverse of infinity is the limit
+        for k in range(0, len(windows), BATCH):
+            _step(net, tree, windows[k : k + BATCH], rate, node_rate, word_rate)
+
+
+def _step(net: Network, tree: Tree, rows: np.ndarray, rate: float, node_rate: np.ndarray, word_rate: np.ndarray) -> None:
+    n, out_bias = tree.top.shape[1], net.out_bias.reshape(-1)
+    order, counts = tree.by_depth(rows[:, REACH])
+    rows = rows[order].astype(np.int64)
+    ids, around = rows[:, REACH], np.delete(rows, REACH, axis=1)
+    h = net.units(around)
+    sides = tree.top.take(ids, axis=0)
+    z = (h @ net.out[:n].T + out_bias[:n]) * sides
+    g = -sides / (1 + np.exp(z))
+    dh = g @ net.out[:n]
+    g *= node_rate[:n]
+    net.out[:n] -= g.T @ h
+    out_bias[:n] -= g.sum(axis=0)
+    if counts:
+        nodes, side = tree.deep_steps(ids, counts)
+        o, repeated = net.out.take(nodes, axis=0), np.concatenate([h[:m] for m in counts])
+        z = np.einsum("ij,ij->i", o, repeated) + out_bias.take(nodes)
+        g = -side / (1 + np.exp(z * side))
+        o *= g[:, None]
+        at = 0
+        for m in counts:
+            dh[:m] += o[at : at + m]
+            at += m
+        g *= node_rate.take(nodes)
+        repeated *= g[:, None]
+        _subtract(net.out, nodes, repeated)
+        np.subtract.at(out_bias, nodes, g)
+    dh *= 1 - h * h
+    net.hidden -= rate / BATCH * dh.sum(axis=0)
+    for p in range(len(PLACES)):
+        _subtract(net.into, around[:, p] + p * net.ids, dh * word_rate.take(around[:, p])[:, None])
+
+
+class Ids(dict):
+    """Of a word its id and, above that, the log of its share of its leaf in units of 1e-9, or MISSING where that isn't
+    broadcast; remembers up to HELD of the words that aren't common."""
+
+    MISSING = 1
 
     def __init__(self, common: list[bytes], hashes: np.ndarray, shares: np.ndarray) -> None:
         super().__init__()
-        self.common = dict.fromkeys(common, 0)
+        self.common = {w: 1 + i for i, w in enumerate(common)}
         self.known = dict(zip(hashes.tolist(), shares.tolist(), strict=True))
         self.update(self.common)
 
-    def __missing__(self, word: bytes) -> int | None:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > HELD:
             self.clear()
             self.update(self.common)
-        x = self[word] = self.known.get(word_hash(word))
-        return x
-
-    def of(self, text: str | None) -> tuple[int, list[int]]:
-        """The sum of the shares that are known, and the hashes of all other words."""
-        words = words_of(text)
-        found = list(map(self.__getitem__, words))
-        if None not in found:
-            return sum(found), []
-        return sum(x for x in found if x is not None), [word_hash(w) for w, x in zip(words, found, strict=True) if x is None]
-
-
-def fresh_weights() -> Weights:
-    draw = np.random.default_rng(SEED)
-    small = lambda *shape: draw.normal(0, 0.1, shape).astype(np.float32)
-    return {"into": small(len(PLACES), CLASSES, HIDDEN), "bias": np.zeros(HIDDEN, np.float32), "out": small(HIDDEN, CLASSES), "out_bias": np.zeros(CLASSES, np.float32)}
-
-
-def flat(w: Weights) -> np.ndarray:
-    return np.concatenate([x.ravel() for x in w.values()])
-
-
-def unflat(x: np.ndarray) -> Weights:
-    out, at = {}, 0
-    for k, v in fresh_weights().items():
-        out[k] = x[at : at + v.size].reshape(v.shape).astype(np.float32)
-        at += v.size
-    return out
+        x = word_hash(word)
+        found = self[word] = (self.known.get(x, self.MISSING) << 16) + 1 + len(self.common) + x % BUCKETS
+        return found
 
-
-def hidden_units(w: Weights, around: np.ndarray) -> np.ndarray:
-    """Hidden units for rows of the classes around."""
-    h = w["into"][0].take(around[:, 0], axis=0)
-    for k in range(1, len(PLACES)):
-        h += w["into"][k].take(around[:, k], axis=0)
-    h += w["bias"]
-    return np.tanh(h, out=h)
-
-
-def outputs(w: Weights, h: np.ndarray) -> np.ndarray:
-    """Unscaled log-probabilities of the classes, in the range of float32's exp."""
-    z = h @ w["out"]
-    z += w["out_bias"]
-    z[:, 0] = -np.inf
-    if np.abs(w["out"]).sum(axis=0).max() + np.abs(w["out_bias"]).max() > 80:  # no hidden unit is over 1
-        z -= z.max(axis=1, keepdims=True)
-    return z
-
-
-def forward(w: Weights, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden units and log-probabilities of the classes, for rows of the classes around."""
-    h = hidden_units(w, around)
-    z = outputs(w, h)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return h, z
-
-
-def train(w: Weights, windows: np.ndarray, rate: float = RATE) -> None:
-    """One pass of gradient steps over windows (classes of each place, the hidden word in the middle)."""
-    for k in range(0, len(windows), BATCH):
-        rows = windows[k : k + BATCH]
-        around, hidden = np.delete(rows, REACH, axis=1), rows[:, REACH]
-        h = hidden_units(w, around)
-        d = outputs(w, h)
-        np.exp(d, out=d)
-        d /= (d @ ONES)[:, None]
-        d[np.arange(len(d)), hidden] -= 1
-        d *= rate / len(d) ** 0.5
-        dh = (d @ w["out"].T) * (1 - h * h)
-        w["out"] -= h.T @ d
-        w["out_bias"] -= d.sum(axis=0)
-        for p in range(len(PLACES)):  # flat, for numpy's fast path
-            np.subtract.at(w["into"][p].reshape(-1), (around[:, p, None] * np.intp(HIDDEN) + np.arange(HIDDEN)).reshape(-1), dh.reshape(-1))
-        w["bias"] -= dh.sum(axis=0)
-
-
-def score(w: Weights, classes: np.ndarray) -> np.ndarray:
-    """Log-probabilities of the words of a padded run of classes; 0 for the zeros between texts."""
-    out = np.zeros(len(classes) - 2 * REACH, np.float32)
-    words = np.flatnonzero(classes[REACH : len(classes) - REACH])
-    for k in range(0, len(words), 512):
-        at = words[k : k + 512]
-        hidden = classes[REACH + at]
-        z = outputs(w, hidden_units(w, np.stack([classes[REACH + p + at] for p in PLACES], axis=1)))
-        own = z[np.arange(len(at)), hidden]
-        out[at] = own - np.log(np.exp(z, out=z) @ ONES)
-    return out
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, int, list[int]]:
+        """Ids of words, the sum of the shares that are known, and the hashes of all other words."""
+        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        shares = found >> 16
+        others = np.flatnonzero(shares == self.MISSING)
+        return (found & 0xFFFF).astype(np.uint16), int(shares.sum()) - self.MISSING * len(others), [word_hash(words[i]) for i in others.tolist()]
 
 
-def training_runs(docs: DataFrame, common: list[bytes]) -> DataFrame:
-    """Rows of n words and their run: a byte for the class of each, with REACH zeros around each text."""
+def numbered(docs: DataFrame, common: list[bytes], hashes: np.ndarray, shares: np.ndarray, keep: list[str]) -> DataFrame:
+    """The columns keep of docs with ids (two bytes each), known (the sum of the shares that are broadcast) and others
+    (hashes of the words whose shares aren't)."""
+    shipped = docs.sparkSession.sparkContext.broadcast((common, hashes, shares))
 
     def make():
-        classes = Classes(common)
+        ids = Ids(*shipped.value)
 
-        def step(batch: pa.RecordBatch) -> dict | None:
-            counts, runs, held, n = [], [], [], 0
-            for text in batch.column("text").to_pylist():
-                own = classes.of(text)
-                if len(own) > 2 * REACH:
-                    held.append(own)
-                    n += len(own) - 2 * REACH
-                if n >= RUN:
-                    counts.append(n)
-                    runs.append(np.concatenate(held).tobytes())
-                    held, n = [], 0
-            if n:
-                counts.append(n)
-                runs.append(np.concatenate(held).tobytes())
-            return {"n": counts, "run": runs} if runs else None
+        def step(batch: pa.RecordBatch) -> dict:
+            found = [ids.of(words_of(x)) for x in batch.column("text").to_pylist()]
+            return {c: batch.column(c) for c in keep} | {"ids": [x.tobytes() for x, _, _ in found], "known": [x for _, x, _ in found], "others": [x for _, _, x in found]}
 
         return step
 
-    return map_batches(docs.select("text"), make, "n long, run binary")
-
-
-def windows_of(run: bytes, number: int, rounds: int = ROUNDS) -> np.ndarray:
-    """The windows of a run that a round trains on: over all rounds, each word is in the middle of one."""
-    classes = np.frombuffer(run, np.uint8)
-    middle = np.flatnonzero(classes)[number::rounds]
-    return classes[middle[:, None] + np.arange(-REACH, REACH + 1)]
+    schema = StructType([*(docs.schema[c] for c in keep), *StructType.fromDDL("ids binary, known long, others array<long>")])
+    return map_batches(docs.select(*dict.fromkeys([*keep, "text"])), make, schema)
 
 
-def trained(docs: DataFrame, common: list[bytes], rounds: int = ROUNDS) -> Weights:
-    """Weights after some rounds of averaging. Without any word they stay as they were drawn."""
-    spark = docs.sparkSession
-    table = written(training_runs(docs, common), "runs")
-    total = table.agg(F.sum("n")).first()[0] or 0
+def padded(texts: list[bytes]) -> np.ndarray:
+    """The ids of texts in one run, each with REACH zeros on either side."""
+    gap = np.zeros(REACH, np.uint16)
+    return np.concatenate([gap, *(x for t in texts for x in (np.frombuffer(t, np.uint16), gap, gap))])
+
+
+def windows_of(ids: np.ndarray, number: int, rounds: int = ROUNDS) -> np.ndarray:
+    """The windows of a padded run that a round trains on: over all rounds, each word is in the middle of one."""
+    middle = np.flatnonzero(ids)[number::rounds]
+    return ids[middle[:, None] + np.arange(-REACH, REACH + 1)]
+
+
+def _moves(net: Network, before: np.ndarray, windows_seen: np.ndarray, nodes_seen: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row of weights, how often it was met and, so weighted, how far it moved, in units."""
+    met = [windows_seen.ravel(), np.array([n], np.int64), nodes_seen, nodes_seen]
+    moved = net.flat().astype(np.float64) - before
+    weight = np.concatenate([np.repeat(m, part.shape[1]) for m, part in zip(met, net.parts(), strict=True)])
+    return np.concatenate(met), np.rint(moved * weight * UNIT).astype(np.int64)
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of each chunk's numbers; a task holds as many as there are weights at most."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("data"), strict=True):
+            x = np.frombuffer(data.as_py(), np.int64)
+            sums[chunk] = sums[chunk] + x if chunk in sums else x
+    if sums:
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["chunk", "data"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Padded runs of RUN words or more, but for the last one."""
+    held, n = [], 0
+    for batch in batches:
+        for x in batch.column("ids").to_pylist():
+            held.append(x)
+            n += len(x) // 2
+            if n >= RUN:
+                yield padded(held)
+                held, n = [], 0
+    if held:
+        yield padded(held)
+
+
+def trained(texts: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
+    """The network after some rounds over the column ids. Without any word it stays as it was drawn."""
+    spark, net = texts.sparkSession, Network(tree)
+    known = texts.where(F.octet_length("ids") > 0).select("ids", F.xxhash64("ids").alias("h"))
+    total = known.agg(F.sum(F.octet_length("ids") / 2)).first()[0] or 0
     if not total:
-        return fresh_weights()
-    trainers = max(6, -(-int(total) // (rounds * TRAINER_WINDOWS)))
-    dealt = written(table.repartition(trainers, F.xxhash64("run")), "dealt_runs")
-    weights = fresh_weights()
+        return net
+    trainers = max(TRAINERS, -(-int(total) // TRAINER_WORDS))
+    dealt = written(known.repartition(trainers, "h").sortWithinPartitions("h").select("ids"), "dealt_ids")
+    shipped_tree = spark.sparkContext.broadcast(tree.__dict__)
+    rows = sum(len(x) for x in net.parts())
     for number in range(rounds):
-        shipped = spark.sparkContext.broadcast(flat(weights))
+        shipped = spark.sparkContext.broadcast(net.flat())
         rate = RATE / (1 + number)
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped, number=number, rate=rate) -> Iterator[pa.RecordBatch]:
-            w, seen = unflat(shipped.value), 0
-            for batch in batches:
-                for x in batch.column("run"):
-                    rows = windows_of(x.as_py(), number, rounds)
-                    train(w, rows[np.random.default_rng(len(rows)).permutation(len(rows))], rate)
-                    seen += len(rows)
+            own_tree, before = Tree.of(shipped_tree.value), shipped.value
+            own, seen = Network(own_tree).load(before), 0
+            around = np.zeros((len(PLACES), own.ids), np.int64)
+            hidden = np.zeros(own.ids, np.int64)
+            for ids in _runs(batches):
+                windows = windows_of(ids, number, rounds)
+                train(own, own_tree, windows[np.random.default_rng(len(windows)).permutation(len(windows))], rate)
+                for p, k in enumerate(PLACES):
+                    around[p] += np.bincount(windows[:, REACH + k], minlength=own.ids)
+                hidden += np.bincount(windows[:, REACH], minlength=own.ids)
+                seen += len(windows)
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([flat(w).tolist()], pa.list_(pa.float32()))], names=["n", "w"])
-
-        each = dealt.mapInArrow(run, "n double, w array<float>").select("n", F.posexplode("w").alias("k", "x"))
-        mean = each.groupBy("k").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))  # as many rows as weights
-        rows = mean.toPandas().sort_values("k")
-        weights = unflat(rows["x"].to_numpy())
-    return weights
-
+                nodes = own_tree.times_met(hidden)
+                data = np.concatenate(_moves(own, before, around, nodes, seen))
+                for c, k in enumerate(range(0, len(data), CHUNK)):
+                    yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([data[k : k + CHUNK].tobytes()], pa.binary())], names=["chunk", "data"])
+
+        moves = dealt.mapInArrow(run, "chunk int, data binary")
+        sums = moves.repartition("chunk").mapInArrow(_added, "chunk int, data binary").collect()  # as many numbers as weights and rows
+        data = np.concatenate([np.frombuffer(r["data"], np.int64) for r in sorted(sums, key=lambda r: r["chunk"])])
+        met = np.maximum(data[:rows], 1)
+        weight = np.concatenate([np.repeat(m, part.shape[1]) for m, part in zip(np.split(met, np.cumsum([len(x) for x in net.parts()])[:-1]), net.parts(), strict=True)])
+        net.load((net.flat() + data[rows:] / UNIT / weight).astype(np.float32))
+    discarded(dealt)
+    return net
+
+
+def score(net: Network, tree: Tree, ids: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the ids of a padded run; 0 for the zeros between texts."""
+    out = np.zeros(len(ids) - 2 * REACH, np.float32)
+    words = np.flatnonzero(ids[REACH : len(ids) - REACH])
+    for k in range(0, len(words), AT_ONCE):
+        at = words[k : k + AT_ONCE]
+        out[at] = log_probs(net, tree, np.stack([ids[REACH + p + at] for p in PLACES], axis=1).astype(np.int64), ids[REACH + at].astype(np.int64))
+    return out
 
-def scored(docs: DataFrame, common: list[bytes], weights: Weights, keep: list[str]) -> DataFrame:
-    """The columns keep of docs with n_tokens, log_likelihood (their sum) and mean_log_prob.
 
-    A null text or one without words has 0 tokens, a sum of 0 and a null mean. Repeated rows
-    get equal scores.
-    """
-    shipped = docs.sparkSession.sparkContext.broadcast((common, flat(weights)))
+def scored(texts: DataFrame, tree: Tree, net: Network, rare: DataFrame, least: int) -> DataFrame:
+    """texts, a table made by numbered, with n_tokens, log_likelihood (their sum) and mean_log_prob in place of its columns.
+    rare: word_shares, of which those of a count under least are joined."""
+    shipped = texts.sparkSession.sparkContext.broadcast((tree.__dict__, net.flat()))
+    keep = [c for c in texts.columns if c not in ("ids", "others")]
 
     def make():
-        words, x = shipped.value
-        w = unflat(x)
-        cache = worker_cache()
-        if cache.get("classes_of") != words:
-            cache["classes_of"], cache["classes"] = words, Classes(words)
-        classes = cache["classes"]
+        state, weights = shipped.value
+        own_tree = Tree.of(state)
+        own = Network(own_tree).load(weights)
 
         def step(batch: pa.RecordBatch) -> dict:
-            counts, sums = [], []
-            texts = batch.column("text").to_pylist()
-            for k in range(0, len(texts), 32):
-                own = [classes.of(t) for t in texts[k : k + 32]]
+            counts, sums, ids = [], [], batch.column("ids").to_pylist()
+            for k in range(0, len(ids), 64):
+                part = ids[k : k + 64]
                 # the zeros between texts part them; scores of zeros are left out
-                run = np.concatenate([*own, np.zeros(0, np.uint8)])
-                logs = np.concatenate((np.zeros(REACH), score(w, run), np.zeros(REACH)))
-                at = 0
-                for c in own:
-                    n = len(c) - 2 * REACH
+                logs, at = score(own, own_tree, padded(part)).astype(np.float64), 0
+                for x in part:
+                    n = len(x) // 2
                     counts.append(n)
-                    sums.append(float(logs[at + REACH : at + REACH + n].sum(dtype=np.float64)))
-                    at += len(c)
-            return {c: batch.column(c) for c in keep} | {"n_tokens": counts, "log_likelihood": sums, "mean_log_prob": [s / n if n else None for s, n in zip(sums, counts, strict=True)]}
+                    sums.append(float(logs[at : at + n].sum()))
+                    at += n + 2 * REACH
+            return {c: batch.column(c) for c in keep} | {"n_tokens": counts, "in_leaves": sums}
 
         return step
 
-    schema = StructType([*(docs.schema[c] for c in keep), *StructType.fromDDL("n_tokens long, log_likelihood double, mean_log_prob double")])
-    return map_batches(docs.select(*dict.fromkeys([*keep, "text"])), make, schema)
-
-
-def with_shares(docs: DataFrame, common: list[bytes], rare: DataFrame) -> DataFrame:
-    """docs, scored, with word_log_likelihood and mean_word_log_prob; without their text."""
-    least, hashes, shares = broadcast_shares(rare)
-    shipped = docs.sparkSession.sparkContext.broadcast((common, hashes, shares))
-    keep, own_id = [c for c in docs.columns if c != "text"], uuid.uuid4().hex
-
-    def make():
-        cache = worker_cache()
-        if cache.get("shares_of") != own_id:
-            cache["shares_of"], cache["shares"] = own_id, Shares(*shipped.value)
-        own = cache["shares"]
-
-        def step(batch: pa.RecordBatch) -> dict:
-            found = [own.of(t) for t in batch.column("text").to_pylist()]
-            return {c: batch.column(c) for c in keep} | {"_known": [x for x, _ in found], "_others": [x for _, x in found]}
-
-        return step
-
-    schema = StructType([*(docs.schema[c] for c in keep), *StructType.fromDDL("_known long, _others array<long>")])
-    rows = written(map_batches(docs, make, schema).withColumn("_row", F.monotonically_increasing_id()), "scored")
-    other = rows.select(F.col("_row").alias("_r"), F.explode("_others").alias("hash"))
-    summed = other.join(rare.where(F.col("n") < least).select("hash", "share"), "hash").groupBy("_r").agg(F.sum("share").alias("_rare"))
-    joined = rows.drop("_others").join(summed, F.col("_row") == F.col("_r"), "left")
-    whole = joined.withColumn("word_log_likelihood", F.col("log_likelihood") + (F.col("_known") + F.coalesce("_rare", F.lit(0))) / 1e9)
-    mean = F.when(F.col("n_tokens") > 0, F.col("word_log_likelihood") / F.col("n_tokens"))
-    return whole.withColumn("mean_word_log_prob", mean).drop("_row", "_r", "_known", "_rare")
+    schema = StructType([*(texts.schema[c] for c in keep), *StructType.fromDDL("n_tokens long, in_leaves double")])
+    rows = map_batches(texts.select(*keep, "ids"), make, schema)
+    other = texts.select(F.col("row").alias("r"), F.explode("others").alias("hash"))
+    summed = other.join(rare.where(F.col("n") < least).select("hash", "share"), "hash").groupBy("r").agg(F.sum("share").alias("joined"))
+    found = rows.join(summed, F.col("row") == F.col("r"), "left")
+    found = found.withColumn("log_likelihood", F.col("in_leaves") + (F.col("known") + F.coalesce("joined", F.lit(0))) / 1e9)
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return found.withColumn("mean_log_prob", mean).drop("row", "r", "known", "joined", "in_leaves")
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
-    """doc_id with its scores, by a network trained on docs themselves. Extra columns are left out."""
+    """doc_id, n_tokens, log_likelihood and mean_log_prob of every row, by a network trained on docs themselves.
+
+    Null and empty texts teach nothing, have 0 tokens, a sum of 0 and a null mean; repeated rows teach each and score
+    alike; an empty table gives no rows. Extra columns are left out. The same files, read in the same splits on
+    like machines, give the same scores.
+    """
     rows = docs.select("doc_id", "text")
     counts = written(word_counts(rows), "word_counts")
-    common = vocabulary(rows, counts=counts)
-    return with_shares(scored(rows, common, trained(rows, common), ["doc_id", "text"]), common, word_shares(counts, common))
+    found = vocabulary(counts)
+    common = [w for w, _ in found]
+    rare = rare_words(counts, common)
+    discarded(counts)
+    in_bucket, words = bucket_sums(rare)
+    tree = Tree(np.concatenate((np.array([n for _, n in found], float), in_bucket + SMOOTH)))
+    shares = word_shares(rare, in_bucket + SMOOTH * (words + 1))
+    least, hashes, logs = broadcast_shares(shares)
+    texts = written(numbered(rows, common, hashes, logs, ["doc_id"]).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    return scored(texts, tree, trained(texts, tree), shares, least)
 
 
 def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; nulls, empty texts, repeated rows and empty tables as in pseudo_likelihood."""
     return pseudo_likelihood(spark.read.parquet(f"{sf_dir}/documents.parquet"))
