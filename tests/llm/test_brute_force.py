@@ -173,12 +173,28 @@ def test_op4(spark, small, texts):
         assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) == (len(w), len(hit), len(items), digest, bool(hit))
 
 
-def test_blocks_of_items_agree(spark, small):
-    from tidemark.llm.decontamination import scanned
+def test_benchmarks_of_any_size_agree(spark, small, monkeypatch):
+    from tidemark.llm import decontamination as D
 
     docs, benchmark = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
-    one, many = ({r["doc_id"]: (r["n_words"], r["hit_spans"], r["hit_items"]) for r in scanned(docs, benchmark, n).collect()} for n in (1 << 20, 4000))
-    assert one == many
+    results = []
+    for broadcast, most in ((D.BROADCAST_WINDOWS, D.MOST_BITS), (0, D.LEAST_BITS)):  # by a broadcast; by salted shuffles and a full bitmap
+        monkeypatch.setattr(D, "BROADCAST_WINDOWS", broadcast)
+        monkeypatch.setattr(D, "MOST_BITS", most)
+        results.append({r["doc_id"]: (r["n_words"], r["hit_spans"], r["hit_items"]) for r in D.scanned(docs, benchmark).collect()})
+    assert results[0] == results[1]
+    clean = {r["doc_id"] for r in D.decontaminated(docs, benchmark).collect()}
+    assert clean == {d for d, (_, spans, _) in results[0].items() if not spans}
+
+
+def test_equal_hashes_and_empty_ids(spark):
+    from tidemark.llm.decontamination import scanned
+
+    same = "x " * 14  # all k-grams are equal
+    docs = spark.createDataFrame([(1, "a " + same + "b"), (2, "x " * 9 + "a"), (3, "Tiny item"), (4, "one two three")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("", "x " * 10), (None, "tiny ITEM"), ("k", same), ("two words", "two three")], "item_id string, text string")
+    got = {r["doc_id"]: ([tuple(x) for x in r["hit_spans"]], r["hit_items"]) for r in scanned(docs, benchmark).collect()}
+    assert got == {1: ([(1, 15)], ["", "k"]), 2: ([], []), 3: ([(0, 2)], []), 4: ([(1, 3)], ["two words"])}
 
 
 def test_op5(spark, small, texts):

@@ -11,39 +11,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.llm.common import map_batches, written
-from tidemark.llm.decontamination import words_of
+from tidemark.llm.decontamination import word_hashes, words_of
 from tidemark.llm.language import fold
-from tidemark.llm.tokens import worker_cache
 
 BITS = 20
 #: Labelled rows of each label that are learned from, those of the least hashes; so the driver holds at most twice as many.
 TRAIN_ROWS = 5000
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 6.0, 1.0, 3
 THRESHOLD = 0.3
-REMEMBERED = 500_000
 
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
 def features(text: str | None) -> np.ndarray:
     """Places of all features of the whole text, repeats included; place 0 is the intercept's and has none."""
-    hashes = worker_cache().setdefault("word_hashes", _Hashes())
-    words = words_of(text)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    h = word_hashes().of(words_of(text))
     pairs, skips = h[:-1] * _A + h[1:] * _B, h[:-2] * _C + h[2:] * _D
     found = np.concatenate((h, pairs, skips))
     found ^= found >> np.uint64(31)
