@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import queries, token_counts, tokens
@@ -69,6 +70,32 @@ def test_op1_finds_what_stands_in_a_seeds_context(spark, tmp_path):
     assert found[12] == "context:23:31" and found[13] == "" and found[0] == "email:23:37"
 
 
+def test_keys_are_found_by_context(spark, small, tmp_path):
+    """Hexadecimal keys are reported where a confirmed pattern names them, and so is what stands there otherwise."""
+    keys = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(9)]
+    rows = [f'some words {"abcdefgh"[i]} token = "{k}" and more' for i, k in enumerate(keys[:8])]
+    rows += ['other words token = "zz-1234-5678" end', f"a lone digest {keys[8]} here", "| a | 1234567890123456 | b |"]
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r["spans"] for r in Q["op1_contextual_pii"](spark, f"file://{tmp_path}").collect()}
+    assert found == {i: "context:22:62" for i in range(8)} | {8: "context:21:33", 9: "", 10: ""}
+    middle = small.replace("0.001", "0.01")
+    planted = {r["doc_id"] for r in spark.read.parquet(f"{middle}/documents.parquet").where("text rlike 'token = \"[0-9a-f]{40}\"'").collect()}
+    caught = {r["doc_id"] for r in Q["op1_contextual_pii"](spark, middle).where("spans like '%context%'").collect()}
+    assert planted and planted == caught
+
+
+def test_many_spans_in_one_text(spark):
+    from tidemark.llm import pii
+
+    text = " ".join(f"u{i}@mail.org id{i}-99887 \U0001f642 {'x' * (i % 50)}" for i in range(6000))
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    clash = docs.select("*", *(F.lit("other").alias(c) for c in ("_row", "_hashes", "_base", "_others", "_new", "row", "key", "runs", "spans", "_h", "start", "whole")))
+    got = {r["doc_id"]: r for r in pii.redacted(clash).collect()}
+    want = re.sub(r"id(\d+)-99887", lambda m: "[CONTEXT]" if len(m[0]) >= 6 else m[0], re.sub(r"u\d+@mail.org", "[EMAIL]", text))
+    assert (got[2]["text"], got[3]["text"], got[1]["_row"], got[1]["runs"]) == (None, "", "other", "other")
+    assert re.sub(r"\[CONTEXT\]|id\d+-99887", "*", got[1]["text"]) == re.sub(r"\[CONTEXT\]", "*", want)
+
+
 def fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
     if not words:
@@ -453,6 +480,74 @@ def redacted(text):
     return "".join([*out, text[at:]])
 
 
+def plain_bits(text):
+    """The wide fingerprint, one bit at a time."""
+    from tidemark.llm.near_copies import _ODD, SHINGLE
+
+    words, mask = [xxhash.xxh64_intdigest(w.encode()) for w in re.findall(r"[^\x20\x09-\x0D]+", lower(text))], (1 << 64) - 1
+    n = min(SHINGLE, len(words))
+    hashes = {(n + sum(w * int(o) for w, o in zip(words[i : i + n], _ODD, strict=False))) & mask for i in range(len(words) - n + 1)} if n else set()
+    counts = [0] * 1024
+    for h in hashes:
+        for k in range(16):
+            x = (h + (k + 1) * 0x9E3779B97F4A7C15) & mask
+            x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & mask
+            x = (x ^ x >> 27) * 0x94D049BB133111EB & mask
+            x ^= x >> 31
+            for b in range(64):
+                counts[64 * k + b] += x >> b & 1
+    return sum(1 << i for i, c in enumerate(counts) if 2 * c > len(hashes))
+
+
+def heads_of(texts):
+    """The least doc_id that links between wide fingerprints reach, by all pairs."""
+    from tidemark.llm.near_copies import DISTANCE, wide_fingerprint
+
+    prints = {d: int.from_bytes(wide_fingerprint(t), "little") for d, t in texts.items()}
+    least, changed = {d: d for d in texts}, True
+    while changed:
+        changed = False
+        for a in texts:
+            for b in texts:
+                if least[a] > least[b] and (prints[a] ^ prints[b]).bit_count() <= DISTANCE:
+                    least[a], changed = least[b], True
+    return least
+
+
+def test_near_copies(spark):
+    from tidemark.llm import near_copies as N
+
+    draw = np.random.default_rng(2)
+    texts = []
+    for _ in range(25):
+        words = [f"w{int(x)}" for x in draw.integers(0, 3000, 200)]
+        texts.append(" ".join(words))
+        for cut in (1, 2, 3, 30):  # words changed: similarity about 0.95, 0.9, 0.86 and 0.15
+            own = list(words)
+            for k in draw.choice(200, cut, replace=False):
+                own[k] = "new"
+            texts.append(" ".join(own))
+    texts += [None, "", " \t", "one two", "ONE  two", texts[0], texts[0]]
+    for t in texts[:6] + ["one two", None]:
+        assert int.from_bytes(N.wide_fingerprint(t), "little") == plain_bits(t)
+    kept = {r["doc_id"] for r in N.without_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    least = heads_of(dict(enumerate(texts)))
+    assert kept == set(least.values()) and {0, 4, 125, 128} <= kept
+    assert not kept & {1, 2, 3, 126, 127, 129, 130, 131}
+
+
+def test_a_large_group_stays_small(spark, monkeypatch):
+    """Copies of one text with one word changed, over many batches: roots alone are passed on, and one row stays."""
+    from tidemark.llm import near_copies as N
+
+    words = [f"w{i}" for i in range(300)]
+    docs = spark.createDataFrame([(i, " ".join([*words[: i % 300], f"x{i}", *words[i % 300 :]])) for i in range(3000)], "doc_id long, text string").repartition(5)
+    rows = N.fingerprinted(docs, ["doc_id"]).select(F.col("doc_id").alias("node"), "bits")
+    left = N.keyed(rows, 3000).where("key is not null").groupBy("key").count().agg(F.max("count")).first()[0]
+    assert left < 1500
+    assert [r["doc_id"] for r in N.without_near_copies(docs).collect()] == [0]
+
+
 def test_pipeline(spark, small, texts):
     """All stages against plain Python; the smallest tables have no contexts beyond the seeds'."""
     import corpus_pipeline
@@ -460,7 +555,7 @@ def test_pipeline(spark, small, texts):
     hosts = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     contaminated = {r["doc_id"] for r in Q["op4_winnowing"](spark, small).where("contaminated").collect()}  # itself tested above
     left = {d: texts[d] for d in kept_by_quality(texts, hosts)}
-    left = {d: left[d] for d, head in components_of(left)[1].items() if head == d}
+    left = {d: left[d] for d, head in heads_of(left).items() if head == d}
     left = {d: redacted(t) for d, t in left.items() if d not in contaminated}
     pieces = defaultdict(list)
     for r in corpus_pipeline.run(spark, small).collect():
