@@ -35,7 +35,7 @@ WORDS, LEAST, BUCKETS = 1 << 15, 20, 1 << 10
 REACH, HIDDEN, TOP = 2, 8, 15
 ROUNDS, BATCH, RATE, SEED = 2, 4096, 0.1, 6
 #: Trainers at least, and words of a trainer at most, about.
-TRAINERS, TRAINER_WORDS = 6, 64_000_000
+TRAINERS, TRAINER_WORDS = 6, 8_000_000
 #: Words whose windows are shuffled together, at least.
 RUN = 250_000
 #: Distinct words that a task counts before it passes them on, and that it remembers.
@@ -397,9 +397,9 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 
 
 def trained(texts: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
-    """The network after some rounds over the column ids. Without any word it stays as it was drawn."""
+    """The network after some rounds over the columns row and ids. Without any word it stays as it was drawn."""
     spark, net = texts.sparkSession, Network(tree)
-    known = texts.where(F.octet_length("ids") > 0).select("ids", F.xxhash64("ids").alias("h"))
+    known = texts.where(F.octet_length("ids") > 0).select("ids", F.xxhash64("row", "ids").alias("h"))  # copies go to many trainers
     total = known.agg(F.sum(F.octet_length("ids") / 2)).first()[0] or 0
     if not total:
         return net
