@@ -567,3 +567,76 @@ def test_pipeline(spark, small, texts):
         own = sorted(pieces[d], key=lambda r: r["start"])
         assert [(r["start"], r["ids_crc32"]) for r in own] == [(a, zlib.crc32(np.array(ids[a : a + r["length"]], "<u4").tobytes())) for a, r in zip(np.cumsum([0, *(r["length"] for r in own)]).tolist(), own, strict=False)]
         assert sum(r["length"] for r in own) == len(ids)
+
+
+def test_op8_fit_equals_plain_python():
+    """FTRL-proximal one coordinate at a time."""
+    import math
+
+    from tidemark.llm import toxicity as T
+
+    draw = np.random.default_rng(1)
+    rows = [(int(draw.random() < 0.3), np.concatenate(([0], np.unique(draw.integers(1, 40, 8))))) for _ in range(60)]
+    model = T.fit(rows, (0.5, 0.25), T.Settings(0.7, 0.4, 2))
+    z, n, order = Counter(), Counter(), np.random.default_rng(8)
+
+    def weight(k):
+        l1 = 0.4 if k else 0.0
+        return 0.0 if abs(z[k]) <= l1 else (math.copysign(l1, z[k]) - z[k]) / ((T.BETA + math.sqrt(n[k])) / 0.7 + T.L2)
+
+    for _ in range(2):
+        for i in order.permutation(60).tolist():
+            label, places = rows[i]
+            w = {k: weight(k) for k in places.tolist()}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - label
+            for k, x in w.items():
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / 0.7 * x
+                n[k] += g * g
+    assert dict(zip(model.places.tolist(), model.weights.tolist(), strict=True)) == pytest.approx({k: weight(k) for k in z if k and weight(k)}, rel=1e-5)
+    assert model.intercept == pytest.approx(weight(0) + math.log(2))
+
+
+def test_op8_on_the_held_out_fold(spark, small):
+    middle = small.replace("0.001", "0.01")
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{middle}/labels.parquet").collect()}
+    held = [r for r in Q["op8_toxicity"](spark, middle).collect() if r["held_out"] and labels.get(r["doc_id"]) is not None]
+    caught = sum(r["predicted"] == labels[r["doc_id"]] == 1 for r in held)
+    false = sum(r["predicted"] == 1 and labels[r["doc_id"]] == 0 for r in held)
+    assert caught >= 0.6 * sum(labels[r["doc_id"]] for r in held) > 0 and false <= 0.02 * len(held)
+
+
+def test_op8_samples_are_bounded_and_repeats_count(spark):
+    from tidemark.llm import toxicity as T
+
+    docs = spark.createDataFrame([(i // 2, f"word{i} other{i % 7} last") for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1), (1000, 1)], "doc_id long, label int")
+    rows, counts = T.sampled(docs, labels)
+    assert len(rows) == 80 and counts == {0: 40, 1: 40}
+    assert Counter(label for _, label, _ in T.sampled(docs, labels, 5)[0]) == {0: 5, 1: 5}
+    assert sum(len(at) - 1 for _, _, at in T.sampled(docs, labels, 40, 100)[0]) <= 100
+    one = T.judged(docs, spark.createDataFrame([(1, 0)], "doc_id long, toxic int")).collect()
+    assert all(r["score"] < 1e-9 and r["predicted"] == 0 for r in one)
+
+
+def test_op10_vectors_equal_plain_python():
+    """Bundles of bound, rotated letter vectors, one n-gram and one dimension at a time."""
+    from tidemark.llm import language as L
+
+    numbers, rotated = L._letters()
+    vectors = rotated[L.GRAM - 1]  # the last letter's are not rotated
+    for text in ("Ab ba", "é  xyz", "one two one", "..."):
+        letters = [0]
+        for c in text.lower() + "\0":
+            k = int(numbers[ord(c)])
+            if k or letters[-1]:
+                letters.append(k)
+        total = np.zeros(L.DIMENSIONS)
+        for i in range(len(letters) - L.GRAM + 1):
+            gram = letters[i : i + L.GRAM]
+            for d in range(L.DIMENSIONS):
+                x = 1
+                for place, k in enumerate(gram):
+                    x *= int(vectors[k, (d - (L.GRAM - 1 - place)) % L.DIMENSIONS])
+                total[d] += x
+        want = total / np.linalg.norm(total) if total.any() else total
+        assert np.allclose(L.bundles([text])[0], want, atol=1e-6)
