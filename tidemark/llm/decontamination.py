@@ -35,7 +35,7 @@ BROADCAST_WINDOWS, SALTS = 100_000, 16
 #: Texts with hits are broadcast if there are at most so many.
 BROADCAST_TEXTS = 500_000
 #: Words whose hashes a worker remembers.
-HELD = 500_000
+HELD = 200_000
 
 #: A-Z to a-z; other ASCII characters but digits and a-z to spaces; bytes of other characters stay.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -181,8 +181,12 @@ def candidates(docs: DataFrame, keep: list[str], sizes: list[int], bits: int, da
             return out
 
         def step(batch: pa.RecordBatch) -> dict:
-            split = [words_of(x) for x in batch.column("text").to_pylist()]
-            return {c: batch.column(c) for c in keep} | {"n_words": [len(x) for x in split], likely: [likely_in(x) for x in split]}
+            counts, found = [], []
+            for text in batch.column("text"):  # one text's words at a time
+                words = words_of(text.as_py())
+                counts.append(len(words))
+                found.append(likely_in(words))
+            return {c: batch.column(c) for c in keep} | {"n_words": counts, likely: found}
 
         return step
 
