@@ -15,6 +15,9 @@ from pyspark.sql.types import StructType
 #: The columns of the documents table, in order.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Rows of a batch that are worked on at once, so that a Python worker holds few texts.
+ROWS_AT_ONCE = 1024
+
 #: Rows that one task may rank by a sort. Larger groups are ranked in several tasks.
 ROWS_A_RANKED_BUCKET = 50_000
 
@@ -76,11 +79,13 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
-            columns = step(batch)
-            if columns is not None:
-                arrays = [x if isinstance(x, pa.Array) else pa.array(x, f.type, from_pandas=True) for f in arrow for x in [columns[f.name]]]
-                yield pa.RecordBatch.from_arrays(arrays, names=arrow.names)
+        for whole in batches:
+            for k in range(0, whole.num_rows, ROWS_AT_ONCE):
+                columns = step(whole.slice(k, ROWS_AT_ONCE))
+                if columns is not None:
+                    arrays = [x if isinstance(x, pa.Array) else pa.array(x, f.type, from_pandas=True) for f in arrow for x in [columns[f.name]]]
+                    yield pa.RecordBatch.from_arrays(arrays, names=arrow.names)
+        pa.default_memory_pool().release_unused()  # the worker lives on, idle
 
     return df.mapInArrow(run, out)
 

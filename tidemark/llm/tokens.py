@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Chunks that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def worker_cache() -> dict:
