@@ -222,7 +222,7 @@ def test_knn_forms_and_blocks_agree(spark):
     draw = np.random.default_rng(0)
     df = spark.createDataFrame([(str(i), draw.normal(size=8).tolist()) for i in range(60)], VECTOR).repartition(5)
     whole = rows(knn.top_k(df, df))
-    assert whole == rows(knn.top_k(df, df, block=7)) == rows(knn.top_k_by_expressions(df, df))
+    assert whole == rows(knn.top_k(df, df, query_tile=7)) == rows(knn.top_k_by_expressions(df, df))
 
 
 def test_top_n_breaks_ties_by_episode(spark):
@@ -324,3 +324,43 @@ def test_engagement_counts_weightless_events(spark):
     df = spark.createDataFrame([("u", "e", k, None, None, at("2024-01-01T00:00:00")) for k in ("skip", "like", "odd")], "user_id string, episode_id string, event string, rating int, position_sec int, ts timestamp")
     row = engagement.daily(df).first()
     assert (row["engagement"], row["num_events"]) == (3.0, 3)
+
+
+def test_knn_tiles_agree(spark):
+    from tidemark.operators import knn
+
+    df = spark.range(60).selectExpr("cast(id as string) id", "array(cast(id % 7 as float), cast(id % 5 - 2 as float), cast(1 as float)) embedding")
+    one, many = (sorted(map(tuple, knn.top_k(df, df, 4, query_tile=a, history_tile=b).collect())) for a, b in ((100, 100), (7, 11)))
+    assert one == many
+
+
+def test_json_files_of_each_kind_in_one_folder(spark, tmp_path):
+    from tidemark import schemas
+    from tidemark.sources import records
+
+    (tmp_path / "a.json").write_text('[{"id": "1"}, 7,\n {"id": "2"}]')
+    (tmp_path / "b.json").write_text('{"id": "3"}\n\n{"id": "4"}\n')
+    (tmp_path / "c.json").write_text('{\n "id": "5"\n}')
+    (tmp_path / "d.json").write_text('{"other": 1}\nnot json\n{"id": "6"}')
+    got = records.json_records(spark, f"file://{tmp_path}", schemas._struct("id string"))
+    assert sorted((r["id"] or "") for r in got.collect()) == ["", "1", "2", "3", "4", "5", "6"]
+
+
+def test_tables_refuse_stale_writers_and_delete_old_folders(spark, tmp_path):
+    import pytest
+
+    from tidemark import schemas
+    from tidemark.sources.tables import Table, tolerant_read
+
+    t = Table(spark, f"file://{tmp_path}/t", schemas._struct("user_id string, n string"), "user_id", buckets=4)
+    t.append(spark.createDataFrame([(str(i), "a") for i in range(20)], "user_id string, n string"))
+    stale = t.state()
+    seen = []
+    t.merge(spark.createDataFrame([("3", "b")], "user_id string, n string"), lambda old, new: seen.append(old.count()) or old.join(new, "user_id", "left_anti").unionByName(new))
+    assert 0 < seen[0] < 20 and t.read().count() == 20 and t.read().where("n = 'b'").count() == 1
+    with pytest.raises(RuntimeError):
+        t._set(stale)
+    t.overwrite(t.read())
+    assert t.vacuum() == 2 and t.read().count() == 20
+    (tmp_path / "bad.parquet").write_text("no parquet")
+    assert tolerant_read(spark, f"file://{tmp_path}/bad.parquet", t.schema).count() == 0

@@ -1,25 +1,24 @@
 """Top-k cosine neighbours of vectors.
 
-The history is never moved: blocks of queries of a fixed size are broadcast, each task multiplies
-its history vectors with them as matrices and passes on its own k best of each query, and
-the k best of those are kept. So a history of any size is scanned once a block of queries.
+Queries and history are dealt into tiles of a fixed size by hash. Each pair of a query tile and a history tile is one
+group, multiplied as matrices, that passes on its k best of each query; the k best of those are kept.
+Nothing goes through the driver, and no group grows with the tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import vectors as V
 
 K = 3
-#: Queries in one broadcast block.
-QUERY_BLOCK = 4096
+#: Vectors of a tile, about.
+QUERY_TILE, HISTORY_TILE = 4096, 16_384
+#: Vectors that the form in expressions may broadcast.
+BROADCAST_VECTORS = 20_000
 #: Similarities are ranked at so many decimals, so that ties don't hang on the order of sums.
 DECIMALS = 6
 
@@ -28,56 +27,53 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / (np.linalg.norm(x, axis=1, keepdims=True) + V.EPSILON)
 
 
-def _best(queries: DataFrame, history: DataFrame, k: int) -> DataFrame:
-    """Every task's k best neighbours of each query of one block."""
-    rows = queries.collect()  # one block
-    rows = [r for r in rows if r["embedding"] is not None and any(r["embedding"])]  # a zero vector has no neighbours
-    spark = queries.sparkSession
-    ids = [r["id"] for r in rows]
-    shipped = spark.sparkContext.broadcast(_unit(np.array([r["embedding"] for r in rows], np.float64)) if rows else None)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = shipped.value
-        if q is None:
-            return
-        number, names, near = np.empty(0, np.int64), np.empty(0, "<U1"), np.empty(0)
-        for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column("embedding")))
-            for a in range(0, batch.num_rows, 2048):
-                part = batch.slice(a, 2048)
-                own = np.array(part.column("id").to_pylist(), dtype=str)
-                s = np.round(q @ _unit(np.array(part.column("embedding").to_pylist(), np.float64).reshape(len(own), -1)).T, DECIMALS)
-                order = np.argsort(own, kind="stable")  # ties go to the least id
-                top = np.argsort(-s[:, order], axis=1, kind="stable")[:, :k]
-                number = np.concatenate((number, np.repeat(np.arange(len(q)), top.shape[1])))
-                names = np.concatenate((names, own[order][top.ravel()]))
-                near = np.concatenate((near, np.take_along_axis(s[:, order], top, axis=1).ravel()))
-                best = np.lexsort((names, -near, number))
-                number, names, near = number[best], names[best], near[best]
-                first = np.searchsorted(number, number, side="left")
-                kept = np.arange(len(number)) - first < k
-                number, names, near = number[kept], names[kept], near[kept]
-        yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in number], pa.string()), pa.array(names.tolist(), pa.string()), pa.array(near)], names=["new_id", "historical_id", "similarity"])
-
-    return history.mapInArrow(run, "new_id string, historical_id string, similarity double")
-
-
-def top_k(queries: DataFrame, history: DataFrame | None, k: int = K, exclude_self: bool = False, block: int = QUERY_BLOCK) -> DataFrame:
+def _vectors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.array(table.column("id").to_pylist(), dtype=str)
+    return ids, np.array(table.column("embedding").to_pylist(), np.float64).reshape(len(ids), -1 if len(ids) else 0)
+
+
+def _tile_best(k: int):
+    """Of a tile of queries and one of the history, the k best of each query; ties go to the least id."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        names, near, number = np.empty(0, "<U1"), np.empty(0), np.empty(0, np.int64)
+        ids, q = _vectors(left)
+        own, h = _vectors(right)
+        if len(ids) and len(own):
+            known = q.any(axis=1)  # a zero vector has no neighbours
+            ids, q, order = ids[known], _unit(q[known]), np.argsort(own, kind="stable")
+            own, h = own[order], _unit(h[order])
+            for a in range(0, len(ids), 256):
+                s = np.round(q[a : a + 256] @ h.T, DECIMALS)
+                top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+                number = np.concatenate((number, np.repeat(np.arange(a, a + len(s)), top.shape[1])))
+                names = np.concatenate((names, own[top.ravel()]))
+                near = np.concatenate((near, np.take_along_axis(s, top, axis=1).ravel()))
+        return pa.table({"new_id": pa.array(ids[number].tolist(), pa.string()), "historical_id": pa.array(names.tolist(), pa.string()), "similarity": pa.array(near)})
+
+    return run
+
+
+def _tiles(df: DataFrame, n: int, others: int, own: str, other: str) -> DataFrame:
+    """id and embedding of df, each row in its tile and once for each tile of the other side."""
+    known = df.where(F.col("embedding").isNotNull()).select("id", "embedding")
+    dealt = known.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    return dealt.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+
+def top_k(queries: DataFrame, history: DataFrame | None, k: int = K, exclude_self: bool = False, query_tile: int = QUERY_TILE, history_tile: int = HISTORY_TILE) -> DataFrame:
     """new_id, historical_id, similarity and rank of each query's k nearest; both sides have id (string) and embedding.
 
     Without a history (None or empty) the queries are their own, and a query finds itself: unless
     exclude_self, that takes one of its k places and is dropped only then. Zero queries have no
     neighbours; zero history vectors have similarity 0. Equal similarities go by id.
     """
-    own = history is None or history.isEmpty()
-    table = queries if own else history
-    blocks = max(1, -(-queries.count() // block))
-    wanted = k + 1 if exclude_self else k  # a history may hold the query as well
-    found = None
-    for b in range(blocks):
-        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
-        best = _best(part.select("id", "embedding"), table.select("id", "embedding"), wanted)
-        found = best if found is None else found.union(best)
+    table = queries if history is None or history.isEmpty() else history
+    n, m = (max(1, -(-df.count() // tile)) for df, tile in ((queries, query_tile), (table, history_tile)))
+    left = _tiles(queries, n, m, "q", "h").groupBy("q", "h")
+    right = _tiles(table, m, n, "h", "q").groupBy("q", "h")
+    # one place more where a history may hold the query as well
+    found = left.cogroup(right).applyInArrow(_tile_best(k + 1 if exclude_self else k), "new_id string, historical_id string, similarity double")
     if exclude_self:
         found = found.where("new_id <> historical_id")
     rank = Window.partitionBy("new_id").orderBy(F.desc("similarity"), "historical_id")
@@ -86,7 +82,9 @@ def top_k(queries: DataFrame, history: DataFrame | None, k: int = K, exclude_sel
 
 
 def top_k_by_expressions(queries: DataFrame, history: DataFrame, k: int = K) -> DataFrame:
-    """As top_k, in expressions alone, for histories small enough to broadcast: every pair is computed in the JVM."""
+    """As top_k, in expressions alone: every pair is computed in the JVM. A history over BROADCAST_VECTORS goes by tiles."""
+    if history.limit(BROADCAST_VECTORS + 1).count() > BROADCAST_VECTORS:
+        return top_k(queries, history, k)
     q = queries.select(F.col("id").alias("new_id"), F.col("embedding").alias("a")).where(V.norm(F.col("a")) > 0)
     pairs = q.join(F.broadcast(history.select(F.col("id").alias("historical_id"), F.col("embedding").alias("b"))))
     scored = pairs.select("new_id", "historical_id", F.round(V.cosine(F.col("a"), F.col("b")), DECIMALS).alias("similarity"))

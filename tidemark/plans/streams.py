@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,27 +10,17 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.plans import adapters as A
 from tidemark.plans.adapters import DAILY_SQL, EVENTS_SQL, HISTORY_SQL
-from tidemark.sources.tables import Table
+from tidemark.sources.tables import Table, shared_folder
 from tidemark.streaming import events as S
 
 
-
-
-def _folder(spark: SparkSession) -> str:
-    """A new folder where driver and executors both write."""
-    import uuid
-
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}" if shared else "file://" + tempfile.mkdtemp(prefix="tidemark-")
-
-
 def _replayed(spark: SparkSession, sf_dir: str) -> tuple[str, Table, Table]:
     """All events, each sent twice, as JSON files through both queries."""
-    at = _folder(spark)
+    at = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     events = A.events(spark, sf_dir).withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"))
     events.unionAll(events).repartitionByRange(4, "ts").select(F.to_json(F.struct("*")).alias("value")).write.text(f"{at}/in")
     daily = Table(spark, f"{at}/daily", schemas.DAILY_ENGAGEMENT, "day")
-    history = Table(spark, f"{at}/history", schemas.USER_HISTORY)
+    history = S.history_table(spark, f"{at}/history", buckets=8)
     # one trigger takes all files: the watermark moves between triggers, so none of them is late
     for q in S.run(spark, S.file_stream(spark, f"{at}/in"), f"{at}/raw", daily, history, f"{at}/checkpoints", once=True):
         q.awaitTermination()

@@ -26,8 +26,10 @@ def auth_headers(key: str, secret: str, now: int) -> dict[str, str]:
 
 
 def fetched(spark: SparkSession, fetch: Callable[[], list[dict]]) -> DataFrame:
-    """Rows of FEED_SCHEMA that fetch returns: feeds with their episodes."""
-    return spark.createDataFrame(fetch(), FEED_SCHEMA)
+    """Rows of FEED_SCHEMA that fetch returns, feeds with their episodes, and feed_rank, the feeds' order in that list."""
+    listed = fetch()
+    order = {feed: k for k, feed in enumerate(dict.fromkeys(row.get("feed_id") for row in listed))}
+    return spark.createDataFrame([row | {"feed_rank": order[row.get("feed_id")]} for row in listed], FEED_SCHEMA + ", feed_rank long")
 
 
 def english(language: Column, text: Column, detect: Callable[[str], str] | None = None) -> Column:
@@ -50,12 +52,14 @@ def english(language: Column, text: Column, detect: Callable[[str], str] | None
 
 
 def newest_episodes(feeds: DataFrame, detect: Callable[[str], str] | None = None, most: int = FEEDS) -> DataFrame:
-    """The newest episode of each English feed, of the first `most` feeds by id, with an audio address."""
-    first = feeds.select("feed_id").distinct().orderBy("feed_id").limit(most)
-    own = feeds.join(first, "feed_id", "left_semi").where(english(F.col("feed_language"), F.concat_ws(" ", "title", "description"), detect))
-    own = own.where(T.first_filled(F.col("audio_url")).isNotNull())
+    """The newest episode of each English feed, of the first `most` feeds in their order, where it has an audio address: a
+    feed whose newest has none yields none. Feeds go by feed_rank, or by id where there is no such column."""
+    place = F.min("feed_rank") if "feed_rank" in feeds.columns else F.lit(0)
+    chosen = feeds.groupBy("feed_id").agg(place.alias("_at")).orderBy("_at", "feed_id").limit(most).select("feed_id")
+    own = feeds.join(chosen, "feed_id", "left_semi").where(english(F.col("feed_language"), F.concat_ws(" ", "title", "description"), detect))
     newest = Window.partitionBy("feed_id").orderBy(F.desc("published"), "episode_id")
-    return own.withColumn("_k", F.row_number().over(newest)).where("_k = 1").drop("_k")
+    latest = own.withColumn("_k", F.row_number().over(newest)).where("_k = 1")
+    return latest.where(T.first_filled(F.col("audio_url")).isNotNull()).drop("_k", "feed_rank")
 
 
 def transcribed(episodes: DataFrame, transcribe: Callable[[str], dict], longest: float = LONGEST_SECONDS) -> DataFrame:

@@ -11,23 +11,30 @@ from tidemark.functions import text as T
 
 
 def json_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Records of a JSON file that is an array, one object, or an object a line.
+    """Records of JSON files, each an array, one object over any number of lines, or an object a line.
 
-    Items that aren't objects are dropped. An error is raised if none is left.
+    The first character that isn't white space tells an array. Of the others, a file whose every filled line is an object
+    is read a line at a time, however long it is; arrays and objects over lines are read whole. Items that
+    aren't objects are dropped; an object without any of the schema's fields is a row of nulls. Files without a
+    valid record give none, and an error is raised if no file has one.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.trim("value").alias("value"))
-    items = whole.where(F.col("value").startswith("[")).select(F.explode(F.from_json("value", "array<string>")).alias("value"))
-    objects = items.where(F.ltrim("value").startswith("{"))
-    if objects.isEmpty():  # one object over any number of lines, or else one a line
-        objects = whole.where(F.col("value").startswith("{") & (F.size(F.split("value", r"\}\s*\n\s*\{")) == 1))
-    parsed = lambda texts: texts.select(F.from_json("value", schema).alias("r")).select("r.*").where(F.coalesce(*(F.col(c).cast("string") for c in schema.names)).isNotNull())
-    found = parsed(objects)
-    if found.isEmpty():
-        lines = spark.read.text(path).select(F.trim("value").alias("value"))
-        found = parsed(lines.where(F.col("value").startswith("{")))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("value")).where("value <> ''")
+    own = F.from_json("value", "map<string,string>").isNotNull() & F.col("value").startswith("{")
+    kinds = lines.groupBy("file").agg(F.max(F.when(own, 0).otherwise(1)).alias("whole"))
+    whole_files = kinds.where("whole = 1").select("file")
+    by_line = lines.join(whole_files, "file", "left_anti").select("value")
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("value")).join(whole_files, "file", "left_semi")
+    is_array = F.regexp_extract("value", r"^\s*(.)", 1) == "["
+    items = texts.where(is_array).select(F.explode(F.from_json("value", "array<string>")).alias("value"))
+    # a file of objects that isn't an object a line: one object, or lines of which some are none
+    parsed = texts.where(~is_array).withColumn("one", F.from_json("value", "map<string,string>"))
+    objects = parsed.where(F.col("one").isNotNull() & (F.size(F.split("value", r"\}\s*\n\s*\{")) == 1)).select("value")
+    rest = parsed.where(F.col("one").isNull() | (F.size(F.split("value", r"\}\s*\n\s*\{")) > 1)).select("file")
+    loose = lines.join(rest, "file", "left_semi").where(own).select("value")
+    found = by_line.unionAll(items.where(F.ltrim("value").startswith("{"))).unionAll(objects).unionAll(loose)
     if found.isEmpty():
         raise ValueError(f"no valid record in {path}")
-    return found
+    return found.select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
 def episodes_and_transcripts(records: DataFrame, now: Column | None = None) -> tuple[DataFrame, DataFrame]:

@@ -9,19 +9,22 @@ Everything goes through Hadoop's file system, so a path may be in any store that
 from __future__ import annotations
 
 import json
+import logging
+import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
 class Table:
-    """A table at a path, with a schema and maybe a partition column."""
+    """A table at a path, with a schema and maybe a partition column, whose values part it, or are dealt by hash into
+    so many buckets."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, partition: str | None = None) -> None:
-        self.spark, self.path, self.schema, self.partition = spark, path.rstrip("/"), schema, partition
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, partition: str | None = None, buckets: int = 0) -> None:
+        self.spark, self.path, self.schema, self.partition, self.buckets = spark, path.rstrip("/"), schema, partition, buckets
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
 
@@ -40,7 +43,17 @@ class Table:
         finally:
             stream.close()
 
+    def _part(self) -> Column:
+        """The name of a row's part."""
+        value = F.pmod(F.xxhash64(self.partition), F.lit(self.buckets)) if self.buckets else F.col(self.partition)
+        return F.coalesce(value.cast("string"), F.lit("null"))
+
     def _set(self, state: dict) -> None:
+        """Makes state the current one, if it was made from the one that is."""
+        now = (self.state() or {}).get("version", 0)
+        if now != state.get("version", 0):
+            raise RuntimeError(f"{self.path} has changed since it was read: version {now}")
+        state = state | {"version": now + 1}
         fs, new = self._at(f"current-{uuid.uuid4().hex}.json")
         out = fs.create(new, True)
         out.write(bytearray(json.dumps(state), "utf-8"))
@@ -78,14 +91,14 @@ class Table:
             df.write.parquet(folder)
             return {"": [folder]}
         # the value is written both as a folder and, so that each folder reads alone, as a column
-        df.withColumn("_part", F.coalesce(F.col(self.partition).cast("string"), F.lit("null"))).write.partitionBy("_part").parquet(folder)
+        df.withColumn("_part", self._part()).write.partitionBy("_part").parquet(folder)
         fs, at = self._at(folder.rpartition("/")[2])
         return {x.getPath().getName().removeprefix("_part="): [x.getPath().toString()] for x in fs.listStatus(at) if x.getPath().getName().startswith("_part=")}
 
     def overwrite(self, df: DataFrame) -> int:
         """Replaces all rows by df's and returns how many there are."""
         state = self.state() or {"batches": {}}
-        self._set({"parts": self._write(df), "batches": state["batches"]})
+        self._set(state | {"parts": self._write(df)})
         return self.read().count()
 
     def append(self, df: DataFrame) -> None:
@@ -104,8 +117,8 @@ class Table:
         if batch_id is not None and batch_id <= state["batches"].get(writer, -1):
             return False
         if self.partition:
-            values = [r[0] for r in source.select(F.coalesce(F.col(self.partition).cast("string"), F.lit("null"))).distinct().collect()]
-            # as many as a batch has days
+            values = [r[0] for r in source.select(self._part()).distinct().collect()]
+            # as many as a batch has days, or buckets
             folders = [x for v in values for x in state["parts"].get(v, [])]
             target = self.spark.read.option("mergeSchema", True).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
             state["parts"] |= self._write(how(target, source))
@@ -126,25 +139,44 @@ class Table:
         if state:
             self._set(state)
 
+    def vacuum(self) -> int:
+        """Deletes the data folders of versions before the current one, once no reader is left on them; how many there were."""
+        used = {x.split("/data-")[1].split("/")[0] for v in (self.state() or {"parts": {}})["parts"].values() for x in v}
+        fs, root = self._at("")
+        old = [x.getPath() for x in fs.listStatus(root) if x.getPath().getName().startswith("data-") and x.getPath().getName()[5:] not in used]
+        for at in old:
+            fs.delete(at, True)
+        return len(old)
+
     def existing_ids(self, column: str) -> DataFrame:
         """Distinct ids as strings; join against them rather than collect them."""
         return self.read().select(F.col(column).cast("string").alias(column)).where(F.col(column).isNotNull()).distinct()
 
 
 def tolerant_read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Parquet files at a path with this schema; no rows if the path can't be read."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+    """Parquet files at a path with this schema; no rows if the path isn't there or can't be read as such."""
+    try:
+        found = spark.read.schema(schema).parquet(path)
+        found.limit(1).collect()  # a file that isn't Parquet shows only now
+        return found
+    except Exception as error:
+        logging.getLogger(__name__).warning("%s can't be read: %s", path, error)
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share. Where the session names none, one machine makes its own; a cluster can't."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        at = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")
 
 
 def checkpointed(df: DataFrame, name: str) -> DataFrame:
     """df computed once, in the folder that the cluster shares; it outlives any executor."""
-    import tempfile
-
-    spark = df.sparkSession
-    folder = (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tidemark-")).rstrip("/")
-    at = f"{folder}/{name}-{uuid.uuid4().hex}"
+    at = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import signal
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,9 +15,19 @@ from tidemark.operators import engagement, merges
 from tidemark.sources.tables import Table
 
 WATERMARK, TRIGGER, FILES_A_TRIGGER = "2 hours", "30 seconds", 200
+#: Buckets of users in the history: a batch rewrites those of its users only. More for more users.
+HISTORY_BUCKETS = 256
 DAILY_KEYS, HISTORY_KEYS = ["user_id", "episode_id", "day"], ["user_id", "episode_id"]
 
 
+def daily_table(spark: SparkSession, path: str) -> Table:
+    return Table(spark, path, schemas.DAILY_ENGAGEMENT, "day")
+
+
+def history_table(spark: SparkSession, path: str, buckets: int = HISTORY_BUCKETS) -> Table:
+    return Table(spark, path, schemas.USER_HISTORY, "user_id", buckets)
+
+
 def file_stream(spark: SparkSession, path: str, files: int = FILES_A_TRIGGER) -> DataFrame:
     """Lines of JSON files as they come, as the value of messages."""
     return spark.readStream.option("maxFilesPerTrigger", files).text(path)
@@ -62,3 +75,24 @@ def run(spark: SparkSession, source: DataFrame, raw: str, daily: Table, history:
     """Both queries on one source, each with its own offsets and state."""
     events = deduplicated(decoded(source))
     return [write_raw(events, raw, f"{checkpoints}/raw", once), write_engagement(events, daily.ensure(), history.ensure(), f"{checkpoints}/engagement", once)]
+
+
+def serve(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+    """Waits until a query ends, fails or a signal comes, then stops all of them: what was committed is kept, and a batch that
+    was cut off is replayed by the next start."""
+
+    def stop(*_) -> None:
+        raise KeyboardInterrupt
+
+    before = signal.signal(signal.SIGTERM, stop) if threading.current_thread() is threading.main_thread() else None
+    try:
+        spark.streams.awaitAnyTermination()
+    except KeyboardInterrupt:
+        pass
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
+        spark.streams.resetTerminated()
+        if before is not None:
+            signal.signal(signal.SIGTERM, before)
