@@ -26,11 +26,10 @@ def json_records(spark: SparkSession, path: str, schema: StructType) -> DataFram
     texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("value")).join(whole_files, "file", "left_semi")
     is_array = F.regexp_extract("value", r"^\s*(.)", 1) == "["
     items = texts.where(is_array).select(F.explode(F.from_json("value", "array<string>")).alias("value"))
-    # a file of objects that isn't an object a line: one object, or lines of which some are none
-    parsed = texts.where(~is_array).withColumn("one", F.from_json("value", "map<string,string>"))
-    objects = parsed.where(F.col("one").isNotNull() & (F.size(F.split("value", r"\}\s*\n\s*\{")) == 1)).select("value")
-    rest = parsed.where(F.col("one").isNull() | (F.size(F.split("value", r"\}\s*\n\s*\{")) > 1)).select("file")
-    loose = lines.join(rest, "file", "left_semi").where(own).select("value")
+    # a file whose first line is an object has one a line, and some that are none; another is one object
+    first = F.from_json(F.regexp_extract("value", r"^\s*([^\n]*)", 1), "map<string,string>").isNotNull()
+    objects = texts.where(~is_array & ~first & F.col("value").startswith("{")).select("value")
+    loose = lines.join(texts.where(~is_array & first).select("file"), "file", "left_semi").where(own).select("value")
     found = by_line.unionAll(items.where(F.ltrim("value").startswith("{"))).unionAll(objects).unionAll(loose)
     if found.isEmpty():
         raise ValueError(f"no valid record in {path}")
