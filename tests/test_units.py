@@ -11,7 +11,8 @@ from tidemark import schemas
 from tidemark.functions import events as E
 from tidemark.functions import text as T
 from tidemark.operators import dashboard, embedding, engagement, ingest, knn, merges, recommend
-from tidemark.sources import feeds, records, sinks, synthetic
+from tidemark.sources import documents, feeds, records, sinks, synthetic
+from tidemark.sources.offsets import Offsets
 from tidemark.sources.tables import Table, tolerant_read
 
 
@@ -364,3 +365,97 @@ def test_tables_refuse_stale_writers_and_delete_old_folders(spark, tmp_path):
     assert t.vacuum() == 2 and t.read().count() == 20
     (tmp_path / "bad.parquet").write_text("no parquet")
     assert tolerant_read(spark, f"file://{tmp_path}/bad.parquet", t.schema).count() == 0
+
+
+def test_offsets_go_on_where_the_last_poll_ended(spark, tmp_path):
+    log = spark.createDataFrame([(p, o, f"e{p}{o}") for p in range(3) for o in range(4)], "partition int, offset long, episode_id string")
+    offsets = Offsets(spark, f"file://{tmp_path}/offsets")
+    assert offsets.unread(log).count() == 12
+    offsets.commit(log.limit(0))
+    assert offsets.unread(log).count() == 12
+    offsets.commit(log.where("partition = 0 and offset <= 1"))
+    offsets.commit_ids(log, spark.createDataFrame([("e12",), ("none",), (None,)], "episode_id string"))
+    assert rows(offsets.unread(log), "partition", "offset") == [(0, 2), (0, 3), (1, 3), (2, 0), (2, 1), (2, 2), (2, 3)]
+    offsets.commit(log.where("offset = 0"))  # an old commit, sent again, moves partition 2 only
+    assert rows(offsets.unread(log).groupBy("partition").agg(F.min("offset"))) == [(0, 2), (1, 3), (2, 1)]
+
+
+def test_a_commit_is_tried_again(spark, tmp_path, monkeypatch):
+    offsets, merge, calls = Offsets(spark, f"file://{tmp_path}/offsets"), Table.merge, []
+
+    def flaky(self, *args):
+        calls.append(1)
+        if len(calls) < 3:
+            raise RuntimeError("has changed")
+        return merge(self, *args)
+
+    monkeypatch.setattr(Table, "merge", flaky)
+    log = spark.createDataFrame([(0, 5)], "partition int, offset long")
+    offsets.commit(log, backoff=0)
+    assert len(calls) == 3 and rows(offsets.table.read()) == [(0, 6)]
+    calls.clear()
+    with pytest.raises(RuntimeError):
+        offsets.commit(log, retries=1, backoff=0)
+
+
+def test_documents_as_frames(spark):
+    df = spark.createDataFrame([("u", "1", "0.5", "x"), ("u", "1", "0.5", "y"), (None, "1", "1", "z"), ("u", "2", "bad", "z")], "user_id string, episode_id string, als_score string, extra string")
+    assert rows(documents.history(df)) == [("u", "1"), ("u", "2")]
+    assert rows(documents.scores(df)) == [("u", "1", 0.5), ("u", "1", 0.5)]
+    assert documents.neighbours(df).columns == list(documents.NEIGHBOURS) and documents.neighbours(df).count() == 0
+    assert rows(documents.found(df, "extra", "missing").limit(1)) == [("x", None)]
+
+
+def test_overwrite_coerces(spark, tmp_path):
+    form = {"name": "string", "n": "integer", "ok": "boolean"}
+    table = Table(spark, f"file://{tmp_path}/t", T.struct_of(form))
+    df = spark.createDataFrame([(" ", "3.0", 1), ("a", "x", 2)], "name string, n string, extra int")
+    assert sinks.overwrite_coerced(df, table, form) == 2
+    assert rows(table.read()) == [("a", 0, False), (None, 3, False)]
+
+
+# a lambda, so that it travels by value: workers can't import this module
+_letters = lambda: (lambda text: [ord(c) for c in text], lambda ids: "".join(map(chr, ids)))
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 8, 9, 10, 30])
+def test_token_windows_stop_at_the_end(spark, n):
+    text = "".join(chr(97 + i % 26) for i in range(n))
+    df = spark.createDataFrame([(1, text), (2, None), (3, "  ")], "doc_id long, text string")
+    got = [(r["doc_id"], r["chunk"], r["n_tokens"], r["chunk_text"]) for r in embedding.token_chunks(df, _letters, tokens=18, overlap=3).orderBy("chunk").collect()]
+    wanted, start = [], 0
+    while n:
+        wanted.append((1, len(wanted), len(text[start : start + 8]), text[start : start + 8]))
+        if start + 8 >= n:
+            break
+        start += 5
+    assert got == wanted
+
+
+def test_blank_token_windows_are_skipped(spark):
+    df = spark.createDataFrame([("a", "x" * 8 + " " * 12 + "y")], "doc_id string, text string")
+    got = embedding.token_chunks(df, _letters, tokens=18, overlap=0).orderBy("chunk").collect()
+    assert [(r["chunk"], r["chunk_text"]) for r in got] == [(0, "xxxxxxxx"), (1, "y")]
+
+
+def test_windows_of_a_tokenizer_file(spark):
+    path = "/opt/tokenizers/byte_bpe_50k.json"
+    tokenizers = pytest.importorskip("tokenizers")
+    own, text = tokenizers.Tokenizer.from_file(path), "Long texts are cut into windows of tokens. " * 40
+    ids = own.encode(text.strip(), add_special_tokens=False).ids
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = [(r["n_tokens"], r["chunk_text"]) for r in embedding.token_chunks(df, embedding.file_codec(path)).orderBy("chunk").collect()]
+    starts = [0, *range(214, max(1, len(ids) - 246 + 214), 214)]
+    assert got == [(len(ids[s : s + 246]), own.decode(ids[s : s + 246]).strip()) for s in starts]
+
+
+def test_vectors_carry_their_model(spark):
+    df = spark.createDataFrame([("1", "a b c", "2024-01-01"), ("2", None, "2024-01-02"), ("3", "d", "2024-01-03"), ("3", "d", "2024-01-03")], "episode_id string, transcript string, date string")
+    got = embedding.embedded_transcripts(df, embedding.EncoderSettings(model="m", batch=1))
+    assert got.columns == ["episode_id", "date", "embedding", "model", "created_at"] and got.count() == 3
+    assert rows(ingest.embedded_by(got, "m")) == [("1",), ("2",), ("3",)] and ingest.embedded_by(got, "other").count() == 0
+    assert rows(ingest.earlier(got, "m", "2024-01-02"), "episode_id") == [("1",)] and ingest.earlier(got, "m").count() == 3
+    by_letters = {r["episode_id"]: r["embedding"] for r in embedding.embedded_transcripts(df, make=_letters).collect()}
+    assert not any(by_letters["2"]) and any(by_letters["3"])
+    waiting = ingest.pending(df.drop("date"), got.where("episode_id = '1'"), most=1)
+    assert rows(waiting, "episode_id") == [("3",)]

@@ -3,17 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.vectors import EPSILON
 
 MODEL_TOKENS, SPECIAL, OVERLAP, MARGIN, LEAST_WINDOW, DIMENSIONS = 256, 2, 32, 8, 8, 64
 
 Encoder = Callable[[list[str]], np.ndarray]
+#: A text's token ids, and the text of some; made where it is used, as a tokenizer may not travel.
+Codec = tuple[Callable[[str], list[int]], Callable[[list[int]], str]]
+
+
+@dataclass(frozen=True)
+class EncoderSettings:
+    """A model's name, which its vectors carry, and how long texts are dealt to it."""
+
+    model: str = f"hashing-{DIMENSIONS}"
+    tokens: int = MODEL_TOKENS
+    overlap: int = OVERLAP
+    margin: int = MARGIN
+    batch: int = 4
+    dimensions: int = DIMENSIONS
 
 
 def window_of(tokens: int = MODEL_TOKENS, model_tokens: int = MODEL_TOKENS, special: int = SPECIAL, overlap: int = OVERLAP, margin: int = MARGIN) -> tuple[int, int]:
@@ -38,6 +54,51 @@ def chunks(docs: DataFrame, text: str = "text", **settings: int) -> DataFrame:
     return each.select("doc_id", "chunk", F.size("_own").alias("n_tokens"), F.array_join("_own", " ").alias("chunk_text"))
 
 
+def file_codec(path: str) -> Callable[[], Codec]:
+    """The codec of a tokenizer's JSON file, which every worker can read."""
+
+    def make() -> Codec:
+        from tokenizers import Tokenizer
+
+        own = Tokenizer.from_file(path)
+        return lambda text: own.encode(text, add_special_tokens=False).ids, own.decode
+
+    return make
+
+
+def token_chunks(docs: DataFrame, make: Callable[[], Codec], text: str = "text", **settings: int) -> DataFrame:
+    """chunks() by a tokenizer's own tokens: each window's text is what its ids decode to.
+
+    Windows that decode to blanks are left out and the others are numbered without gaps. A null or blank text has none.
+    """
+    window, stride = window_of(**settings)
+    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("chunk int, n_tokens int, chunk_text string")])
+
+    def of(doc_id, ids: list[int], decode: Callable[[list[int]], str]) -> Iterator[tuple]:
+        k = 0
+        for start in range(0, max(1, len(ids) - window + stride), stride):
+            own = ids[start : start + window]
+            part = decode(own).strip() if own else ""
+            if part:
+                yield doc_id, k, len(own), part
+                k += 1
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode, decode = make()
+        for batch in batches:
+            for doc_id, x in zip(batch["doc_id"].astype(object), batch["_text"], strict=True):
+                found = list(of(None if pd.isna(doc_id) else doc_id, encode(x), decode)) if x else []
+                if found:
+                    yield pd.DataFrame(found, columns=schema.names)
+
+    return docs.select("doc_id", F.trim(F.coalesce(F.col(text), F.lit(""))).alias("_text")).mapInPandas(run, schema)
+
+
+def by_batches(encode: Encoder, size: int) -> Encoder:
+    """encode, given so many texts at a time."""
+    return lambda texts: np.concatenate([encode(texts[k : k + size]) for k in range(0, len(texts), size)])
+
+
 def hashing_encoder(texts: list[str]) -> np.ndarray:
     """Unit vectors of hashed words: the same everywhere, without a model."""
     import zlib
@@ -64,7 +125,7 @@ def embedded(chunked: DataFrame, encode: Encoder = hashing_encoder) -> DataFrame
                 total = sums.sum()
                 yield pd.DataFrame({"doc_id": total.index, "sums": list(total.to_numpy()), "n_chunks": sums.size().to_numpy()})
 
-    parts = chunked.mapInPandas(run, "doc_id long, sums array<double>, n_chunks long")
+    parts = chunked.mapInPandas(run, StructType([chunked.schema["doc_id"], *StructType.fromDDL("sums array<double>, n_chunks long")]))
     sums = parts.select("doc_id", "n_chunks", F.posexplode("sums").alias("k", "x")).groupBy("doc_id", "k").agg(F.sum("x").alias("x"), F.sum("n_chunks").alias("n_chunks"))
     whole = sums.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("v"), F.max("n_chunks").alias("n_chunks"))
     vector = F.transform("v", lambda x: x["x"])
@@ -77,3 +138,21 @@ def embedded_documents(docs: DataFrame, encode: Encoder = hashing_encoder, dimen
     found = embedded(chunks(docs), encode)
     zero = F.array_repeat(F.lit(0.0).cast("float"), dimensions)
     return docs.select("doc_id").distinct().join(found, "doc_id", "left").select("doc_id", F.coalesce("embedding", zero).alias("embedding"), F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"))
+
+
+def embedded_transcripts(transcripts: DataFrame, settings: EncoderSettings | None = None, encode: Encoder = hashing_encoder, make: Callable[[], Codec] | None = None) -> DataFrame:
+    """episode_id, date, embedding, model and created_at of transcripts (episode_id, transcript, maybe date).
+
+    Each id has one row for a model. Chunks are of the codec's tokens if one is given, else of words; a text without any has
+    the zero vector.
+    """
+    own = settings or EncoderSettings()
+    windows_of = {"tokens": own.tokens, "overlap": own.overlap, "margin": own.margin}
+    docs = transcripts.select(F.col("episode_id").alias("doc_id"), F.col("transcript").alias("text"))
+    parts = token_chunks(docs, make, **windows_of) if make else chunks(docs, **windows_of)
+    found = embedded(parts, by_batches(encode, own.batch)).withColumnRenamed("doc_id", "_of")
+    date = F.col("date") if "date" in transcripts.columns else F.lit(None)
+    each = transcripts.groupBy("episode_id").agg(F.max(date.cast("string")).alias("date"))
+    zero = F.array_repeat(F.lit(0.0).cast("float"), own.dimensions)
+    joined = each.join(found, F.col("episode_id") == F.col("_of"), "left")
+    return joined.select("episode_id", "date", F.coalesce("embedding", zero).alias("embedding"), F.lit(own.model).alias("model"), F.current_timestamp().alias("created_at"))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as T
 
 MOST_RETRIES, RETRY_SLICE = 3, 5
+#: Transcripts that a trial run embeds.
+EMBED_LIMIT = 50
 
 
 def unseen(df: DataFrame, known: DataFrame | None, key: str = "episode_id") -> DataFrame:
@@ -21,13 +23,28 @@ def known_ids(messages: DataFrame) -> DataFrame:
     return messages.select(key.alias("episode_id")).where(F.col("episode_id").isNotNull()).distinct()
 
 
-def pending(transcripts: DataFrame, done: DataFrame, day: str | None = None) -> DataFrame:
-    """Transcripts with text that aren't embedded yet; of one day if the table has dates and one is asked for."""
+def embedded_by(vectors: DataFrame, model: str) -> DataFrame:
+    """Ids that this model has embedded; another model's vectors don't count."""
+    return vectors.where(F.col("model") == model).select("episode_id").distinct()
+
+
+def earlier(vectors: DataFrame, model: str, day: str | None = None) -> DataFrame:
+    """episode_id and embedding of this model's vectors; of days before one, if the table has dates and one is given."""
+    own = vectors.where(F.col("model") == model)
+    return (own.where(F.col("date") < day) if day and "date" in vectors.columns else own).select("episode_id", "embedding")
+
+
+def pending(transcripts: DataFrame, done: DataFrame, day: str | None = None, most: int | None = None) -> DataFrame:
+    """Transcripts with text that aren't embedded yet; of one day if the table has dates and one is asked for.
+
+    most limits a run to that many, the first by id.
+    """
     T.require(transcripts, "episode_id", "transcript")
     dated = ["date"] if "date" in transcripts.columns else []
     rows = transcripts.select(F.col("episode_id").cast("string").alias("episode_id"), T.cleaned(F.col("transcript")).alias("transcript"), *dated).where(F.length("transcript") > 0)
     rows = rows.join(done.select("episode_id").distinct(), "episode_id", "left_anti")
-    return rows.where(F.col("date") == day) if day and dated else rows
+    rows = rows.where(F.col("date") == day) if day and dated else rows
+    return rows if most is None else rows.orderBy("episode_id").limit(most)
 
 
 def failed(transcripts: DataFrame) -> DataFrame:
@@ -68,8 +85,9 @@ def compacted(log: DataFrame, key: str = "key", offset: str = "offset") -> DataF
     return log.groupBy(key).agg(last.alias("r")).select(key, "r.*")
 
 
-def highest_offsets(records: DataFrame, by: str) -> DataFrame:
-    return records.groupBy(by).agg(F.max("offset").alias("offset"))
+def highest_offsets(records: DataFrame, *by: str) -> DataFrame:
+    """The last offset of each partition, or id, or whatever else `by` names."""
+    return records.groupBy(*by).agg(F.max("offset").alias("offset"))
 
 
 def tail(records: DataFrame, a_partition: int = 20, most: int = 20) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import dashboard, engagement, ingest, knn, recommend
 from tidemark.plans import adapters as A
 from tidemark.plans.adapters import CONTENT_SQL, DAILY_SQL, EVENTS_SQL, HISTORY_SQL, HYBRID_SQL, KNN_SQL, RATINGS_SQL, RECS_SQL, TITLED_SQL, USERS_SQL
+from tidemark.sources.tables import checkpointed
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -170,3 +171,11 @@ def recommendations_with_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def als_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.recommended(recommend.ratings(A.daily(spark, sf_dir)))
+
+
+@query()
+def hybrid_als_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship's blend with the factors' own scores, which SQL can't express."""
+    scores = checkpointed(recommend.recommended(recommend.ratings(A.daily(spark, sf_dir))), "als_scores")
+    blended = recommend.hybrid(scores, A.similarities(spark, sf_dir), A.history(spark, sf_dir), A.ALPHA)
+    return recommend.top_n(blended, A.TOP_N).drop("generated_at")

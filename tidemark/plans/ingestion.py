@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,10 @@ from tidemark.functions import events as E
 from tidemark.functions import text as T
 from tidemark.operators import embedding, engagement, ingest, merges
 from tidemark.plans import adapters as A
-from tidemark.plans.adapters import EVENTS_SQL, KNN_SQL, WEIGHED_SQL
-from tidemark.sources import records, synthetic
+from tidemark.plans.adapters import EVENTS_SQL, HISTORY_SQL, KNN_SQL, WEIGHED_SQL
+from tidemark.sources import documents, records, sinks, synthetic
+from tidemark.sources.offsets import Offsets
+from tidemark.sources.tables import Table, shared_folder
 
 QUERIES, ORACLE_SQL = {}, {}
 EARLY, LATE = "2024-06-01 00:00:00", "2024-06-02 00:00:00"
@@ -254,16 +258,110 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].union(counts[1]).union(counts[2])
 
 
-@query()
+def _draw_sql(salt: str, n: int, key: str) -> str:
+    return f"CAST('0x' || substring(md5(concat_ws('|', 1, '{salt}', {key})), 1, 8) AS BIGINT) % {n}"
+
+
+def _pick_sql(values: tuple[str, ...], salt: str, key: str) -> str:
+    return f"[{', '.join(repr(v) for v in values)}][1 + {_draw_sql(salt, len(values), key)}]"
+
+
+PEOPLE, EPISODES, NOW = 500, 100, "2024-01-31 12:34:56"
+_PEOPLE_SQL = f"""people AS (
+    SELECT substring(h, 1, 8) || '-' || substring(h, 9, 4) || '-' || substring(h, 13, 4) || '-' || substring(h, 17, 4) || '-' || substring(h, 21, 12) AS id,
+      {_pick_sql(synthetic.NAMES, 'name', 'n')} AS name, {_pick_sql(synthetic.SURNAMES, 'surname', 'n')} AS surname,
+      strftime(DATE '{synthetic.FIRST_BIRTH}' + CAST(CAST('0x' || substring(md5(concat_ws('|', 1, 'born', n)), 1, 8) AS BIGINT)
+        % (DATE '{synthetic.LAST_BIRTH}' - DATE '{synthetic.FIRST_BIRTH}' + 1) AS INTEGER), '%Y-%m-%d') AS date_of_birth,
+      {_pick_sql(synthetic.GENDERS, 'gender', 'n')} AS gender
+    FROM (SELECT range AS n, md5(concat_ws('|', 1, range)) AS h FROM range({PEOPLE})))"""
+
+
+@query(f"WITH {_PEOPLE_SQL} SELECT * FROM people")
 def synthetic_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return synthetic.users(spark, 500)
+    return synthetic.users(spark, PEOPLE)
 
 
-@query()
+@query(
+    f"""WITH {_PEOPLE_SQL}, chosen AS (SELECT id AS user_id FROM people
+      QUALIFY row_number() OVER (ORDER BY md5(concat_ws('|', 1, id)), id) <= {synthetic.LEAST_USERS} + {_draw_sql('size', PEOPLE - synthetic.LEAST_USERS + 1, str(PEOPLE))}),
+    drawn AS (SELECT user_id, '2024-01-31T12:30:00.000Z' AS bucket, {_pick_sql(synthetic.EVENTS, 'event', 'user_id')} AS event,
+      CAST({_draw_sql('at', synthetic.MOST_SECONDS + 1, 'user_id')} AS INTEGER) AS a, CAST({_draw_sql('to', synthetic.MOST_SECONDS + 1, 'user_id')} AS INTEGER) AS b FROM chosen)
+    SELECT sha1(user_id || '|' || bucket) AS event_id, user_id, CAST({_draw_sql('episode', EPISODES, 'user_id')} AS VARCHAR) AS episode_id, event,
+      {_pick_sql(synthetic.DEVICES, 'device', 'user_id')} AS device, '2024-01-31T12:34:56.000Z' AS ts, bucket,
+      CASE WHEN event = 'rate' THEN CAST(1 + {_draw_sql('rating', 5, 'user_id')} AS INTEGER) END AS rating, CASE WHEN event = 'pause' THEN a END AS position_sec,
+      CASE WHEN event = 'skip' THEN least(a, b) END AS from_sec, CASE WHEN event = 'skip' THEN greatest(a, b) END AS to_sec,
+      CASE WHEN event = 'complete' THEN 1.0::DOUBLE END AS played_pct FROM drawn"""
+)
 def synthetic_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return synthetic.events(synthetic.users(spark, 500), [str(k) for k in range(100)], "2024-01-31 12:34:56")
+    return synthetic.events(synthetic.users(spark, PEOPLE), [str(k) for k in range(EPISODES)], NOW)
 
 
-@query()
+@query("SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS episode_id FROM part ORDER BY md5(concat_ws('|', 1, episode_id)), episode_id LIMIT 500")
 def sample_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synthetic.sample(A.episodes(spark, sf_dir).select("episode_id").distinct(), 500, "episode_id")
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.table(spark, sf_dir, "events").select((F.col("event_id") % 6).cast("int").alias("partition"), F.col("event_id").alias("offset"), F.col("user_id").cast("string").alias("episode_id"), "event_type")
+
+
+@query('SELECT CAST(event_id % 6 AS INTEGER) AS "partition", max(event_id) AS "offset" FROM events GROUP BY ALL')
+def partition_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.highest_offsets(_log(spark, sf_dir), "partition")
+
+
+@query(
+    """WITH r AS (SELECT event_id AS "offset", CAST(event_id % 6 AS INTEGER) AS "partition", event_type FROM events), e AS (SELECT "partition", max("offset") AS done FROM r WHERE event_type = 'signup' AND "offset" < 5000 GROUP BY ALL)
+    SELECT "partition", "offset", event_type FROM r LEFT JOIN e USING ("partition") WHERE done IS NULL OR "offset" > done"""
+)
+def resumed_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a first poll ended at offset 5,000 and was done with its signups; the next one reads on from there
+    log, offsets = _log(spark, sf_dir), Offsets(spark, f"{shared_folder(spark)}/offsets-{uuid.uuid4().hex}")
+    polled = log.where("offset < 5000")
+    offsets.commit(polled.where("event_type = 'signup'"))
+    offsets.commit(polled.where("event_type = 'signup' and offset < 100"))
+    return offsets.unread(log).select("partition", "offset", "event_type")
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of two models, on days by their labels."""
+    model = F.when(F.col("label") < 4, "old").otherwise("new")
+    return A.table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("episode_id"), "embedding", model.alias("model"), F.format_string("2024-01-%02d", F.col("label").cast("int") % 28 + 1).alias("date"))
+
+
+_VERSIONS_SQL = """v AS (SELECT CAST(vec_id AS VARCHAR) AS episode_id, embedding, CASE WHEN label < 4 THEN 'old' ELSE 'new' END AS model, printf('2024-01-%02d', CAST(label AS INTEGER) % 28 + 1) AS date FROM embeddings)"""
+
+
+@query(f"WITH {_VERSIONS_SQL} SELECT episode_id, len(embedding) AS n FROM v WHERE model = 'new' AND date < '2024-01-08'")
+def earlier_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.earlier(_versions(spark, sf_dir), "new", "2024-01-08").select("episode_id", F.size("embedding").cast("long").alias("n"))
+
+
+@query(
+    f"""WITH {_VERSIONS_SQL}, t AS (SELECT CAST(doc_id AS VARCHAR) AS episode_id, trim(coalesce(text, '')) AS transcript FROM documents)
+    SELECT episode_id, transcript FROM t WHERE transcript <> '' AND episode_id NOT IN (SELECT episode_id FROM v WHERE model = 'new') ORDER BY episode_id LIMIT {ingest.EMBED_LIMIT}"""
+)
+def pending_of_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    transcripts = A.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("episode_id"), F.col("text").alias("transcript"))
+    return ingest.pending(transcripts, ingest.embedded_by(_versions(spark, sf_dir), "new"), most=ingest.EMBED_LIMIT)
+
+
+@query(f"WITH {EVENTS_SQL}, {HISTORY_SQL} SELECT user_id, episode_id AS historical_episode_id FROM history")
+def history_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    once = A.history(spark, sf_dir)
+    return documents.history(once.unionByName(once))
+
+
+@query(f"WITH {KNN_SQL} SELECT new_episode_id AS episode_id, historical_episode_id AS similar_episode_id, similarity FROM sims")
+def neighbour_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = A.similarities(spark, sf_dir).withColumn("similarity", F.col("similarity").cast("string"))
+    broken = found.limit(1).withColumn("similarity", F.lit("none"))
+    return documents.neighbours(found.unionByName(broken))
+
+
+@query("SELECT trim(c_name) AS name, CAST(trunc(c_acctbal) AS BIGINT) AS whole, CAST(NULL AS VARCHAR) AS missing FROM customer")
+def overwrite_coerced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    form = {"name": "string", "whole": "integer", "missing": "string"}
+    table = Table(spark, f"{shared_folder(spark)}/coerced-{uuid.uuid4().hex}", T.struct_of(form))
+    sinks.overwrite_coerced(A.table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("whole")), table, form)
+    return table.read()

@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.text import coerced
+from tidemark.sources import documents
 from tidemark.sources.tables import Table
 
 log = logging.getLogger(__name__)
@@ -31,6 +33,11 @@ def load_once(df: DataFrame, table: Table, key: str) -> bool:
     return True
 
 
+def overwrite_coerced(df: DataFrame, table: Table, schema: dict[str, str]) -> int:
+    """Replaces a table by df in this form (see functions.text.coerced) and returns how many rows it has."""
+    return table.overwrite(coerced(df, schema))
+
+
 def snapshot(df: DataFrame, table: Table) -> None:
     table.overwrite(df)
 
@@ -55,9 +62,10 @@ def kafka_write(messages: DataFrame, servers: str, topic: str) -> None:
     messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
-def mongo_read(spark: SparkSession, uri: str, database: str, collection: str) -> DataFrame:
-    """Needs the MongoDB connector on the class path."""
-    return spark.read.format("mongodb").option("connection.uri", uri).option("database", database).option("collection", collection).load()
+def mongo_read(spark: SparkSession, uri: str, database: str, collection: str, fields: documents.Fields | None = None) -> DataFrame:
+    """A collection, or these fields of it, which the connector then asks for alone. Needs the MongoDB connector on the class path."""
+    df = spark.read.format("mongodb").option("connection.uri", uri).option("database", database).option("collection", collection).load()
+    return documents.projected(df, fields) if fields else df
 
 
 def mongo_write(df: DataFrame, uri: str, database: str, collection: str, mode: str = "overwrite") -> None:

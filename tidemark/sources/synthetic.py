@@ -18,7 +18,13 @@ LEAST_USERS, BUCKET_MINUTES, MOST_SECONDS = 30, 10, 3600
 
 
 def _draw(seed: int, salt: str, n: int | Column, *keys: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), *keys), F.lit(n) if isinstance(n, int) else n).cast("int")
+    """A number under n, by 32 bits of a digest that other engines have too."""
+    digest = F.md5(F.concat_ws("|", F.lit(seed), F.lit(salt), *keys))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(n) if isinstance(n, int) else n).cast("int")
+
+
+def _order(seed: int, key: str) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(seed), F.col(key)))
 
 
 def _pick(values: tuple[str, ...], at: Column) -> Column:
@@ -49,7 +55,7 @@ def events(people: DataFrame, episodes: list[str], now: str, seed: int = 1) -> D
     n = people.count()
     least = min(LEAST_USERS, n)
     size = least + people.sparkSession.range(1).select(_draw(seed, "size", n - least + 1, F.lit(n))).first()[0] if n else 0
-    chosen = people.select(F.col("id").alias("user_id")).orderBy(F.xxhash64(F.lit(seed), "user_id"), "user_id").limit(size)
+    chosen = people.select(F.col("id").alias("user_id")).orderBy(_order(seed, "user_id"), "user_id").limit(size)
     user, ts = F.col("user_id"), F.lit(now).cast("timestamp")
     bucket = E.iso_utc(E.bucket_start(ts, BUCKET_MINUTES))
     event = _pick(EVENTS, _draw(seed, "event", len(EVENTS), user))
@@ -77,4 +83,4 @@ def events(people: DataFrame, episodes: list[str], now: str, seed: int = 1) -> D
 
 def sample(df: DataFrame, n: int, key: str, seed: int = 1) -> DataFrame:
     """n rows without replacement, the same for the same seed."""
-    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+    return df.orderBy(_order(seed, key), key).limit(n)
