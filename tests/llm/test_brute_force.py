@@ -175,11 +175,19 @@ def test_flat_files(spark, tmp_path, monkeypatch):
         for k, (s, e) in enumerate(zip(starts.tolist(), [*ends.tolist(), len(ids)], strict=True)):
             if k < len(ends) or e > s:
                 wanted[name, k, s, e - s, k < len(ends)] += 1
+    monkeypatch.setattr(token_counts, "RANGE_BLOCKS", 2)  # so that files are read in several ranges
     blocks = token_counts.token_files(spark, f"file://{tmp_path}/*.bin", block=7, width=4)
+    assert len({r["p"] for r in blocks.where("file like '%a.bin'").select(F.spark_partition_id().alias("p")).collect()}) > 1
     got = Counter((r["file"][-5], r["document"], r["first_token"], r["n_tokens"], r["ended"]) for r in token_counts.counted(blocks, end_id=9, width=4).collect())
     assert got == wanted
 
 
+def test_flat_files_of_half_ids_are_refused(spark, tmp_path):
+    (tmp_path / "odd.bin").write_bytes(b"12345")
+    with pytest.raises(Exception, match="no whole ids"):
+        token_counts.token_files(spark, f"file://{tmp_path}/odd.bin").collect()
+
+
 def test_op4(spark, small, texts):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     windows = defaultdict(set)

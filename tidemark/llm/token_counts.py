@@ -10,7 +10,8 @@ so that a file of any size is never one task's.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,22 +26,46 @@ from tidemark.llm.tokens import BYTE_BPE, byte_bpe
 END_ID, BLOCK, WIDTH = 50256, 1 << 16, 2
 #: Blocks that one task scans by a sort; their sums are scanned above.
 RUN = 4096
+#: Blocks that are read in one go, and tasks that read.
+RANGE_BLOCKS, MOST_READERS = 256, 50_000
 
 
-def token_files(spark: SparkSession, path: str, block: int = BLOCK, width: int = WIDTH) -> DataFrame:
+def positioned(path: str) -> pa.NativeFile:
+    """A file open for reads at any place, on whatever store its address names."""
+    from pyarrow import fs
+
+    uri = re.sub(r"^file:/(?!//)", "file:///", re.sub(r"^s3[an]://", "s3://", path))
+    store, at = fs.FileSystem.from_uri(uri)
+    return store.open_input_file(at)
+
+
+def token_files(spark: SparkSession, path: str, block: int = BLOCK, width: int = WIDTH, opened: Callable[[str], pa.NativeFile] = positioned) -> DataFrame:
     """Blocks (file, block, ids) of raw files of little-endian unsigned ids of width 2 or 4 bytes.
 
-    Each file is one row of Spark's binary reader, so it holds at most 2 GB.
+    Spark only lists the files; each range of RANGE_BLOCKS blocks is then a row that some task reads by position, block by
+    block, so a file may have any size and many tasks share it. An empty file is one block without ids; bytes that
+    don't make whole ids are an error. opened takes the place of pyarrow's file systems for other stores.
     """
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "length")
+    blocks = F.greatest(F.ceil(F.col("length") / (width * block)), F.lit(1))
+    ranges = F.ceil(blocks / RANGE_BLOCKS)
+    n = files.agg(F.sum(ranges)).first()[0] or 0
+    each = files.select("file", "length", F.explode(F.sequence(F.lit(0).cast("long"), ranges - 1)).alias("range"))
+    each = each.select("file", "length", (F.col("range") * RANGE_BLOCKS).alias("first"), (F.least((F.col("range") + 1) * RANGE_BLOCKS, blocks)).alias("end"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                for k in range(0, max(1, -(-len(content) // (width * block)))):
-                    ids = bytes(content[k * width * block : (k + 1) * width * block])
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k], pa.int64()), pa.array([ids], pa.binary())], names=["file", "block", "ids"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, block long, ids binary")
+            for row in batch.to_pylist():
+                if row["length"] % width:
+                    raise ValueError(f"{row['file']} has {row['length']} bytes, which are no whole ids of {width}")
+                with opened(row["file"]) as f:
+                    f.seek(row["first"] * width * block)
+                    for k in range(row["first"], row["end"]):
+                        yield pa.RecordBatch.from_arrays([pa.array([row["file"]]), pa.array([k], pa.int64()), pa.array([f.read(width * block)], pa.binary())], names=["file", "block", "ids"])
+
+    # a number of its own: rows of a few bytes would otherwise be put together in one task
+    dealt = each.repartition(max(1, min(n, MOST_READERS)))
+    return dealt.mapInArrow(run, "file string, block long, ids binary")
 
 
 def token_stream(docs: DataFrame, path: str = BYTE_BPE, end_id: int = END_ID, block: int = BLOCK, width: int = WIDTH) -> DataFrame:
