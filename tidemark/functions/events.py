@@ -17,8 +17,8 @@ def engagement() -> Column:
     """An event's weight in the stream, 0 at least: unknown events, skips and ratings up to 3 weigh nothing."""
     gains = {event: F.lit(weight) for event, weight in STREAM_WEIGHTS.items()}
     gains["rate"] = F.col("rating").cast("double") - RATING_BASE
-    gains["pause"] = F.least(F.col("position_sec") / PAUSE_SECONDS, F.lit(PAUSE_MOST))
-    own = (F.when(F.col("event") == event, F.greatest(gain, F.lit(0.0))) for event, gain in gains.items())  # a null gain is 0
+    gains["pause"] = F.least(F.coalesce("position_sec", F.lit(0)) / PAUSE_SECONDS, F.lit(PAUSE_MOST))  # least() passes over nulls
+    own = (F.when(F.col("event") == event, F.greatest(gain, F.lit(0.0))) for event, gain in gains.items())  # a null gain is 0, as greatest() passes over it
     return F.coalesce(*own, F.lit(0.0))
 
 
