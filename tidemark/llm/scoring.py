@@ -18,6 +18,7 @@ in which tasks end, or on tasks that run again.
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,8 +35,8 @@ from tidemark.llm.common import discarded, map_batches, written
 WORDS, LEAST, BUCKETS = 1 << 15, 20, 1 << 10
 REACH, HIDDEN, TOP = 2, 8, 15
 ROUNDS, BATCH, RATE, SEED = 2, 4096, 0.1, 6
-#: Trainers at least, and words of a trainer at most, about.
-TRAINERS, TRAINER_WORDS = 6, 8_000_000
+#: Trainers at least, where each has so many words, about; and words of a trainer at most, about.
+TRAINERS, LEAST_WORDS, TRAINER_WORDS = 6, 500_000, 8_000_000
 #: Words whose windows are shuffled together, at least.
 RUN = 250_000
 #: Distinct words that a task counts before it passes them on, and that it remembers.
@@ -382,18 +383,19 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["chunk", "data"])
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Padded runs of RUN words or more, but for the last one."""
-    held, n = [], 0
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """Trainers and padded runs of RUN words or more, but for each trainer's last one. A trainer's rows stand together."""
+    held, n, trainer = [], 0, None
     for batch in batches:
-        for x in batch.column("ids").to_pylist():
+        for t, x in zip(batch.column("trainer").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+            if held and (n >= RUN or t != trainer):
+                yield trainer, padded(held)
+                held, n = [], 0
+            trainer = t
             held.append(x)
             n += len(x) // 2
-            if n >= RUN:
-                yield padded(held)
-                held, n = [], 0
     if held:
-        yield padded(held)
+        yield trainer, padded(held)
 
 
 def trained(texts: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
@@ -403,8 +405,9 @@ def trained(texts: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
     total = known.agg(F.sum(F.octet_length("ids") / 2)).first()[0] or 0
     if not total:
         return net
-    trainers = max(TRAINERS, -(-int(total) // TRAINER_WORDS))
-    dealt = written(known.repartition(trainers, "h").sortWithinPartitions("h").select("ids"), "dealt_ids")
+    trainers = max(-(-int(total) // TRAINER_WORDS), min(TRAINERS, -(-int(total) // LEAST_WORDS)))
+    # a task may read several trainers' files, so each row names its trainer
+    dealt = written(known.repartition(trainers, "h").sortWithinPartitions("h").select(F.spark_partition_id().alias("trainer"), "ids"), "dealt_ids")
     shipped_tree = spark.sparkContext.broadcast(tree.__dict__)
     rows = sum(len(x) for x in net.parts())
     for number in range(rounds):
@@ -413,21 +416,22 @@ def trained(texts: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped, number=number, rate=rate) -> Iterator[pa.RecordBatch]:
             own_tree, before = Tree.of(shipped_tree.value), shipped.value
-            own, seen = Network(own_tree).load(before), 0
-            around = np.zeros((len(PLACES), own.ids), np.int64)
-            hidden = np.zeros(own.ids, np.int64)
-            for ids in _runs(batches):
-                windows = windows_of(ids, number, rounds)
-                train(own, own_tree, windows[np.random.default_rng(len(windows)).permutation(len(windows))], rate)
-                for p, k in enumerate(PLACES):
-                    around[p] += np.bincount(windows[:, REACH + k], minlength=own.ids)
-                hidden += np.bincount(windows[:, REACH], minlength=own.ids)
-                seen += len(windows)
-            if seen:
-                nodes = own_tree.times_met(hidden)
-                data = np.concatenate(_moves(own, before, around, nodes, seen))
-                for c, k in enumerate(range(0, len(data), CHUNK)):
-                    yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([data[k : k + CHUNK].tobytes()], pa.binary())], names=["chunk", "data"])
+            for _, runs in itertools.groupby(_runs(batches), key=lambda x: x[0]):
+                own, seen = Network(own_tree).load(before), 0
+                around = np.zeros((len(PLACES), own.ids), np.int64)
+                hidden = np.zeros(own.ids, np.int64)
+                for _, ids in runs:
+                    windows = windows_of(ids, number, rounds)
+                    train(own, own_tree, windows[np.random.default_rng(len(windows)).permutation(len(windows))], rate)
+                    for p, k in enumerate(PLACES):
+                        around[p] += np.bincount(windows[:, REACH + k], minlength=own.ids)
+                    hidden += np.bincount(windows[:, REACH], minlength=own.ids)
+                    seen += len(windows)
+                if seen:
+                    nodes = own_tree.times_met(hidden)
+                    data = np.concatenate(_moves(own, before, around, nodes, seen))
+                    for c, k in enumerate(range(0, len(data), CHUNK)):
+                        yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([data[k : k + CHUNK].tobytes()], pa.binary())], names=["chunk", "data"])
 
         moves = dealt.mapInArrow(run, "chunk int, data binary")
         sums = moves.repartition("chunk").mapInArrow(_added, "chunk int, data binary").collect()  # as many numbers as weights and rows
