@@ -49,18 +49,3 @@ def test_a_query_in_its_history_takes_no_neighbours_place(spark):
     df = spark.createDataFrame([(x, [1.0, float(i)]) for i, x in enumerate("abcd")], "id string, embedding array<float>").coalesce(1)
     got = knn.top_k(df.where("id = 'a'"), df, 3, exclude_self=True).orderBy("rank").collect()
     assert [r["historical_id"] for r in got] == ["b", "c", "d"]
-
-
-def test_trainers_do_not_hang_on_how_files_are_read(spark, monkeypatch):
-    from tidemark.llm import scoring as S
-
-    monkeypatch.setattr(S, "LEAST_WORDS", 5_000)
-    docs = spark.range(4_000).selectExpr("id AS doc_id", "concat('one two three w', id % 50, ' four five six w', id % 30) AS text")
-    scores = []
-    for cost in ("1", str(1 << 26)):  # a file a task; all files one task's
-        spark.conf.set("spark.sql.files.openCostInBytes", cost)
-        try:
-            scores.append({r["doc_id"]: r["log_likelihood"] for r in S.pseudo_likelihood(docs).collect()})
-        finally:
-            spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert scores[0] == scores[1]
