@@ -58,3 +58,30 @@ items_hit AS (SELECT k, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN words_hit USING (k) LEFT JOIN items_hit USING (k)
 """
+
+_CRC_TABLE = "(SELECT list(t ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM range(256) r(i)))"
+
+
+def _crc32(codes: str) -> str:
+    """The crc32 of a list of bytes, by the table t."""
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])))"
+
+
+def _digits(number: str) -> str:
+    return f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda x: CAST(unicode(x) AS BIGINT))"
+
+
+COHORTS = f"""
+WITH crc AS {_CRC_TABLE},
+known AS (SELECT *, {_crc32(_digits("click_id"))} AS h FROM (SELECT DISTINCT * FROM clicks WHERE ts IS NOT NULL AND client_id IS NOT NULL), crc),
+e AS (SELECT client_id, epoch_us(ts) AS us, kind, coalesce(CAST(floor(100 * value + 0.5) AS BIGINT), 0) AS cents,
+  coalesce(arrived_at + CASE WHEN h % 3 = 0 THEN to_days(CAST(h % 100 AS INTEGER)) ELSE to_days(0) END < TIMESTAMP '2024-03-01', FALSE) AS early FROM known),
+events AS (SELECT 0 AS state, * FROM e WHERE early UNION ALL SELECT 1, * FROM e),
+starts AS (SELECT state, client_id, min(us) AS start, CAST(floor(floor(min(us) / 86400000000) / 3) AS BIGINT) AS cohort FROM events WHERE kind = 'purchase' GROUP BY ALL),
+cities AS (SELECT client_id, min(city) AS city FROM clients GROUP BY client_id),
+people AS (SELECT s.state, s.client_id, s.start, s.cohort, coalesce(c.city, '') AS segment, coalesce(o.cohort <> s.cohort, FALSE) AS moved, {_crc32(_digits("s.client_id"))} AS crc
+  FROM starts s JOIN crc ON TRUE LEFT JOIN cities c ON c.client_id = s.client_id LEFT JOIN starts o ON o.client_id = s.client_id AND o.state = 1 - s.state),
+seen AS (SELECT state, client_id, segment, cohort, moved, crc, (us - start) // 259200000000 AS period, sum(cents) AS cents FROM people JOIN events USING (state, client_id) WHERE us >= start GROUP BY ALL)
+SELECT CAST(state AS INTEGER) AS state, segment, cohort, CAST(period AS BIGINT) AS period, count(*) AS users, CAST(sum(crc) AS BIGINT) AS users_crc32, CAST(sum(CAST(moved AS INTEGER)) AS BIGINT) AS moved, CAST(sum(cents) AS BIGINT) AS cents
+FROM seen GROUP BY state, segment, cohort, period
+"""

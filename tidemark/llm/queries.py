@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm import oracles
+from tidemark.llm.cohorts import op11_cohort_retention
 from tidemark.llm.decontamination import op4_winnowing
 from tidemark.llm.language import op10_language
 from tidemark.llm.packing import op9_packing
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_language": op10_language,
+    "op11_cohort_retention": op11_cohort_retention,
 }
 
 #: DuckDB SQL where it can express a query over whole tables.
 ORACLE_SQL = {
     "op4_winnowing": oracles.WINNOWING,
     "op7_host_quality": oracles.QUALITY,
+    "op11_cohort_retention": oracles.COHORTS,
 }
