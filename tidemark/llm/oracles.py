@@ -85,3 +85,22 @@ seen AS (SELECT state, client_id, segment, cohort, moved, crc, (us - start) // 2
 SELECT CAST(state AS INTEGER) AS state, segment, cohort, CAST(period AS BIGINT) AS period, count(*) AS users, CAST(sum(crc) AS BIGINT) AS users_crc32, CAST(sum(CAST(moved AS INTEGER)) AS BIGINT) AS moved, CAST(sum(cents) AS BIGINT) AS cents
 FROM seen GROUP BY state, segment, cohort, period
 """
+
+_TEXT_BYTES = "flatten(list_transform(string_split({s}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [CAST(192 + (unicode(x) >> 6) AS BIGINT), CAST(128 + (unicode(x) & 63) AS BIGINT)] END))"
+
+SPELLING = f"""
+WITH RECURSIVE crc AS {_CRC_TABLE},
+runs AS (SELECT k, doc_id, run, count(*) AS n FROM (SELECT k, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run
+  FROM (SELECT row_number() OVER () AS k, doc_id, text FROM documents)) GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc32(_TEXT_BYTES.format(s="coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run"))} AS h FROM runs, crc),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 97 = 0 THEN run[: h % len(run)] || run[h % len(run) + 2 :] ELSE run END AS word FROM hashed) WHERE len(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT word, i, word[: i] || word[i + 2 :] AS rest FROM (SELECT word, unnest(range(len(word))) AS i FROM v)),
+shorter AS (SELECT DISTINCT cut.word AS long, rest AS short FROM cut JOIN v ON v.word = rest),
+near AS (SELECT a.word AS word, b.word AS other FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT long, short FROM shorter UNION SELECT short, long FROM shorter),
+best AS (SELECT near.word AS word, count(*) AS n_near, arg_min(other, (-v.n, encode(other))) AS other, max(v.n) AS most FROM near JOIN v ON v.word = other GROUP BY near.word),
+f AS (SELECT v.word AS word, v.n AS n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * v.n THEN other END AS form, CASE WHEN most >= 2 * v.n THEN most END AS form_n FROM v LEFT JOIN best ON best.word = v.word),
+walk AS (SELECT word, word AS at, 0 AS step FROM f UNION ALL SELECT walk.word, f.form, step + 1 FROM walk JOIN f ON f.word = walk.at WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(at, step) AS root FROM walk GROUP BY word)
+SELECT f.word AS word, form, root, n, n_near, form_n FROM f JOIN ends ON ends.word = f.word
+"""
