@@ -100,7 +100,7 @@ near AS (SELECT a.word AS word, b.word AS other FROM cut a JOIN cut b ON a.i = b
   UNION SELECT long, short FROM shorter UNION SELECT short, long FROM shorter),
 best AS (SELECT near.word AS word, count(*) AS n_near, arg_min(other, (-v.n, encode(other))) AS other, max(v.n) AS most FROM near JOIN v ON v.word = other GROUP BY near.word),
 f AS (SELECT v.word AS word, v.n AS n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * v.n THEN other END AS form, CASE WHEN most >= 2 * v.n THEN most END AS form_n FROM v LEFT JOIN best ON best.word = v.word),
-walk AS (SELECT word, word AS at, 0 AS step FROM f UNION ALL SELECT walk.word, f.form, step + 1 FROM walk JOIN f ON f.word = walk.at WHERE f.form IS NOT NULL),
-ends AS (SELECT word, arg_max(at, step) AS root FROM walk GROUP BY word)
+walk AS (SELECT word, word AS reached, 0 AS step FROM f UNION ALL SELECT walk.word, f.form, step + 1 FROM walk JOIN f ON f.word = walk.reached WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(reached, step) AS root FROM walk GROUP BY word)
 SELECT f.word AS word, form, root, n, n_near, form_n FROM f JOIN ends ON ends.word = f.word
 """
