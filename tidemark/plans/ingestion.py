@@ -12,7 +12,7 @@ from tidemark.functions import text as T
 from tidemark.operators import embedding, engagement, ingest, merges
 from tidemark.plans import adapters as A
 from tidemark.plans.adapters import EVENTS_SQL, HISTORY_SQL, KNN_SQL, WEIGHED_SQL
-from tidemark.sources import documents, records, sinks, synthetic
+from tidemark.sources import documents, feed_source, feeds, records, sinks, synthetic
 from tidemark.sources.offsets import Offsets
 from tidemark.sources.tables import Table, shared_folder
 
@@ -224,6 +224,37 @@ def language_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.table(spark, sf_dir, "documents").select("doc_id", english(F.col("lang"), F.col("text")).alias("english"))
 
 
+_FEEDS_SQL = """f AS (SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS feed_id, nullif(regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1), '') AS feed_language,
+    regexp_extract(html, '<title>([^<]*)', 1) AS title, CASE WHEN page_id % 5 = 0 THEN NULL ELSE url END AS audio_url, page_id % 7 = 0 AS broken FROM pages)"""
+
+
+def _feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as responses of feeds, one a line of several files, some of them cut short; read back by the data source."""
+    url = F.col("url")
+    item = F.struct(F.col("page_id").alias("id"), F.regexp_extract("html", "<title>([^<]*)", 1).alias("title"), F.when(F.col("page_id") % 5 != 0, url).alias("enclosureUrl"), F.col("page_id").alias("datePublished"))
+    language = F.nullif(F.regexp_extract(url, r"^https?://[^/]+/([a-z]+)/", 1), F.lit(""))
+    response = F.to_json(F.struct(F.regexp_extract(url, "^https?://([^/]+)", 1).alias("id"), language.alias("language"), F.array(item).alias("items")))
+    whole = F.when(F.col("page_id") % 7 == 0, F.left(response, F.lit(20))).otherwise(response)
+    at = f"{shared_folder(spark)}/feeds-{uuid.uuid4().hex}"
+    A.table(spark, sf_dir, "pages").repartition(6, "page_id").select(whole.alias("value")).write.text(at)
+    return feed_source.feeds(spark, at)
+
+
+@query(f"WITH {_FEEDS_SQL} SELECT CASE WHEN broken THEN NULL ELSE feed_id END AS feed_id, CASE WHEN broken THEN NULL ELSE CAST(page_id AS VARCHAR) END AS episode_id, CASE WHEN broken THEN NULL ELSE audio_url END AS audio_url, broken FROM f")
+def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _feed_rows(spark, sf_dir).select("feed_id", "episode_id", "audio_url", F.col("error").isNotNull().alias("broken"))
+
+
+@query(
+    f"""WITH {_FEEDS_SQL}, chosen AS (SELECT DISTINCT feed_id FROM f WHERE NOT broken ORDER BY feed_id LIMIT 50)
+    SELECT feed_id, CAST(page_id AS VARCHAR) AS episode_id, title, audio_url FROM (SELECT * FROM f JOIN chosen USING (feed_id) WHERE NOT broken AND feed_language = 'en'
+      QUALIFY row_number() OVER (PARTITION BY feed_id ORDER BY page_id DESC) = 1) WHERE audio_url <> ''"""
+)
+def feed_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _feed_rows(spark, sf_dir).where("error is null").drop("feed_rank")
+    return feeds.newest_episodes(found).select("feed_id", "episode_id", "title", "audio_url")
+
+
 @query("SELECT conv_id, turn, CASE WHEN role = 'user' THEN least(turn + 1, 3) ELSE turn END AS retry_count FROM conversations")
 def retry_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.table(spark, sf_dir, "conversations").select("conv_id", "turn", ingest.next_retry_count(F.col("role") == "user", F.col("turn")).alias("retry_count"))
