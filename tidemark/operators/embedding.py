@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions import vectors as V
 from tidemark.functions.vectors import EPSILON
 
 MODEL_TOKENS, SPECIAL, OVERLAP, MARGIN, LEAST_WINDOW, DIMENSIONS = 256, 2, 32, 8, 8, 64
@@ -101,9 +106,7 @@ def by_batches(encode: Encoder, size: int) -> Encoder:
 
 def hashing_encoder(texts: list[str]) -> np.ndarray:
     """Unit vectors of hashed words: the same everywhere, without a model."""
-    import zlib
-
-    out = np.zeros((len(texts), DIMENSIONS), np.float32)
+    out = np.zeros((len(texts), DIMENSIONS))
     for row, text in zip(out, texts, strict=True):
         for word in text.lower().split():
             h = zlib.crc32(word.encode())
@@ -111,26 +114,29 @@ def hashing_encoder(texts: list[str]) -> np.ndarray:
     return out / (np.linalg.norm(out, axis=1, keepdims=True) + EPSILON)
 
 
+def chunk_vectors(chunked: DataFrame, encode: Encoder = hashing_encoder) -> DataFrame:
+    """doc_id, vector and n_tokens of chunks (doc_id, chunk_text, n_tokens), in their order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vectors = np.ascontiguousarray(encode(batch.column("chunk_text").to_pylist()), np.float64)
+                lists = pa.ListArray.from_arrays(np.arange(0, vectors.size + 1, vectors.shape[1], np.int32), vectors.ravel())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, batch.column("n_tokens").cast(pa.float64())], names=["doc_id", "vector", "n_tokens"])
+
+    kept = chunked.select("doc_id", "chunk_text", "n_tokens")
+    return kept.mapInArrow(run, StructType([chunked.schema["doc_id"], *StructType.fromDDL("vector array<double>, n_tokens double")]))
+
+
 def embedded(chunked: DataFrame, encode: Encoder = hashing_encoder) -> DataFrame:
     """doc_id, embedding and n_chunks: the mean of a document's chunk vectors weighted by their tokens, at length one.
 
-    Chunks are encoded where they are; only weighted sums meet, added up before the shuffle.
+    Chunks are encoded where they are. A summarizer adds them up as whole vectors, before the shuffle and after it.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                weighted = encode(batch["chunk_text"].tolist()).astype(np.float64) * batch["n_tokens"].to_numpy()[:, None]
-                sums = pd.DataFrame(weighted).groupby(batch["doc_id"].to_numpy())
-                total = sums.sum()
-                yield pd.DataFrame({"doc_id": total.index, "sums": list(total.to_numpy()), "n_chunks": sums.size().to_numpy()})
-
-    parts = chunked.mapInPandas(run, StructType([chunked.schema["doc_id"], *StructType.fromDDL("sums array<double>, n_chunks long")]))
-    sums = parts.select("doc_id", "n_chunks", F.posexplode("sums").alias("k", "x")).groupBy("doc_id", "k").agg(F.sum("x").alias("x"), F.sum("n_chunks").alias("n_chunks"))
-    whole = sums.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("v"), F.max("n_chunks").alias("n_chunks"))
-    vector = F.transform("v", lambda x: x["x"])
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x["x"] * x["x"])) + EPSILON
-    return whole.select("doc_id", F.transform(vector, lambda x: (x / norm).cast("float")).alias("embedding"), "n_chunks")
+    summary = Summarizer.metrics("mean", "count").summary(array_to_vector("vector"), F.col("n_tokens"))
+    means = chunk_vectors(chunked, encode).groupBy("doc_id").agg(summary.alias("s")).select("doc_id", vector_to_array("s.mean").alias("v"), F.col("s.count").alias("n_chunks"))
+    length = V.norm(F.col("v")) + EPSILON
+    return means.withColumn("_length", length).select("doc_id", F.transform("v", lambda x: (x / F.col("_length")).cast("float")).alias("embedding"), "n_chunks")
 
 
 def embedded_documents(docs: DataFrame, encode: Encoder = hashing_encoder, dimensions: int = DIMENSIONS) -> DataFrame:
@@ -140,7 +146,7 @@ def embedded_documents(docs: DataFrame, encode: Encoder = hashing_encoder, dimen
     return docs.select("doc_id").distinct().join(found, "doc_id", "left").select("doc_id", F.coalesce("embedding", zero).alias("embedding"), F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"))
 
 
-def embedded_transcripts(transcripts: DataFrame, settings: EncoderSettings | None = None, encode: Encoder = hashing_encoder, make: Callable[[], Codec] | None = None) -> DataFrame:
+def embedded_transcripts(transcripts: DataFrame, settings: EncoderSettings | None = None, encode: Encoder = hashing_encoder, make: Callable[[], Codec] | None = None, now: Column | None = None) -> DataFrame:
     """episode_id, date, embedding, model and created_at of transcripts (episode_id, transcript, maybe date).
 
     Each id has one row for a model. Chunks are of the codec's tokens if one is given, else of words; a text without any has
@@ -155,4 +161,4 @@ def embedded_transcripts(transcripts: DataFrame, settings: EncoderSettings | Non
     each = transcripts.groupBy("episode_id").agg(F.max(date.cast("string")).alias("date"))
     zero = F.array_repeat(F.lit(0.0).cast("float"), own.dimensions)
     joined = each.join(found, F.col("episode_id") == F.col("_of"), "left")
-    return joined.select("episode_id", "date", F.coalesce("embedding", zero).alias("embedding"), F.lit(own.model).alias("model"), F.current_timestamp().alias("created_at"))
+    return joined.select("episode_id", "date", F.coalesce("embedding", zero).alias("embedding"), F.lit(own.model).alias("model"), (now if now is not None else F.current_timestamp()).alias("created_at"))

@@ -189,7 +189,24 @@ def chunk_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.chunks(A.table(spark, sf_dir, "documents"))
 
 
-@query()
+_CHUNKS_SQL = """t AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\r\\f\\v]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT doc_id, w, CAST(unnest(range(0, greatest(0, CAST(ceil((len(w) - 246) / 214.0) AS BIGINT)) + 1)) AS INTEGER) AS chunk FROM t WHERE len(w) > 0),
+c AS (SELECT doc_id, chunk, w[chunk * 214 + 1 : chunk * 214 + 246] AS own FROM s)"""
+_CRC_SQL = """crc AS (SELECT list(t ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM range(256) r(i))),
+hashes AS (SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(x) // 2), lambda i: CAST('0x' || x[2 * i + 1 : 2 * i + 2] AS BIGINT))), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) AS h
+  FROM (SELECT word, hex(encode(word)) AS x FROM (SELECT DISTINCT lower(unnest(w)) AS word FROM t)), crc)"""
+
+
+@query(
+    f"""WITH {_CHUNKS_SQL}, {_CRC_SQL},
+    v AS (SELECT doc_id, chunk, h % 64 AS dim, sum(CASE WHEN (h >> 16) & 1 = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS x FROM (SELECT doc_id, chunk, lower(unnest(own)) AS word FROM c) JOIN hashes USING (word) GROUP BY ALL),
+    u AS (SELECT doc_id, dim, x / (sqrt(sum(x * x) OVER (PARTITION BY doc_id, chunk)) + 1e-8) * len(own) AS x FROM v JOIN c USING (doc_id, chunk)),
+    d AS (SELECT doc_id, sum(len(own)) AS tokens, count(*) AS n_chunks FROM c GROUP BY doc_id),
+    m AS (SELECT doc_id, dim, sum(x) / any_value(tokens) AS x FROM u JOIN d USING (doc_id) GROUP BY doc_id, dim),
+    f AS (SELECT doc_id, map_from_entries(list((dim, x))) AS v, sqrt(sum(x * x)) + 1e-8 AS n FROM m GROUP BY doc_id)
+    SELECT documents.doc_id AS doc_id, list_transform(range(64), lambda k: CAST(coalesce(f.v[k], 0.0::DOUBLE) / coalesce(f.n, 1) AS FLOAT)) AS embedding, coalesce(n_chunks, 0) AS n_chunks
+    FROM documents LEFT JOIN f ON f.doc_id = documents.doc_id LEFT JOIN d ON d.doc_id = documents.doc_id"""
+)
 def hashing_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.embedded_documents(A.table(spark, sf_dir, "documents"))
 
