@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,37 +20,54 @@ K = 3
 QUERY_TILE, HISTORY_TILE = 4096, 16_384
 #: Vectors that the form in expressions may broadcast.
 BROADCAST_VECTORS = 20_000
-#: Similarities are ranked at so many decimals, so that ties don't hang on the order of sums.
+
+#: Similarities are ranked at so many decimals unless told otherwise, so that ties don't hang on the order of sums.
 DECIMALS = 6
 
 
-def _unit(x: np.ndarray) -> np.ndarray:
+def unit(x: np.ndarray) -> np.ndarray:
     return x / (np.linalg.norm(x, axis=1, keepdims=True) + V.EPSILON)
 
 
-def _vectors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.array(table.column("id").to_pylist(), dtype=str)
-    return ids, np.array(table.column("embedding").to_pylist(), np.float64).reshape(len(ids), -1 if len(ids) else 0)
+def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Lists of one length as rows of numbers, from their flat values."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1 if len(column) else 0)
+
+
+def best_places(s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the k greatest of each row, the greatest first; of equal ones the first columns."""
+    k = min(k, s.shape[1])
+    if not k:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    least = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+    row, column = np.nonzero(s >= least[:, None])  # more than k where the least is tied
+    order = np.lexsort((column, -s[row, column], row))
+    row, column = row[order], column[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < k], column[place < k]
 
 
-def _tile_best(k: int):
+def tile_best(k: int, decimals: int | None = None):
     """Of a tile of queries and one of the history, the k best of each query; ties go to the least id."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names, near, number = np.empty(0, "<U1"), np.empty(0), np.empty(0, np.int64)
-        ids, q = _vectors(left)
-        own, h = _vectors(right)
+        ids, q, own, h = left.column("id"), matrix(left.column("embedding")), right.column("id"), matrix(right.column("embedding"))
+        names, near, number = [], [], []
         if len(ids) and len(own):
-            known = q.any(axis=1)  # a zero vector has no neighbours
-            ids, q, order = ids[known], _unit(q[known]), np.argsort(own, kind="stable")
-            own, h = own[order], _unit(h[order])
-            for a in range(0, len(ids), 256):
-                s = np.round(q[a : a + 256] @ h.T, DECIMALS)
-                top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                number = np.concatenate((number, np.repeat(np.arange(a, a + len(s)), top.shape[1])))
-                names = np.concatenate((names, own[top.ravel()]))
-                near = np.concatenate((near, np.take_along_axis(s, top, axis=1).ravel()))
-        return pa.table({"new_id": pa.array(ids[number].tolist(), pa.string()), "historical_id": pa.array(names.tolist(), pa.string()), "similarity": pa.array(near)})
+            known = np.flatnonzero(q.any(axis=1))  # a zero vector has no neighbours
+            order = pc.array_sort_indices(own.combine_chunks()).to_numpy()
+            h = unit(h[order])
+            for a in range(0, len(known), 256):
+                rows = known[a : a + 256]
+                s = unit(q[rows]) @ h.T
+                row, column = best_places(s if decimals is None else np.round(s, decimals), k)
+                number.append(rows[row])
+                names.append(order[column])
+                near.append(s[row, column] if decimals is None else np.round(s[row, column], decimals))
+        at = [np.concatenate(x) if x else np.empty(0, t) for x, t in ((number, np.int64), (names, np.int64), (near, np.float64))]
+        return pa.table({"new_id": ids.take(pa.array(at[0])), "historical_id": own.take(pa.array(at[1])), "similarity": at[2]})
 
     return run
 
@@ -61,19 +79,22 @@ def _tiles(df: DataFrame, n: int, others: int, own: str, other: str) -> DataFram
     return dealt.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
 
 
-def top_k(queries: DataFrame, history: DataFrame | None, k: int = K, exclude_self: bool = False, query_tile: int = QUERY_TILE, history_tile: int = HISTORY_TILE) -> DataFrame:
+def top_k(queries: DataFrame, history: DataFrame | None, k: int = K, exclude_self: bool = False, query_tile: int = QUERY_TILE, history_tile: int = HISTORY_TILE, decimals: int | None = DECIMALS) -> DataFrame:
     """new_id, historical_id, similarity and rank of each query's k nearest; both sides have id (string) and embedding.
 
     Without a history (None or empty) the queries are their own, and a query finds itself: unless
     exclude_self, that takes one of its k places and is dropped only then. Zero queries have no
-    neighbours; zero history vectors have similarity 0. Equal similarities go by id.
+    neighbours; zero history vectors have similarity 0. Equal similarities go by id; they are rounded to so many decimals,
+    unless that is None.
     """
-    table = queries if history is None or history.isEmpty() else history
-    n, m = (max(1, -(-df.count() // tile)) for df, tile in ((queries, query_tile), (table, history_tile)))
+    n_history = history.count() if history is not None else 0
+    n_queries = queries.count()
+    table, n_table = (history, n_history) if n_history else (queries, n_queries)
+    n, m = max(1, -(-n_queries // query_tile)), max(1, -(-n_table // history_tile))
     left = _tiles(queries, n, m, "q", "h").groupBy("q", "h")
     right = _tiles(table, m, n, "h", "q").groupBy("q", "h")
     # one place more where a history may hold the query as well
-    found = left.cogroup(right).applyInArrow(_tile_best(k + 1 if exclude_self else k), "new_id string, historical_id string, similarity double")
+    found = left.cogroup(right).applyInArrow(tile_best(k + 1 if exclude_self else k, decimals), "new_id string, historical_id string, similarity double")
     if exclude_self:
         found = found.where("new_id <> historical_id")
     rank = Window.partitionBy("new_id").orderBy(F.desc("similarity"), "historical_id")
@@ -81,13 +102,14 @@ def top_k(queries: DataFrame, history: DataFrame | None, k: int = K, exclude_sel
     return found.where("new_id <> historical_id")
 
 
-def top_k_by_expressions(queries: DataFrame, history: DataFrame, k: int = K) -> DataFrame:
+def top_k_by_expressions(queries: DataFrame, history: DataFrame, k: int = K, decimals: int | None = DECIMALS) -> DataFrame:
     """As top_k, in expressions alone: every pair is computed in the JVM. A history over BROADCAST_VECTORS goes by tiles."""
     if history.limit(BROADCAST_VECTORS + 1).count() > BROADCAST_VECTORS:
-        return top_k(queries, history, k)
+        return top_k(queries, history, k, decimals=decimals)
     q = queries.select(F.col("id").alias("new_id"), F.col("embedding").alias("a")).where(V.norm(F.col("a")) > 0)
     pairs = q.join(F.broadcast(history.select(F.col("id").alias("historical_id"), F.col("embedding").alias("b"))))
-    scored = pairs.select("new_id", "historical_id", F.round(V.cosine(F.col("a"), F.col("b")), DECIMALS).alias("similarity"))
+    cosine = V.cosine(F.col("a"), F.col("b"))
+    scored = pairs.select("new_id", "historical_id", (cosine if decimals is None else F.round(cosine, decimals)).alias("similarity"))
     rank = Window.partitionBy("new_id").orderBy(F.desc("similarity"), "historical_id")
     return scored.withColumn("rank", F.row_number().over(rank)).where((F.col("rank") <= k) & (F.col("new_id") != F.col("historical_id")))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import dashboard, engagement, ingest, knn, recommend
+from tidemark.operators import cells, dashboard, engagement, ingest, knn, recommend
 from tidemark.plans import adapters as A
 from tidemark.plans.adapters import CONTENT_SQL, DAILY_SQL, EVENTS_SQL, HISTORY_SQL, HYBRID_SQL, KNN_SQL, RATINGS_SQL, RECS_SQL, TITLED_SQL, USERS_SQL
 from tidemark.sources.tables import checkpointed
@@ -74,6 +74,24 @@ def knn_topk_excluding_self(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(A.vectors(spark, sf_dir), None, exclude_self=True)
 
 
+@query(f"WITH {KNN_SQL.replace('WHERE a.n > 0', 'WHERE a.n > 0 AND a.id <> b.id')} SELECT new_episode_id AS new_id, historical_episode_id AS historical_id, similarity, CAST(rank AS INTEGER) AS rank FROM sims")
+def knn_cells_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of so few vectors the index, as it is by default, looks into all cells."""
+    vectors = A.vectors(spark, sf_dir)
+    found = cells.centres(vectors)
+    return cells.nearest(vectors, checkpointed(cells.indexed(vectors, found), "cells"), found)
+
+
+@query("SELECT 16 AS cells, 12 AS probes, TRUE AS finds_95_percent")
+def knn_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a search of 12 of 16 cells finds of the exact neighbours of all vectors."""
+    vectors = A.vectors(spark, sf_dir)
+    found = cells.centres(vectors, 16)
+    near = cells.nearest(vectors, checkpointed(cells.indexed(vectors, found), "cells"), found, probes=12)
+    share = cells.recall(near, knn.top_k(vectors, None, exclude_self=True))
+    return spark.range(1).select(F.lit(len(found)).alias("cells"), F.lit(12).alias("probes"), F.lit(share >= 0.95).alias("finds_95_percent"))
+
+
 @query(f"WITH {KNN_SQL} SELECT new_episode_id AS new_id, historical_episode_id AS historical_id, similarity, CAST(rank AS INTEGER) AS rank FROM sims")
 def knn_topk_by_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = A.vectors(spark, sf_dir)
