@@ -11,7 +11,10 @@ from tidemark import schemas
 from tidemark.plans import adapters as A
 from tidemark.plans.adapters import DAILY_SQL, EVENTS_SQL, HISTORY_SQL
 from tidemark.sources.tables import Table, shared_folder
+from tidemark.streaming import deltas as D
 from tidemark.streaming import events as S
+from tidemark.streaming import once as O
+from tidemark.streaming import rated as R
 
 
 def _replayed(spark: SparkSession, sf_dir: str) -> tuple[str, Table, Table]:
@@ -42,10 +45,96 @@ def streaming_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.read().select("user_id", "episode_id", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_seen_at", "last_seen_at")))
 
 
+def _sent(slices: list[DataFrame], at: str) -> None:
+    """Each slice as one JSON file, one after the other, so that a trigger a file takes them in order."""
+    for k, rows in enumerate(slices):
+        text = rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"))
+        text.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.text(f"{at}/in/{k}")
+
+
+def _quarters(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Events of the first four weeks and what comes later, in four slices by time."""
+    events = A.events(spark, sf_dir)
+    since = [None, *QUARTERS, None]
+    return [events.where((F.lit(True) if a is None else F.col("ts") >= a) & (F.lit(True) if b is None else F.col("ts") < b)) for a, b in zip(since, since[1:], strict=False)]
+
+
+def _appended(spark: SparkSession, sf_dir: str) -> tuple[D.Deltas, D.Deltas]:
+    """All events over four triggers, appended as deltas; folded after the third, and a batch replayed in the end."""
+    at = f"{shared_folder(spark)}/deltas-{uuid.uuid4().hex}"
+    _sent(_quarters(spark, sf_dir), at)
+    daily, history = D.daily_deltas(spark, f"{at}/daily"), D.history_deltas(spark, f"{at}/history")
+
+    def put(batch: DataFrame, n: int) -> None:
+        D.append_batch(batch, n, daily, history)
+        if n == 2:
+            daily.fold(keep=1)
+            history.fold()
+        D.append_batch(batch, n, daily, history)  # as a replay would
+
+    events = S.deduplicated(S.decoded(S.file_stream(spark, f"{at}/in/*", files=1)))
+    events.writeStream.foreachBatch(put).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return daily, history
+
+
+def delta_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _appended(spark, sf_dir)[0].read().select("user_id", "episode_id", "day", F.round("engagement", 6).alias("engagement"), "num_events", F.col("last_ts").cast("timestamp_ntz").alias("last_ts"))
+
+
+def delta_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.history_of(_appended(spark, sf_dir)[1]).select("user_id", "episode_id", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_seen_at", "last_seen_at")))
+
+
+def once_an_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four triggers; from the second on come repeated events and new ones of the slice before, most of them behind the
+    watermark, and in the third events of the first slice with a new time, whose ids are forgotten by then."""
+    at = f"{shared_folder(spark)}/once-{uuid.uuid4().hex}"
+    quarters = _quarters(spark, sf_dir)
+    number = F.col("event_id").cast("long") % 50
+    sent = [quarters[0]]
+    for before, own in zip(quarters, quarters[1:], strict=False):
+        late = before.where(number == 1).withColumn("event_id", F.concat("event_id", F.lit("L")))
+        sent.append(own.union(before.where(number == 0)).union(late))
+    again = quarters[0].where((number == 2) & (F.col("ts") < "2024-01-07")).withColumn("ts", F.col("ts") + F.expr("INTERVAL '14 12' DAY TO HOUR"))
+    sent[2] = sent[2].union(again)
+    _sent(sent, at)
+    O.with_rocksdb(spark)
+    events = O.once_an_id(S.decoded(S.file_stream(spark, f"{at}/in/*", files=1)).select("event_id", "event", "ts"))
+    events.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("event_id string, event string, ts timestamp").parquet(f"{at}/out").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def rated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream of so many a trigger, each with the number of its batch."""
+    at = f"{shared_folder(spark)}/rated-{uuid.uuid4().hex}"
+
+    def put(batch: DataFrame, n: int) -> None:
+        batch.select("event_id", "event_type", F.lit(n).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{at}/out/n={n}")
+
+    q = R.rated_stream(spark, f"{sf_dir}/events.parquet", "event_id", most=A_TRIGGER).writeStream.foreachBatch(put).option("checkpointLocation", f"{at}/checkpoint").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.parquet(f"{at}/out").select("event_id", "event_type", "batch")
+
+
+QUARTERS, A_TRIGGER = ("2024-01-08 06:00:00", "2024-01-15 12:00:00", "2024-01-22 18:00:00"), 2500
 _MS = "date_trunc('millisecond', {})"
-QUERIES = {"streaming_raw": streaming_raw, "streaming_daily": streaming_daily, "streaming_history": streaming_history}
+_SLICE = "CASE " + " ".join(f"WHEN ts < TIMESTAMP '{t}' THEN {k}" for k, t in enumerate(QUARTERS)) + f" ELSE {len(QUARTERS)} END"
+QUERIES = {f.__name__: f for f in (streaming_raw, streaming_daily, streaming_history, delta_daily, delta_history, once_an_id, rated_events)}
 ORACLE_SQL = {
     "streaming_raw": f"WITH {EVENTS_SQL} SELECT event_id, user_id, episode_id, event, rating, device, {_MS.format('ts')} AS ts, day FROM ev",
     "streaming_daily": f"WITH {DAILY_SQL} SELECT user_id, episode_id, day, round(engagement, 6) AS engagement, num_events, {_MS.format('last_ts')} AS last_ts FROM daily",
     "streaming_history": f"WITH {EVENTS_SQL}, {HISTORY_SQL} SELECT user_id, episode_id, {_MS.format('last_ts')} AS first_seen_at, {_MS.format('last_ts')} AS last_seen_at FROM history",
+    "delta_daily": f"WITH {DAILY_SQL} SELECT user_id, episode_id, day, round(engagement, 6) AS engagement, num_events, {_MS.format('last_ts')} AS last_ts FROM daily",
+    "delta_history": f"""WITH {EVENTS_SQL}, liked AS (SELECT user_id, episode_id, {_MS.format('ts')} AS ts, {_SLICE} AS batch FROM ev WHERE (event IN ('like', 'complete') OR (event = 'rate' AND rating >= 4)) AND user_id IS NOT NULL AND episode_id IS NOT NULL),
+      b AS (SELECT user_id, episode_id, batch, max(ts) AS ts FROM liked GROUP BY ALL)
+      SELECT user_id, episode_id, arg_min(ts, batch) AS first_seen_at, arg_max(ts, batch) AS last_seen_at FROM b GROUP BY ALL""",
+    "once_an_id": f"""WITH {EVENTS_SQL}, e AS (SELECT event_id, event, {_MS.format('ts')} AS ts, {_SLICE} AS slice, CAST(event_id AS BIGINT) % 50 AS number FROM ev),
+      w AS (SELECT slice, max(ts) - INTERVAL 2 HOUR AS mark FROM e GROUP BY slice)
+      SELECT event_id, event, ts FROM e
+      UNION ALL SELECT event_id || 'L', event, ts FROM e JOIN w USING (slice) WHERE number = 1 AND slice < 3 AND ts > mark
+      UNION ALL SELECT event_id, event, ts + INTERVAL 348 HOUR FROM e WHERE slice = 0 AND number = 2 AND ts < TIMESTAMP '2024-01-07'""",
+    "rated_events": f"SELECT event_id, event_type, (row_number() OVER (ORDER BY event_id) - 1) // {A_TRIGGER} AS batch FROM events",
 }
