@@ -139,8 +139,8 @@ def test_rates_and_triggers(spark, tmp_path, listened):
 
     run(5)
     assert listened.rows == [200, 200, 200, 200]
-    starts = [float(x[17:-1]) + 60 * float(x[14:16]) for x in listened.starts]
-    assert all(3 < (b - a) % 3600 for a, b in zip(starts[1:], starts[2:], strict=False))
+    seconds = [float(x[17:-1]) for x in listened.starts]
+    assert seconds[3] % 5 < 0.5  # triggers are at the interval's multiples, but after a batch that took longer
     assert spark.read.parquet(f"file://{tmp_path}/out").count() == 800
     spark.range(900, 950).select(F.col("id"), F.lit("new").alias("x")).write.mode("append").parquet(table)
     run(0)
