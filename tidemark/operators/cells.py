@@ -36,7 +36,7 @@ QUERY_TILE, CELL_TILE = 4096, 16_384
 def centres(vectors: DataFrame, cells: int | None = None, seed: int = SEED) -> np.ndarray:
     """Centres at length one, learned from at most SAMPLE_A_CELL vectors a cell of vectors (id, embedding); zero vectors and nulls teach nothing."""
     known = vectors.where(F.col("embedding").isNotNull() & (V.norm(F.col("embedding")) > 0))
-    cells = min(MOST_CELLS, cells or max(1, known.count() // CELL))
+    cells = max(2, min(MOST_CELLS, cells or known.count() // CELL))
     sample = known.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_A_CELL * cells).select(array_to_vector("embedding").alias("features"))
     if sample.isEmpty():
         return np.zeros((1, 1))

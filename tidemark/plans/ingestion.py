@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import events as E
 from tidemark.functions import text as T
-from tidemark.operators import embedding, engagement, ingest, merges
+from tidemark.operators import embedding, engagement, ingest, languages, merges
 from tidemark.plans import adapters as A
 from tidemark.plans.adapters import EVENTS_SQL, HISTORY_SQL, KNN_SQL, WEIGHED_SQL
-from tidemark.sources import documents, feed_source, feeds, records, sinks, synthetic
+from tidemark.sources import audio, documents, feed_source, feeds, json_arrays, records, sinks, synthetic
+from tidemark.sources.files import listed
 from tidemark.sources.offsets import Offsets
-from tidemark.sources.tables import Table, shared_folder
+from tidemark.sources.tables import Table, checkpointed, shared_folder
 
 QUERIES, ORACLE_SQL = {}, {}
 EARLY, LATE = "2024-06-01 00:00:00", "2024-06-02 00:00:00"
@@ -272,6 +273,50 @@ def feed_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.newest_episodes(found).select("feed_id", "episode_id", "title", "audio_url")
 
 
+_GRAMS_SQL = """g AS (SELECT doc_id, lang, '_' || unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}]+'), lambda w: w <> '')) || '_' AS w FROM documents),
+    grams AS (SELECT doc_id, lang, w[i : i + 2] AS gram FROM (SELECT doc_id, lang, w, unnest(range(1, length(w) - 1)) AS i FROM g)),
+    own AS (SELECT doc_id, gram, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, gram) AS rank FROM grams GROUP BY doc_id, gram QUALIFY rank <= 300),
+    learned AS (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS rank FROM grams WHERE doc_id % 2 = 0 AND lang IS NOT NULL GROUP BY lang, gram QUALIFY rank <= 300),
+    saved AS (SELECT doc_id, lang, sum(300 - least(abs(own.rank - learned.rank), 300)) AS saved FROM own JOIN learned USING (gram) GROUP BY doc_id, lang),
+    best AS (SELECT doc_id, lang AS language, 300 - saved / (SELECT count(*) FROM own WHERE own.doc_id = saved.doc_id) AS cost FROM saved QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY saved DESC, lang) = 1)"""
+
+
+@query(f"WITH {_GRAMS_SQL} SELECT d.doc_id AS doc_id, language, round(cost, 6) AS cost FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN best ON best.doc_id = d.doc_id")
+def language_detected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by its trigrams, learned from every other one."""
+    docs = A.table(spark, sf_dir, "documents")
+    learned = checkpointed(languages.profiles(docs.where("doc_id % 2 = 0")), "profiles")
+    return languages.detected(docs, learned, "doc_id").withColumn("cost", F.round("cost", 6))
+
+
+@query("SELECT page_id, url, length(html) AS n FROM pages")
+def json_array_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as JSON arrays of 200, with other items between them, read back by ranges of bytes."""
+    at = f"{shared_folder(spark)}/arrays-{uuid.uuid4().hex}"
+    item = F.concat(F.to_json(F.struct("page_id", "url", "html")), F.lit(', ["[{", 1], "}\\""'))
+    arrays = A.table(spark, sf_dir, "pages").groupBy(F.expr("page_id div 200").alias("block")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(item), ",\n"), F.lit("]")).alias("value"))
+    arrays.write.partitionBy("block").text(at)
+    files = listed(spark, f"{at}/*")
+    items = json_arrays.array_objects(files, 1 << 16).select(F.from_json("item", "page_id long, url string, html string").alias("r"))
+    return items.select("r.page_id", "r.url", F.length("r.html").cast("long").alias("n"))
+
+
+@query(
+    """SELECT CAST(page_id AS VARCHAR) AS path, CASE WHEN page_id % 7 <> 0 THEN 'wav' END AS format, CASE WHEN page_id % 7 <> 0 THEN CAST(8000 * (1 + page_id % 3) AS INTEGER) END AS rate,
+    CASE WHEN page_id % 7 <> 0 THEN CAST(length(url) AS DOUBLE) END AS duration, page_id % 7 = 0 AS broken FROM pages"""
+)
+def audio_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The heads of WAVE files as many seconds long as a page's address has letters; of every seventh the last byte is missing."""
+    four = lambda x: F.lpad(F.hex(x), 8, "0")
+    little = lambda x: F.concat(*(F.substring(four(x), k, 2) for k in (7, 5, 3, 1)))
+    rate, seconds = 8000 * (1 + F.col("page_id") % 3), F.length("url").cast("long")
+    size = rate * 2 * seconds
+    text = lambda x: F.lit(x.encode().hex())
+    head = F.unhex(F.concat(text("RIFF"), little(size + 36), text("WAVEfmt "), little(F.lit(16)), F.lit("01000100"), little(rate), little(rate * 2), F.lit("02001000"), text("data"), little(size)))
+    heads = A.table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("path"), head.alias("head"), (size + 44 - F.when(F.col("page_id") % 7 == 0, 1).otherwise(0)).alias("length"))
+    return audio.probed(heads).select("path", "format", "rate", "duration", F.col("error").isNotNull().alias("broken"))
+
+
 @query("SELECT conv_id, turn, CASE WHEN role = 'user' THEN least(turn + 1, 3) ELSE turn END AS retry_count FROM conversations")
 def retry_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.table(spark, sf_dir, "conversations").select("conv_id", "turn", ingest.next_retry_count(F.col("role") == "user", F.col("turn")).alias("retry_count"))

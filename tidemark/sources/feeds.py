@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
+from tidemark.operators import languages
 
 FEEDS, LONGEST_SECONDS = 50, 5400
 FEED_SCHEMA = "feed_id string, feed_title string, feed_author string, feed_language string, episode_id string, title string, description string, audio_url string, published long"
@@ -51,12 +52,24 @@ def english(language: Column, text: Column, detect: Callable[[str], str] | None
     return F.coalesce(stated, F.lit(False)) | found(text)
 
 
-def newest_episodes(feeds: DataFrame, detect: Callable[[str], str] | None = None, most: int = FEEDS) -> DataFrame:
+def english_feeds(feeds: DataFrame, profiles: DataFrame, language: str = "en") -> DataFrame:
+    """The rows of feeds that say they are of the language, or else whose titles and descriptions together are found to be."""
+    said = F.coalesce(F.lower(F.trim("feed_language")) == language, F.lit(False))
+    own = feeds.where(~said).select("feed_id", F.concat_ws(" ", "title", "description").alias("text"))
+    found = languages.detected(own, profiles, "feed_id").where(F.col("language") == language).select("feed_id")
+    return feeds.where(said).unionByName(feeds.where(~said).join(found, "feed_id", "left_semi").select(*feeds.columns))
+
+
+def newest_episodes(feeds: DataFrame, detect: Callable[[str], str] | None = None, most: int = FEEDS, profiles: DataFrame | None = None) -> DataFrame:
     """The newest episode of each English feed, of the first `most` feeds in their order, where it has an audio address: a
-    feed whose newest has none yields none. Feeds go by feed_rank, or by id where there is no such column."""
+    feed whose newest has none yields none. Feeds go by feed_rank, or by id where there is no such column.
+
+    A feed that names no language is judged by detect, or else by learned profiles (languages.profiles), if either is given.
+    """
     place = F.min("feed_rank") if "feed_rank" in feeds.columns else F.lit(0)
     chosen = feeds.groupBy("feed_id").agg(place.alias("_at")).orderBy("_at", "feed_id").limit(most).select("feed_id")
-    own = feeds.join(chosen, "feed_id", "left_semi").where(english(F.col("feed_language"), F.concat_ws(" ", "title", "description"), detect))
+    own = feeds.join(chosen, "feed_id", "left_semi")
+    own = english_feeds(own, profiles) if detect is None and profiles is not None else own.where(english(F.col("feed_language"), F.concat_ws(" ", "title", "description"), detect))
     newest = Window.partitionBy("feed_id").orderBy(F.desc("published"), "episode_id")
     latest = own.withColumn("_k", F.row_number().over(newest)).where("_k = 1")
     return latest.where(T.first_filled(F.col("audio_url")).isNotNull()).drop("_k", "feed_rank")

@@ -8,32 +8,40 @@ from pyspark.sql.types import StructType
 
 from tidemark import schemas
 from tidemark.functions import text as T
+from tidemark.sources import json_arrays
+from tidemark.sources.files import listed
 
 
 def json_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Records of JSON files, each an array, one object over any number of lines, or an object a line.
 
-    The first character that isn't white space tells an array. Of the others, a file whose every filled line is an object
-    is read a line at a time, however long it is; arrays and objects over lines are read whole. Items that
+    The first character that isn't white space tells an array, which is read by ranges of bytes, however large it is. Of the
+    others, a file whose every filled line is an object is read a line at a time; objects over lines are read whole. Items that
     aren't objects are dropped; an object without any of the schema's fields is a row of nulls. Files without a
     valid record give none, and an error is raised if no file has one.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("value")).where("value <> ''")
+    files = json_arrays.first_characters(listed(spark, path))
+    found = json_arrays.array_objects(files.where("first = '['")).select(F.col("item").alias("value"))
+    others = [r["path"] for r in files.where("first <> '['").select("path").collect()]  # names, as the listing itself holds them
+    found = found.unionAll(_objects_of(spark, others)) if others else found
+    if found.isEmpty():
+        raise ValueError(f"no valid record in {path}")
+    return found.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+def _objects_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """JSON texts of the objects of files that are no arrays, as value."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("value")).where("value <> ''")
     own = F.from_json("value", "map<string,string>").isNotNull() & F.col("value").startswith("{")
     kinds = lines.groupBy("file").agg(F.max(F.when(own, 0).otherwise(1)).alias("whole"))
     whole_files = kinds.where("whole = 1").select("file")
     by_line = lines.join(whole_files, "file", "left_anti").select("value")
-    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("value")).join(whole_files, "file", "left_semi")
-    is_array = F.regexp_extract("value", r"^\s*(.)", 1) == "["
-    items = texts.where(is_array).select(F.explode(F.from_json("value", "array<string>")).alias("value"))
+    texts = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("value")).join(whole_files, "file", "left_semi")
     # a file whose first line is an object has one a line, and some that are none; another is one object
     first = F.from_json(F.regexp_extract("value", r"^\s*([^\n]*)", 1), "map<string,string>").isNotNull()
-    objects = texts.where(~is_array & ~first & F.col("value").startswith("{")).select("value")
-    loose = lines.join(texts.where(~is_array & first).select("file"), "file", "left_semi").where(own).select("value")
-    found = by_line.unionAll(items.where(F.ltrim("value").startswith("{"))).unionAll(objects).unionAll(loose)
-    if found.isEmpty():
-        raise ValueError(f"no valid record in {path}")
-    return found.select(F.from_json("value", schema).alias("r")).select("r.*")
+    objects = texts.where(~first & F.col("value").startswith("{")).select("value")
+    loose = lines.join(texts.where(first).select("file"), "file", "left_semi").where(own).select("value")
+    return by_line.unionAll(objects).unionAll(loose)
 
 
 def episodes_and_transcripts(records: DataFrame, now: Column | None = None) -> tuple[DataFrame, DataFrame]:
