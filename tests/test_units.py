@@ -253,7 +253,8 @@ def test_frequency_index_matches_the_indexer(spark):
 
     df = spark.createDataFrame([(c,) for c in "aabbbcddddefg"] + [(None,)], "x string").repartition(5)
     wanted = StringIndexer(inputCol="x", outputCol="i", handleInvalid="skip").fit(df).labels
-    assert [r["x"] for r in recommend.indexed_by_frequency(df, "x").orderBy("index").collect()] == wanted
+    rated = df.select(F.col("x").alias("user_id"), F.lit("e").alias("episode_id"), F.lit(1.0).alias("engagement"))
+    assert [r["user_id"] for r in recommend.id_maps(spark, recommend.indexed(rated))["user_id"].orderBy("user_idx").collect()] == wanted
 
 
 def test_ingestion(spark):
@@ -459,3 +460,30 @@ def test_vectors_carry_their_model(spark):
     assert not any(by_letters["2"]) and any(by_letters["3"])
     waiting = ingest.pending(df.drop("date"), got.where("episode_id = '1'"), most=1)
     assert rows(waiting, "episode_id") == [("3",)]
+
+
+def test_recommendations_are_those_of_the_factors(spark, small):
+    """als_recs' scores and ranks, by numpy from the saved model's factors."""
+    from pyspark.ml.recommendation import ALSModel
+
+    from tidemark.plans import adapters as A
+    from tidemark.sources.tables import checkpointed, shared_folder
+
+    rated = checkpointed(recommend.ratings(A.daily(spark, small)), "ratings")
+    indexers, model = recommend.fit(rated, rank=8, iterations=3)
+    at = f"{shared_folder(spark)}/model-of-a-test"
+    recommend.save(indexers, model, at)
+    saved = ALSModel.load(f"{at}/als")
+    factors = [{r["id"]: np.array(r["features"], np.float32) for r in x.collect()} for x in (saved.userFactors, saved.itemFactors)]
+    names = [{r[0]: r[1] for r in df.select(i, c).collect()} for (c, i), df in zip(recommend.INDICES.items(), recommend.id_maps(spark, indexers).values(), strict=True)]
+    assert len(names[0]) == len(factors[0]) and len(names[1]) == len(factors[1])
+    items = sorted(factors[1])
+    scores = {names[0][u]: dict(zip((names[1][i] for i in items), np.array([factors[1][i] for i in items]) @ x, strict=True)) for u, x in factors[0].items()}
+    got = {}
+    for r in recommend.best_of(model, indexers, 5).collect():
+        got.setdefault(r["user_id"], []).append((r["episode_id"], r["als_score"]))
+    assert set(got) == set(scores)
+    for user, best in got.items():
+        assert len(best) == 5 and all(abs(scores[user][e] - x) < 1e-4 for e, x in best)
+        assert np.allclose(sorted((x for _, x in best), reverse=True), sorted(scores[user].values(), reverse=True)[:5], atol=1e-4)
+    assert (np.concatenate([list(x.values()) for x in factors]) >= 0).all()

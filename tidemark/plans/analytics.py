@@ -51,17 +51,15 @@ items_index AS (SELECT episode_id, CAST(row_number() OVER (ORDER BY count(*) DES
 
 @query(f"WITH {RATINGS_SQL}, {_INDEX_SQL} SELECT user_idx, item_idx, round(engagement, 6) AS engagement FROM ratings JOIN users_index USING (user_id) JOIN items_index USING (episode_id)")
 def user_item_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rated = recommend.ratings(A.daily(spark, sf_dir))
-    users = recommend.indexed_by_frequency(rated, "user_id").withColumnRenamed("index", "user_idx")
-    items = recommend.indexed_by_frequency(rated, "episode_id").withColumnRenamed("index", "item_idx")
-    return rated.join(users, "user_id").join(items, "episode_id").select("user_idx", "item_idx", F.round("engagement", 6).alias("engagement"))
+    rated = checkpointed(recommend.ratings(A.daily(spark, sf_dir)), "ratings")
+    return recommend.coded(rated, recommend.indexed(rated)).withColumn("engagement", F.round("engagement", 6))
 
 
 @query(f"WITH {RATINGS_SQL}, {_INDEX_SQL} SELECT 'user' AS kind, user_idx AS index, user_id AS id FROM users_index UNION ALL SELECT 'item', item_idx, episode_id FROM items_index")
 def id_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rated = recommend.ratings(A.daily(spark, sf_dir))
-    maps = [recommend.indexed_by_frequency(rated, c).select(F.lit(kind).alias("kind"), "index", F.col(c).alias("id")) for kind, c in (("user", "user_id"), ("item", "episode_id"))]
-    return maps[0].union(maps[1])
+    maps = recommend.id_maps(spark, recommend.indexed(checkpointed(recommend.ratings(A.daily(spark, sf_dir)), "ratings")))
+    users, items = (df.select(F.lit(kind).alias("kind"), F.col(recommend.INDICES[id]).alias("index"), F.col(id).alias("id")) for kind, (id, df) in zip(("user", "item"), maps.items(), strict=True))
+    return users.union(items)
 
 
 @query(f"WITH {KNN_SQL} SELECT new_episode_id AS new_id, historical_episode_id AS historical_id, similarity, CAST(rank AS INTEGER) AS rank FROM sims")
