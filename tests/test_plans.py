@@ -47,3 +47,11 @@ def test_merges_of_a_day_leave_other_days_alone(spark, tmp_path):
     t.append(rows("2024-01-01").union(rows("2024-01-02")))
     t.merge(rows("2024-01-02"), lambda target, source: seen.append(sorted(str(r["day"]) for r in target.collect())) or target.unionByName(source))
     assert seen == [["2024-01-02"]] and t.read().count() == 3
+
+
+def test_the_window_by_sql_reads_its_days_only(spark, tmp_path):
+    spark.range(10).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("day"), *(F.col("id").alias(c) for c in ("event_id", "user_id", "episode_id", "event", "rating"))).withColumn("ts", F.col("day").cast("timestamp")).write.partitionBy("day").parquet(f"file://{tmp_path}/e")
+    events = spark.read.parquet(f"file://{tmp_path}/e")
+    got = dashboard.trailing_by_sql(spark, dashboard.as_view(events, "window_of_a_test"), 1440)
+    assert [r["event_id"] for r in got.collect()] == [8, 9] and "PartitionFilters: [isnotnull(day" in plan(got)
+    assert dashboard.trailing_by_sql(spark, dashboard.as_view(events.limit(0), "empty_of_a_test")).count() == 0

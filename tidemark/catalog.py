@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import analytics, ingestion, streams
+from tidemark.plans import analytics, ingestion, streams, upserts
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = analytics.QUERIES | ingestion.QUERIES | streams.QUERIES
-ORACLE_SQL: dict[str, str] = analytics.ORACLE_SQL | ingestion.ORACLE_SQL | streams.ORACLE_SQL
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = analytics.QUERIES | ingestion.QUERIES | streams.QUERIES | upserts.QUERIES
+ORACLE_SQL: dict[str, str] = analytics.ORACLE_SQL | ingestion.ORACLE_SQL | streams.ORACLE_SQL | upserts.ORACLE_SQL

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import events as E
@@ -24,6 +26,27 @@ def trailing(events: DataFrame, minutes: int = MINUTES, now: str | None = None)
     return found.orderBy("ts", "event_id")
 
 
+def as_view(events: DataFrame, name: str) -> str:
+    """The name by which SQL of this session finds the rows."""
+    events.createOrReplaceTempView(name)
+    return name
+
+
+def trailing_by_sql(spark: SparkSession, view: str, minutes: int = MINUTES) -> DataFrame:
+    """trailing() as SQL over a view of raw events that is partitioned by day: only the days of the window are read.
+
+    The last time is looked for in the last day alone. A table without rows gives none.
+    """
+    last = spark.sql("SELECT max(ts) AS ts FROM IDENTIFIER(:view) WHERE day = (SELECT max(day) FROM IDENTIFIER(:view))", args={"view": view}).first()["ts"]
+    bound = {"view": view, "least": None if last is None else last - timedelta(minutes=minutes)}
+    kind = spark.table(view).schema["ts"].dataType.simpleString()
+    return spark.sql(
+        f"""SELECT event_id, user_id, episode_id, event, rating, ts FROM IDENTIFIER(:view)
+        WHERE day >= to_date(CAST(:least AS {kind})) AND ts >= CAST(:least AS {kind}) ORDER BY ts, event_id""",
+        args=bound | {"least": None if last is None else str(bound["least"])},
+    )
+
+
 def typed(events: DataFrame) -> DataFrame:
     """Events of a raw table with their types as far as values can be read; an empty rating is null."""
     return events.withColumns({"ts": F.col("ts").try_cast("timestamp"), "rating": F.nullif(F.col("rating").cast("string"), F.lit("")).try_cast("int")})
