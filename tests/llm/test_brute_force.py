@@ -507,18 +507,26 @@ def plain_bits(text):
     return sum(1 << i for i, c in enumerate(counts) if 2 * c > len(hashes))
 
 
-def heads_of(texts):
-    """The least doc_id that links between wide fingerprints reach, by all pairs."""
-    from tidemark.llm.near_copies import DISTANCE, wide_fingerprint
+def shingle_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def alike(a, b):
+    return len(a & b) >= 0.8 * len(a | b) - 1e-9
+
 
-    prints = {d: int.from_bytes(wide_fingerprint(t), "little") for d, t in texts.items()}
+def heads_of(texts):
+    """The least doc_id that pairs of similarity 0.8 or more reach, by all pairs."""
+    sets = {d: shingle_set(t) for d, t in texts.items()}
+    pairs = [(a, b) for a in texts for b in texts if a > b and min(len(sets[a]), len(sets[b])) >= 0.8 * max(len(sets[a]), len(sets[b])) - 1e-9 and alike(sets[a], sets[b])]
     least, changed = {d: d for d in texts}, True
     while changed:
         changed = False
-        for a in texts:
-            for b in texts:
-                if least[a] > least[b] and (prints[a] ^ prints[b]).bit_count() <= DISTANCE:
-                    least[a], changed = least[b], True
+        for a, b in pairs:
+            if least[a] != least[b]:
+                least[a] = least[b] = min(least[a], least[b])
+                changed = True
     return least
 
 
@@ -544,6 +552,44 @@ def test_near_copies(spark):
     assert not kept & {1, 2, 3, 126, 127, 129, 130, 131}
 
 
+def test_only_similar_texts_are_linked(spark):
+    """Among families of look-alikes, planted pairs over the limit are found and nothing under it is linked."""
+    from tidemark.llm import near_copies as N
+
+    draw = np.random.default_rng(8)
+
+    def changed(words, n, mark):
+        own = list(words)
+        for k in draw.choice(len(words) // 6, n, replace=False):
+            own[6 * k + 2] = f"{mark}{k}"  # apart from each other: five shingles each
+        return own
+
+    texts, planted = [], []
+    for family in range(4):
+        words = [f"f{family}w{int(x)}" for x in draw.integers(0, 4000, 300)]
+        for i in range(60):  # about 0.6 to 0.7 to each other
+            own = changed(words, 9, f"x{family}i{i}y")
+            texts.append(" ".join(own))
+            if i % 3 == 0:  # 0.85
+                planted.append((len(texts) - 1, len(texts)))
+                texts.append(" ".join(changed(own, 4, f"z{i}")))
+    least = heads_of(dict(enumerate(texts)))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hashed = rows.select("doc_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(2), "text").alias("h2"), "text")
+    from tidemark.llm.common import written
+
+    prints = written(N.fingerprinted(hashed, ["doc_id", "h", "h2"]), "prints_of_a_test")
+    groups = N.grouped(prints, hashed)
+    found = {}
+    for r in prints.join(groups.select("bits", "root"), "bits").collect():
+        found.setdefault(r["root"], []).append(r["doc_id"])
+    for own in found.values():
+        assert len({least[d] for d in own}) == 1  # no link that isn't one
+    together = {d: root for root, own in found.items() for d in own}
+    sure = [(a, b) for a, b in planted if alike(shingle_set(texts[a]), shingle_set(texts[b]))]
+    assert len(sure) > 60 and sum(together[a] == together[b] for a, b in sure) >= 0.98 * len(sure)
+
+
 def test_a_large_group_stays_small(spark, monkeypatch):
     """Copies of one text with one word changed, over many batches: roots alone are passed on, and one row stays."""
     from tidemark.llm import near_copies as N
@@ -551,7 +597,7 @@ def test_a_large_group_stays_small(spark, monkeypatch):
     words = [f"w{i}" for i in range(300)]
     docs = spark.createDataFrame([(i, " ".join([*words[: i % 300], f"x{i}", *words[i % 300 :]])) for i in range(3000)], "doc_id long, text string").repartition(5)
     rows = N.fingerprinted(docs, ["doc_id"]).select(F.col("doc_id").alias("node"), "bits")
-    left = N.keyed(rows, 3000).where("key is not null").groupBy("key").count().agg(F.max("count")).first()[0]
+    left = N.keyed(rows, 3000).where(F.col("key") != N.EDGE).groupBy("key").count().agg(F.max("count")).first()[0]
     assert left < 1500
     assert [r["doc_id"] for r in N.without_near_copies(docs).collect()] == [0]
 
