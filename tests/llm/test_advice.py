@@ -43,9 +43,40 @@ def test_discovered_identifiers_admit_patterns(spark):
     assert found == set(texts[40:-1])
 
 
-def test_a_query_in_its_history_takes_no_neighbours_place(spark):
-    from tidemark.operators import knn
+def test_scores_hang_on_the_rows_alone(spark, small, monkeypatch):
+    """The same scores however rows are cut into files and tasks, with several trainers."""
+    from tidemark.llm import scoring as S
+
+    monkeypatch.setattr(S, "LEAST_WORDS", 10_000)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    again = docs.union(docs.limit(5))
+    found = []
+    for parts, files in ((1, "128m"), (7, "4k")):
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", files)
+        try:
+            rows = S.pseudo_likelihood(again.repartition(parts, "text")).collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        found.append(sorted((r["doc_id"], r["n_tokens"], r["mean_log_prob"] or 0.0) for r in rows))
+    assert S.trainers_of(sum(r[1] for r in found[0])) == S.TRAINERS
+    assert [x[:2] for x in found[0]] == [x[:2] for x in found[1]]
+    assert np.allclose([x[2] for x in found[0]], [x[2] for x in found[1]], atol=1e-6, rtol=0)
+
+
+def test_context_says_more_than_shares(spark, small):
+    """On a tenth that wasn't trained on, the network's log-probability is above that of the words' shares alone."""
+    from tidemark.llm import scoring as S
+    from tidemark.llm.common import written
 
-    df = spark.createDataFrame([(x, [1.0, float(i)]) for i, x in enumerate("abcd")], "id string, embedding array<float>").coalesce(1)
-    got = knn.top_k(df.where("id = 'a'"), df, 3, exclude_self=True).orderBy("rank").collect()
-    assert [r["historical_id"] for r in got] == ["b", "c", "d"]
+    docs = spark.read.parquet(f"{small.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    words = S.vocabulary(S.word_counts(docs))
+    common = [w for w, _ in words]
+    tree = S.Tree(np.concatenate((np.array([n for _, n in words], float), np.full(S.BUCKETS, 100.0))))
+    texts = written(S.numbered(docs, common, np.zeros(0, np.int64), np.zeros(0, np.int64), ["doc_id"]), "held_out_of_a_test")
+    held = [r["ids"] for r in texts.where("doc_id % 10 = 3").collect()]
+    ids = S.padded([bytes(x) for x in held])
+    mean = lambda net: float(S.score(net, tree, ids)[ids[S.REACH : len(ids) - S.REACH] > 0].mean())
+    gain = mean(S.trained(texts.where("doc_id % 10 <> 3"), tree, key="doc_id")) - mean(S.Network(tree))
+    print(f"gain of held-out log-probability: {gain:.3f}")
+    assert gain > 0.2

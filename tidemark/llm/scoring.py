@@ -20,6 +20,8 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,8 @@ from tidemark.llm.common import discarded, map_batches, written
 WORDS, LEAST, BUCKETS = 1 << 15, 20, 1 << 10
 REACH, HIDDEN, TOP = 2, 8, 15
 ROUNDS, BATCH, RATE, SEED = 2, 4096, 0.1, 6
-#: Trainers at least, and words of a trainer at most, about.
-TRAINERS, TRAINER_WORDS = 6, 8_000_000
+#: Trainers of a corpus of TRAINERS times LEAST_WORDS words; below that each has LEAST_WORDS or more, and above it TRAINER_WORDS at most, about.
+TRAINERS, LEAST_WORDS, TRAINER_WORDS = 6, 1_000_000, 8_000_000
 #: Words whose windows are shuffled together, at least.
 RUN = 250_000
 #: Distinct words that a task counts before it passes them on, and that it remembers.
@@ -382,29 +384,46 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["chunk", "data"])
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+def _by_trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[bytes]]:
+    """The texts' ids of each trainer in turn, from rows in the trainers' order."""
+    rows = ((t, x.as_py()) for batch in batches for t, x in zip(batch.column("trainer").to_pylist(), batch.column("ids"), strict=True))
+    for _, own in groupby(rows, key=itemgetter(0)):
+        yield (x for _, x in own)
+
+
+def _runs(texts: Iterator[bytes]) -> Iterator[np.ndarray]:
     """Padded runs of RUN words or more, but for the last one."""
     held, n = [], 0
-    for batch in batches:
-        for x in batch.column("ids").to_pylist():
-            held.append(x)
-            n += len(x) // 2
-            if n >= RUN:
-                yield padded(held)
-                held, n = [], 0
+    for x in texts:
+        held.append(x)
+        n += len(x) // 2
+        if n >= RUN:
+            yield padded(held)
+            held, n = [], 0
     if held:
         yield padded(held)
 
 
-def trained(texts: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
-    """The network after some rounds over the columns row and ids. Without any word it stays as it was drawn."""
+def trainers_of(words: int) -> int:
+    """How many trainers share so many words."""
+    return max(1, min(TRAINERS, words // LEAST_WORDS), -(-words // TRAINER_WORDS))
+
+
+def trained(texts: DataFrame, tree: Tree, rounds: int = ROUNDS, key: str = "row") -> Network:
+    """The network after some rounds over the columns key and ids. Without any word it stays as it was drawn.
+
+    Which trainer has a text, and in which order, hangs on the text's key and ids alone, not on how tables are cut into files or tasks.
+    """
     spark, net = texts.sparkSession, Network(tree)
-    known = texts.where(F.octet_length("ids") > 0).select("ids", F.xxhash64("row", "ids").alias("h"))  # copies go to many trainers
+    known = texts.where(F.octet_length("ids") > 0).select("ids", F.xxhash64(key, "ids").alias("h"))  # copies go to many trainers
     total = known.agg(F.sum(F.octet_length("ids") / 2)).first()[0] or 0
     if not total:
         return net
-    trainers = max(TRAINERS, -(-int(total) // TRAINER_WORDS))
-    dealt = written(known.repartition(trainers, "h").sortWithinPartitions("h").select("ids"), "dealt_ids")
+    trainers = trainers_of(int(total))
+    # Names of trainers that Spark's hash deals to a task each; a task of two would only take longer.
+    tasks = spark.range(64 * trainers).select(F.col("id").cast("int").alias("name")).withColumn("task", F.pmod(F.hash("name"), F.lit(trainers)))
+    names = [r["name"] for r in tasks.groupBy("task").agg(F.min("name").alias("name")).orderBy("task").collect()]
+    dealt = known.withColumn("trainer", F.element_at(F.array(*map(F.lit, names)), F.pmod("h", F.lit(len(names))).cast("int") + 1)).repartition(trainers, "trainer").sortWithinPartitions("trainer", "h", "ids")
     shipped_tree = spark.sparkContext.broadcast(tree.__dict__)
     rows = sum(len(x) for x in net.parts())
     for number in range(rounds):
@@ -413,21 +432,22 @@ def trained(texts: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped, number=number, rate=rate) -> Iterator[pa.RecordBatch]:
             own_tree, before = Tree.of(shipped_tree.value), shipped.value
-            own, seen = Network(own_tree).load(before), 0
-            around = np.zeros((len(PLACES), own.ids), np.int64)
-            hidden = np.zeros(own.ids, np.int64)
-            for ids in _runs(batches):
-                windows = windows_of(ids, number, rounds)
-                train(own, own_tree, windows[np.random.default_rng(len(windows)).permutation(len(windows))], rate)
-                for p, k in enumerate(PLACES):
-                    around[p] += np.bincount(windows[:, REACH + k], minlength=own.ids)
-                hidden += np.bincount(windows[:, REACH], minlength=own.ids)
-                seen += len(windows)
-            if seen:
-                nodes = own_tree.times_met(hidden)
-                data = np.concatenate(_moves(own, before, around, nodes, seen))
-                for c, k in enumerate(range(0, len(data), CHUNK)):
-                    yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([data[k : k + CHUNK].tobytes()], pa.binary())], names=["chunk", "data"])
+            for own_texts in _by_trainer(batches):
+                own, seen = Network(own_tree).load(before), 0
+                around = np.zeros((len(PLACES), own.ids), np.int64)
+                hidden = np.zeros(own.ids, np.int64)
+                for ids in _runs(own_texts):
+                    windows = windows_of(ids, number, rounds)
+                    train(own, own_tree, windows[np.random.default_rng(len(windows)).permutation(len(windows))], rate)
+                    for p, k in enumerate(PLACES):
+                        around[p] += np.bincount(windows[:, REACH + k], minlength=own.ids)
+                    hidden += np.bincount(windows[:, REACH], minlength=own.ids)
+                    seen += len(windows)
+                if seen:
+                    nodes = own_tree.times_met(hidden)
+                    data = np.concatenate(_moves(own, before, around, nodes, seen))
+                    for c, k in enumerate(range(0, len(data), CHUNK)):
+                        yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([data[k : k + CHUNK].tobytes()], pa.binary())], names=["chunk", "data"])
 
         moves = dealt.mapInArrow(run, "chunk int, data binary")
         sums = moves.repartition("chunk").mapInArrow(_added, "chunk int, data binary").collect()  # as many numbers as weights and rows
@@ -435,7 +455,6 @@ def trained(texts: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
         met = np.maximum(data[:rows], 1)
         weight = np.concatenate([np.repeat(m, part.shape[1]) for m, part in zip(np.split(met, np.cumsum([len(x) for x in net.parts()])[:-1]), net.parts(), strict=True)])
         net.load((net.flat() + data[rows:] / UNIT / weight).astype(np.float32))
-    discarded(dealt)
     return net
 
 
@@ -489,8 +508,8 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, log_likelihood and mean_log_prob of every row, by a network trained on docs themselves.
 
     Null and empty texts teach nothing, have 0 tokens, a sum of 0 and a null mean; repeated rows teach each and score
-    alike; an empty table gives no rows. Extra columns are left out. The same files, read in the same splits on
-    like machines, give the same scores.
+    alike; an empty table gives no rows. Extra columns are left out. The same rows give the same scores, however they are cut
+    into files and tasks, on machines whose floating point is alike.
     """
     rows = docs.select("doc_id", "text")
     counts = written(word_counts(rows), "word_counts")
@@ -503,7 +522,7 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     shares = word_shares(rare, in_bucket + SMOOTH * (words + 1))
     least, hashes, logs = broadcast_shares(shares)
     texts = written(numbered(rows, common, hashes, logs, ["doc_id"]).withColumn("row", F.monotonically_increasing_id()), "numbered")
-    return scored(texts, tree, trained(texts, tree), shares, least)
+    return scored(texts, tree, trained(texts, tree, key="doc_id"), shares, least)
 
 
 def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
