@@ -351,6 +351,24 @@ def test_a_bad_host_loses_its_doubtful_documents_only(spark):
     assert kept == {d for d, _, s in rows if d >= 100}
 
 
+def test_hosts_part_the_same_documents(spark):
+    """One failing, one slipping and one clean text on a good host, on hosts like most and on a bad one."""
+    from tidemark.llm.quality import judged
+
+    clean = "a plain sentence of words that differ and tell a small story about some river {}"
+    slip = "a plain sentence ## of words that differ and tell a small story about some river {}"
+    fail = "## a $$ plain sentence of && words %% that differ and tell a small story about river {}"
+    rows, verdicts = [], {}
+    for h, failing in enumerate([0] + [20] * 8 + [90]):
+        for i in range(100):
+            rows.append((1000 * h + i, (fail if i < failing else clean).format(i), f"host{h}"))
+        rows += [(1000 * h + 500 + k, text.format("x"), f"host{h}") for k, text in enumerate((fail, slip, clean))]
+    kept = {r["doc_id"] for r in judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("kept").collect()}
+    for h in range(10):
+        verdicts[h] = tuple(1000 * h + 500 + k in kept for k in range(3))
+    assert verdicts == {0: (True, True, True)} | {h: (False, True, True) for h in range(1, 9)} | {9: (False, False, True)}
+
+
 def test_op8_and_op10_held_out(spark, small):
     middle = small.replace("0.001", "0.01")
     langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{middle}/documents.parquet").collect()}
@@ -449,22 +467,28 @@ def test_op7(spark, small, texts):
         assert r["base_failed"] == failures(texts[r["doc_id"]])[0] and r["kept"] == (r["doc_id"] in kept)
 
 
+def slips(text):
+    n, chars, symbols, same, _ = figures(text)
+    return [False, 100 * symbols > 10 * n, same >= 1 and same * 40 > n, n > 0 and not 7 * n <= 2 * chars <= 24 * n]
+
+
 def kept_by_quality(texts, hosts):
     fails = {d: failures(t) for d, t in texts.items()}
     by_host = defaultdict(list)
     for d in texts:
         by_host[hosts[d]].append(fails[d])
-    total, bad = len(texts), defaultdict(set)
+    total, doubtful, bad = len(texts), defaultdict(set), defaultdict(set)
     for rule in range(1, 4):
         rates = {h: (len(f), sum(x[rule] for x in f)) for h, f in by_host.items()}
         mean = sum(k for _, k in rates.values()) / total
         between = sum(k * k / n for n, k in rates.values()) / total - mean * mean - mean * (1 - mean) * len(rates) / total
         weight = min(10_000, max(1, mean * (1 - mean) / between - 1)) if between > 0 else 10_000
-        limit = max(0.02, mean - 2 * (mean * (1 - mean) / (weight + 1)) ** 0.5)
+        deviation = (mean * (1 - mean) / (weight + 1)) ** 0.5
         for h, (n, k) in rates.items():
-            if (k + weight * mean) / (n + weight) > limit:
-                bad[h].add(rule)
-    return {d for d in texts if not fails[d][0] and not any(fails[d][r] for r in bad[hosts[d]])}
+            for verdict, limit in ((doubtful, mean - 2 * deviation), (bad, mean + 2 * deviation)):
+                if (k + weight * mean) / (n + weight) > max(0.02, limit):
+                    verdict[h].add(rule)
+    return {d for d in texts if not fails[d][0] and not any(fails[d][r] for r in doubtful[hosts[d]]) and not any(slips(texts[d])[r] for r in bad[hosts[d]])}
 
 
 def components_of(texts):

@@ -10,18 +10,25 @@ _RULES = {
     "same_lines": "n_dup_lines >= 3 AND n_dup_lines * 20 > n_words",
     "word_length": "n_words > 0 AND (word_chars < 3 * n_words OR word_chars > 14 * n_words)",
 }
+#: Slips by rule.
+_SLIPS = {
+    "symbols": "100 * n_symbols > 10 * n_words",
+    "same_lines": "n_dup_lines >= 1 AND n_dup_lines * 40 > n_words",
+    "word_length": "n_words > 0 AND (2 * word_chars < 7 * n_words OR word_chars > 12 * n_words)",
+}
 _SPACE = r"[ \t\n\x0B\f\r]"
 
 
 def _verdicts() -> str:
-    """Of each host and rule, whether the shrunk rate is over the limit."""
+    """Of each host and rule, whether the shrunk rate is over each limit."""
     out = []
     for r in _RULES:
         mean, sampling = f"(sum({r}) OVER () / sum(n) OVER ())", f"(sum({r}) OVER () / sum(n) OVER () * (1 - sum({r}) OVER () / sum(n) OVER ()) * count(*) OVER () / sum(n) OVER ())"
         between = f"(sum({r} * {r} / n) OVER () / sum(n) OVER () - {mean} * {mean} - {sampling})"
         weight = f"(CASE WHEN {between} > 0 THEN least({PRIOR_MOST}, greatest({PRIOR_LEAST}, {mean} * (1 - {mean}) / {between} - 1)) ELSE {PRIOR_MOST} END)"
-        limit = f"greatest({TOLERATED}, {mean} - {SPREAD} * sqrt({mean} * (1 - {mean}) / ({weight} + 1)))"
-        out.append(f"({r} + {weight} * {mean}) / (n + {weight}) > {limit} AS bad_{r}")
+        for name, sign in (("not_good", "-"), ("bad", "+")):
+            limit = f"greatest({TOLERATED}, {mean} {sign} {SPREAD} * sqrt({mean} * (1 - {mean}) / ({weight} + 1)))"
+            out.append(f"({r} + {weight} * {mean}) / (n + {weight}) > {limit} AS {name}_{r}")
     return ", ".join(out)
 
 
@@ -35,11 +42,11 @@ covered AS (SELECT k, count(DISTINCT pos) AS n FROM again GROUP BY k),
 f AS (SELECT doc_id, source, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
   CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
   coalesce(covered.n, 0) AS n_repeat_words FROM w LEFT JOIN covered USING (k)),
-failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {", ".join(f"({c}) AS fails_{r}" for r, c in _RULES.items())} FROM f),
+failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {", ".join(f"({c}) AS fails_{r}" for r, c in _RULES.items())}, {", ".join(f"({c}) AS slips_{r}" for r, c in _SLIPS.items())} FROM f),
 hosts AS (SELECT source AS host, count(*)::DOUBLE AS n, {", ".join(f"sum(CAST(fails_{r} AS DOUBLE)) AS {r}" for r in _RULES)} FROM failed WHERE source IS NOT NULL GROUP BY source),
 bad AS (SELECT host, {_verdicts()} FROM hosts)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR {" OR ".join(f"(fails_{r} AND coalesce(bad_{r}, FALSE))" for r in _RULES)}) AS kept
+  NOT (base_failed OR {" OR ".join(f"(fails_{r} AND coalesce(not_good_{r}, FALSE)) OR (slips_{r} AND coalesce(bad_{r}, FALSE))" for r in _RULES)}) AS kept
 FROM failed LEFT JOIN bad ON host = source
 """
 

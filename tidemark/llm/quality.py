@@ -1,12 +1,14 @@
 """Quality rules of documents and of their hosts.
 
 Rules are measured on whole texts. Failures are summed by host, and each host's rate is shrunk
-towards the rate of all hosts by a beta prior fitted to the hosts themselves. A host is
-excused from a rule if its shrunk rate is under TOLERATED, where failures are accidents, or
-SPREAD of the prior's deviations under the prior's mean, where the host does better
-than hosts do; any other host fails the rule. A document falls by the base rules alone, or if
-it fails one of HOST_RULES that its host fails too: a host's verdict takes the
-benefit of the doubt from its doubtful documents and leaves its clean ones alone.
+towards the rate of all hosts by a beta prior fitted to the hosts themselves. By that rate a host is, for each rule, one of three:
+
+* good, if it is under TOLERATED, where failures are accidents, or SPREAD of the prior's deviations under the
+  prior's mean: its documents' failures are excused;
+* bad, if it is over TOLERATED and SPREAD deviations over the mean: its documents fall by a mere slip in the rule;
+* else like other hosts: its documents fall by a failure of their own.
+
+A document falls by the base rules whatever its host is. Where hosts are alike, the rules of documents stand as they are.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ from tidemark.llm.common import map_batches, private, written
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
-#: A shrunk rate of failures up to this is never a host's failure.
+#: A shrunk rate of failures up to this is good, whatever other hosts' are.
 TOLERATED = 0.02
-#: Nor is one that is so many of the prior's standard deviations under its mean.
+#: How many of the prior's standard deviations part good and bad hosts from its mean.
 SPREAD = 2.0
 #: Bounds of the prior's weight, in documents.
 PRIOR_LEAST, PRIOR_MOST = 1.0, 10_000.0
@@ -98,12 +100,23 @@ def rules() -> dict[str, Column]:
     }
 
 
+def slips() -> dict[str, Column]:
+    """Slips by rule: what a bad host's documents fall by. Every failure is a slip."""
+    n = F.col("n_words")
+    return {
+        "symbols": 100 * F.col("n_symbols") > 10 * n,
+        "same_lines": (F.col("n_dup_lines") >= 1) & (F.col("n_dup_lines") * 40 > n),
+        "word_length": (n > 0) & ((2 * F.col("word_chars") < 7 * n) | (F.col("word_chars") > 12 * n)),
+    }
+
+
 #: Rules on which hosts are judged.
 HOST_RULES = ("symbols", "same_lines", "word_length")
 
 
 def host_verdicts(failures: DataFrame, tolerated: float = TOLERATED, spread: float = SPREAD) -> DataFrame:
-    """Hosts that fail a rule, and which, from the columns host and fails_<rule>: host, fails_<rule>. Null hosts get no verdict.
+    """Hosts that are not good in every rule, from the columns host and fails_<rule>: host, and for each rule fails_<rule> (not
+    good) and bad_<rule>. Null hosts get no verdict.
 
     The prior of a rule is the beta distribution whose mean is the rate of all documents and
     whose variance is that between hosts less what sampling explains.
@@ -117,8 +130,9 @@ def host_verdicts(failures: DataFrame, tolerated: float = TOLERATED, spread: flo
         sampling = mean * (1 - mean) * sums["hosts"] / total if total else 0.0
         between = (sums[f"{r}_squares"] / total - mean * mean if total else 0.0) - sampling
         weight = min(PRIOR_MOST, max(PRIOR_LEAST, mean * (1 - mean) / between - 1)) if between > 0 else PRIOR_MOST
-        limit = max(tolerated, mean - spread * (mean * (1 - mean) / (weight + 1)) ** 0.5)
-        verdicts.append(((F.col(r) + F.lit(weight * mean)) / (F.col("n") + F.lit(weight)) > limit).alias(f"fails_{r}"))
+        deviation = (mean * (1 - mean) / (weight + 1)) ** 0.5
+        rate = (F.col(r) + F.lit(weight * mean)) / (F.col("n") + F.lit(weight))
+        verdicts += [(rate > max(tolerated, mean - spread * deviation)).alias(f"fails_{r}"), (rate > max(tolerated, mean + spread * deviation)).alias(f"bad_{r}")]
     return hosts.select("host", *verdicts).where(F.greatest(*(F.col(f"fails_{r}") for r in HOST_RULES)))
 
 
@@ -131,20 +145,22 @@ def judged(docs: DataFrame, host: str = "source", drop_text: bool = False, toler
     """
     docs = docs.drop("base_failed", "kept")
     own_host, fails, verdict, salt, salt_of = private(docs, "_host", "_fails", "_verdict", "_salt", "_salt_of")
-    facts = measured(docs).withColumn(fails, F.struct(*(c.alias(f"fails_{r}") for r, c in rules().items())))
+    own = [c.alias(f"fails_{r}") for r, c in rules().items()] + [c.alias(f"slips_{r}") for r, c in slips().items()]
+    facts = measured(docs).withColumn(fails, F.struct(*own))
     if drop_text:
         facts = written(facts.drop("text"), "facts")
     # else rules are measured once for the hosts and once more here: cheaper than another copy of all texts
-    bad = written(host_verdicts(facts.select(F.col(host).alias("host"), f"{fails}.*"), tolerated, spread), "bad_hosts")
-    bad = bad.select(F.col("host").alias(own_host), F.struct(*(f"fails_{r}" for r in HOST_RULES)).alias(verdict))
+    bad = written(host_verdicts(facts.select(F.col(host).alias("host"), *(f"{fails}.fails_{r}" for r in HOST_RULES)), tolerated, spread), "bad_hosts")
+    bad = bad.select(F.col("host").alias(own_host), F.struct(*(f"{x}_{r}" for r in HOST_RULES for x in ("fails", "bad"))).alias(verdict))
     if bad.count() <= BROADCAST_HOSTS:
         joined = facts.join(F.broadcast(bad), F.col(host) == F.col(own_host), "left")
     else:
         dealt = facts.withColumn(salt_of, F.pmod(F.xxhash64("doc_id", *FACTS), F.lit(SALTS)))
         repeated = bad.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = dealt.join(repeated, (F.col(host) == F.col(own_host)) & (F.col(salt_of) == F.col(salt)), "left")
-    fallen = [F.col(f"{fails}.fails_{r}") & F.coalesce(F.col(f"{verdict}.fails_{r}"), F.lit(False)) for r in HOST_RULES]
-    out = joined.withColumns({"base_failed": base_failed(), "kept": ~(base_failed() | F.greatest(*fallen))})
+    by_host = lambda text, host: [F.col(f"{fails}.{text}_{r}") & F.coalesce(F.col(f"{verdict}.{host}_{r}"), F.lit(False)) for r in HOST_RULES]
+    fallen = F.greatest(*by_host("fails", "fails"), *by_host("slips", "bad"))
+    out = joined.withColumns({"base_failed": base_failed(), "kept": ~(base_failed() | fallen)})
     return out.drop(own_host, fails, verdict, salt, salt_of)
 
 
