@@ -21,7 +21,7 @@ ROWS = [
     (None, None, None, None, None),
     (7, "x@y.org 1.2.3.4 +49 30 1234567 4111111111111111", None, "b", 5),
 ]
-CLASHING = ("fingerprint", "component_id", "kept", "base_failed", "n_words", "hit_spans", "spans", "score", "shard", "slot", "label", "h", "fp", "_row", "sequence_id", "offset", "held_out")
+CLASHING = ("bits", "node", "root", "h2", "trainer", "of", "fingerprint", "component_id", "kept", "base_failed", "n_words", "hit_spans", "spans", "score", "shard", "slot", "label", "h", "fp", "_row", "sequence_id", "offset", "held_out")
 
 
 @pytest.fixture(scope="module")
@@ -62,7 +62,7 @@ def test_every_row_has_its_result(tables, n, kind):
 
 
 @pytest.mark.parametrize("name", [k for k, _ in corpus_pipeline.STAGES])
-@pytest.mark.parametrize("kind", ["docs", "empty"])
+@pytest.mark.parametrize("kind", ["docs", "empty", "clash"])
 def test_stages(spark, tables, tmp_path, name, kind):
     tables["benchmark"].write.parquet(f"file://{tmp_path}/benchmark.parquet")
     found = dict(corpus_pipeline.STAGES)[name](spark, tables[kind], f"file://{tmp_path}")
@@ -79,6 +79,13 @@ def test_one_of_each_component_stays(tables):
     assert [r["doc_id"] for r in kept].count(3) == 1  # of texts without words
 
 
+def test_private_columns_stay(tables):
+    docs = tables["docs"].withColumns({c: F.lit(c) for c in ("_id", "_fp", "_node", "_bucket", "copies", "head")})
+    kept = simhash.deduplicated(docs).collect()
+    assert len(kept) == len(simhash.deduplicated(tables["docs"]).collect()) and {(r["_id"], r["_fp"], r["copies"]) for r in kept} == {("_id", "_fp", "copies")}
+    assert {(r["_node"], r["_id"]) for r in sharding.assign(docs, sharding.topology(24)).collect()} == {("_node", "_id")}
+
+
 def test_null_and_empty_results(tables):
     assert {r["n_words"] for r in quality.judged(tables["docs"]).where("text is null or trim(text) = ''").collect()} == {0}
     assert {r["lang_pred"] for r in language.identified(tables["docs"]).where("doc_id in (3, 4, 5)").collect()} == {"und"}

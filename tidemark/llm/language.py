@@ -140,4 +140,5 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents; null texts and those without a letter are und, repeated rows alike, an empty table gives no rows."""
     return identified(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -205,4 +205,5 @@ def packed_documents(docs: DataFrame, path: str = WORD_BPE) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces; a null or empty text is its end alone, repeated rows are packed each, an empty table gives no rows."""
     return packed_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))

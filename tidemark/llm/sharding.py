@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ranked, salted, written
+from tidemark.llm.common import private, ranked, salted, written
 
 #: Production topology: shards of a rack, racks of a region.
 SHARDS_A_RACK, RACKS_A_REGION = 4, 2
@@ -69,7 +69,8 @@ def assign(docs: DataFrame, tree: Node, key: str = "doc_id", column: str = "shar
         raise ValueError("the tree has no shard of a weight over 0")
     text = F.coalesce(F.col(key).cast("string"), F.lit("null"))
     level = [(tree.name, tree)]  # where rows can be, by path
-    out = docs.withColumn("_node", F.lit(0))
+    (at,) = private(docs, "_node")
+    out = docs.withColumn(at, F.lit(0))
     while any(node.children for _, node in level):
         below: list[tuple[str, Node]] = []
         choice = None
@@ -77,11 +78,11 @@ def assign(docs: DataFrame, tree: Node, key: str = "doc_id", column: str = "shar
             live = _live(node) if node.children else [node]
             draws = [F.struct(_draw(text, f"{path}/{x.name}", x.weight).alias("draw"), F.lit(len(below) + k).alias("child")) for k, x in enumerate(live)]
             won = F.array_min(F.array(*draws))["child"] if len(live) > 1 else F.lit(len(below))
-            choice = F.when(F.col("_node") == i, won) if choice is None else choice.when(F.col("_node") == i, won)
+            choice = F.when(F.col(at) == i, won) if choice is None else choice.when(F.col(at) == i, won)
             below += [(f"{path}/{x.name}" if node.children else path, x) for x in live]
-        out, level = out.withColumn("_node", choice), below
+        out, level = out.withColumn(at, choice), below
     shards = F.array(*(F.lit(node.shard) for _, node in level))
-    return out.withColumn(column, F.get(shards, F.col("_node"))).drop("_node")
+    return out.withColumn(column, F.get(shards, F.col(at))).drop(at)
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -97,10 +98,12 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, tree: Node | None = None) -> None:
-    """Whole rows to folders shard=0, shard=1, ... of Parquet files, without a shuffle."""
+    """Whole rows to folders shard=0, shard=1, ... of Parquet files, without a shuffle. Nulls and repeated rows as in assign; an empty table
+    makes no folder. A column shard gives way; other extra columns are written too."""
     assign(docs, tree or topology(shards)).write.partitionBy("shard").mode("overwrite").parquet(path)
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents in 24 shards, by key; nulls, repeated rows and empty tables as in sharded."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return sharded(docs).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

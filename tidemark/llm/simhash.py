@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import map_batches, written
+from tidemark.llm.common import map_batches, private, written
 from tidemark.llm.graph import components
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
@@ -283,20 +283,22 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of docs of each component: that of its least doc_id (a null one only if there is no other, the least
     fingerprint of an id that repeats, and any of rows that repeat wholly). A column fingerprint gives way."""
     # fingerprints are made once without the texts and once with them: cheaper than another copy of all texts
+    id, fp = private(docs, "_id", "_fp")
     narrow = written(fingerprinted(docs.select("doc_id", "text"), keep_text=False), "simhash")
     order = [F.col("doc_id").isNull(), F.col("doc_id")]
     each = narrow.groupBy("doc_id", "fingerprint").agg(F.count(F.lit(1)).alias("copies"))
     of_print = each.groupBy(F.col("fingerprint").alias("fp")).agg(F.min_by(F.struct("doc_id", "copies"), F.struct(*order)).alias("h"))
     fps = written(of_print.select("fp", "h.doc_id", "h.copies"), "fingerprints")
     first = F.min_by(F.struct("doc_id", "fp", "copies"), F.struct(*order, F.col("fp")))
-    heads = written(_rooted(fps).groupBy("root").agg(first.alias("h")).select(F.col("h.doc_id").alias("_id"), F.col("h.fp").alias("_fp"), "h.copies"), "heads")
+    heads = written(_rooted(fps).groupBy("root").agg(first.alias("h")).select(F.col("h.doc_id").alias(id), F.col("h.fp").alias(fp), "h.copies"), "heads")
     table = fingerprinted(docs)
-    kept = table.join(heads, table["doc_id"].eqNullSafe(F.col("_id")) & (table["fingerprint"] == F.col("_fp")), "left_semi")
+    kept = table.join(heads, table["doc_id"].eqNullSafe(F.col(id)) & (table["fingerprint"] == F.col(fp)), "left_semi")
     if not heads.where("copies > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "fingerprint"])
     return kept.drop("fingerprint")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and components of all documents; nulls, texts without words, repeated rows and empty tables as in classed."""
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")

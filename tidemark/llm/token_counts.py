@@ -178,4 +178,5 @@ def document_counts(docs: DataFrame, path: str = BYTE_BPE, end_id: int = END_ID,
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents; null and empty texts have none, repeated rows each their own, an empty table no rows."""
     return document_counts(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_tokens")
