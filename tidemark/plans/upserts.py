@@ -36,7 +36,6 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-_TITLE = F.regexp_extract("html", "<title>([^<]*)", 1)
 _SEEN_SQL = f"""ev AS (SELECT user_id, event_id, event_type, CASE WHEN event_type = 'error' THEN NULL ELSE strftime(ts, '%Y-%m-%d') END AS ingest_ts, event_id % 3 = 0 AS incoming FROM events),
     side AS (SELECT * FROM ev QUALIFY row_number() OVER (PARTITION BY user_id, incoming ORDER BY ingest_ts DESC NULLS FIRST, event_id DESC) = 1)"""
 
@@ -58,7 +57,7 @@ def merge_keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def merge_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third page is known, every second one comes; of these each other one says when it was made."""
-    pages = A.table(spark, sf_dir, "pages").select("page_id", F.col("page_id").cast("string").alias("episode_id"), _TITLE.alias("episode_title"))
+    pages = A.table(spark, sf_dir, "pages").select("page_id", F.col("page_id").cast("string").alias("episode_id"), F.regexp_extract("html", "<title>([^<]*)", 1).alias("episode_title"))
     target = pages.where("page_id % 3 = 0").select("episode_id", "episode_title", _time(EARLY).alias("created_at"), _time(EARLY).alias("updated_at"))
     made = F.when(F.col("page_id") % 4 == 0, _time(EARLY)).otherwise(_time(LATE))
     source = pages.where("page_id % 2 = 0").select("episode_id", F.concat(F.lit("new: "), "episode_title").alias("episode_title"), made.alias("created_at"))
