@@ -77,6 +77,6 @@ def test_context_says_more_than_shares(spark, small):
     held = [r["ids"] for r in texts.where("doc_id % 10 = 3").collect()]
     ids = S.padded([bytes(x) for x in held])
     mean = lambda net: float(S.score(net, tree, ids)[ids[S.REACH : len(ids) - S.REACH] > 0].mean())
-    gain = mean(S.trained(texts.where("doc_id % 10 <> 3"), tree, key="doc_id")) - mean(S.Network(tree))
+    gain = mean(S.trained(texts.where("doc_id % 10 <> 3"), tree)) - mean(S.Network(tree))
     print(f"gain of held-out log-probability: {gain:.3f}")
     assert gain > 0.2

@@ -409,13 +409,13 @@ def trainers_of(words: int) -> int:
     return max(1, min(TRAINERS, words // LEAST_WORDS), -(-words // TRAINER_WORDS))
 
 
-def trained(texts: DataFrame, tree: Tree, rounds: int = ROUNDS, key: str = "row") -> Network:
-    """The network after some rounds over the columns key and ids. Without any word it stays as it was drawn.
+def trained(texts: DataFrame, tree: Tree, rounds: int = ROUNDS) -> Network:
+    """The network after some rounds over the columns doc_id and ids. Without any word it stays as it was drawn.
 
-    Which trainer has a text, and in which order, hangs on the text's key and ids alone, not on how tables are cut into files or tasks.
+    Which trainer has a text, and in which order, hangs on doc_id and ids alone, not on how tables are cut into files or tasks.
     """
     spark, net = texts.sparkSession, Network(tree)
-    known = texts.where(F.octet_length("ids") > 0).select("ids", F.xxhash64(key, "ids").alias("h"))  # copies go to many trainers
+    known = texts.where(F.octet_length("ids") > 0).select("ids", F.xxhash64("doc_id", "ids").alias("h"))  # copies go to many trainers
     total = known.agg(F.sum(F.octet_length("ids") / 2)).first()[0] or 0
     if not total:
         return net
@@ -522,7 +522,7 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     shares = word_shares(rare, in_bucket + SMOOTH * (words + 1))
     least, hashes, logs = broadcast_shares(shares)
     texts = written(numbered(rows, common, hashes, logs, ["doc_id"]).withColumn("row", F.monotonically_increasing_id()), "numbered")
-    return scored(texts, tree, trained(texts, tree, key="doc_id"), shares, least)
+    return scored(texts, tree, trained(texts, tree), shares, least)
 
 
 def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
