@@ -146,3 +146,21 @@ def test_rates_and_triggers(spark, tmp_path, listened):
     run(0)
     got = spark.read.parquet(f"file://{tmp_path}/out")
     assert listened.rows[4:] == [50] and (got.count(), got.select("id").distinct().count()) == (850, 850)
+
+
+def test_a_long_table_goes_by_ranges_of_whole_triggers(spark, tmp_path):
+    table = f"file://{tmp_path}/t"
+    spark.range(0, 2000, 1, 5).select((F.col("id") * 3).alias("id"), F.lit("x").alias("x")).where("id % 7 <> 0").write.parquet(table)
+    ids = sorted(r["id"] for r in spark.read.parquet(table).select("id").collect())
+    found = R.ranges_of(spark.read.parquet(table), "id", most=100, streams=3, triggers=2)
+    assert [x[2] for x in found] == [0, 6, 12] and [x[1] for x in found[:2]] == [ids[599], ids[1199]] == [x[0] for x in found[1:]]
+    batches = {}
+    for over, upto, first in found:
+        q = R.rated_stream(spark, table, "id", 100, 1, over, upto).writeStream.foreachBatch(lambda b, n, first=first: batches.setdefault(first + n, sorted(r["id"] for r in b.collect()))).option("checkpointLocation", f"file://{tmp_path}/c{first}").start()
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    assert batches == {k: ids[100 * k : 100 * k + 100] for k in range(-(-len(ids) // 100))}
+    again = spark.read.parquet(table).union(spark.range(0, 3, 3).select("id", F.lit("x")))
+    assert len(R.ranges_of(again, "id", most=100, streams=3, triggers=2)) == 1  # offsets repeat

@@ -2,7 +2,11 @@
 
 The table is Parquet with a column of whole numbers that grows, its offset. Each trigger admits the next records
 by that column, `most` at most, and its range is cut into parts that are read by tasks of their own, row groups
-outside the range being skipped by their statistics. Options: path, offset (the column), most, parts.
+outside the range being skipped by their statistics. Options: path, offset (the column), most, parts, and over and
+upto, which bound the offsets that a stream takes.
+
+A trigger costs what Spark's logs and a job cost, however few its records. A long table is therefore replayed by several
+streams, each of a range of offsets that holds whole triggers (`ranges_of`).
 """
 
 from __future__ import annotations
@@ -15,13 +19,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
+from tidemark.sources.tables import checkpointed
+
 NAME, MOST, PARTS = "rated_table", 200, 2
+BEFORE_ALL, AFTER_ALL = -(1 << 62), 1 << 62
+#: Streams that replay a table at once, and triggers of each at least.
+STREAMS, TRIGGERS = 12, 20
 
 
 def dataset(path: str) -> ds.Dataset:
@@ -41,13 +51,15 @@ class RatedReader(DataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.column = options["path"], options["offset"]
         self.most, self.parts = int(options.get("most", MOST)), int(options.get("parts", PARTS))
+        self.over, self.upto = int(options.get("over", BEFORE_ALL)), int(options.get("upto", AFTER_ALL))
         self.now: int | None = None
 
     def initialOffset(self) -> dict:
-        return {"at": int(-(1 << 62))}
+        return {"at": self.over}
 
     def _least(self) -> int | None:
-        found = [pc.min(b.column(0)).as_py() for b in dataset(self.path).to_batches(columns=[self.column]) if b.num_rows]
+        at = ds.field(self.column)
+        found = [pc.min(b.column(0)).as_py() for b in dataset(self.path).to_batches(columns=[self.column], filter=(at > self.over) & (at <= self.upto)) if b.num_rows]
         return min((x for x in found if x is not None), default=None)
 
     def latestOffset(self) -> dict:
@@ -59,8 +71,9 @@ class RatedReader(DataSourceStreamReader):
             start = least - 1
         own, at, span = dataset(self.path), ds.field(self.column), self.most
         while True:  # wider spans until one holds `most` records, or all there are
-            found = own.to_table(columns=[self.column], filter=(at > start) & (at <= start + span)).column(0).to_numpy()
-            if len(found) >= self.most or not own.scanner(columns=[self.column], filter=at > start + span).head(1).num_rows:
+            end = min(start + span, self.upto)
+            found = own.to_table(columns=[self.column], filter=(at > start) & (at <= end)).column(0).to_numpy()
+            if len(found) >= self.most or end == self.upto or not own.scanner(columns=[self.column], filter=(at > end) & (at <= self.upto)).head(1).num_rows:
                 break
             span *= 4
         if len(found):
@@ -73,7 +86,7 @@ class RatedReader(DataSourceStreamReader):
             self.now = end["at"]
         if start["at"] >= end["at"]:
             return []
-        first = start["at"] if start["at"] > self.initialOffset()["at"] else (self._least() or 0) - 1
+        first = start["at"] if start["at"] > BEFORE_ALL else (self._least() or 0) - 1
         step = max(1, -(-(end["at"] - first) // self.parts))
         return [Range(a, min(a + step, end["at"])) for a in range(first, end["at"], step)]
 
@@ -98,10 +111,32 @@ class RatedTable(DataSource):
         return RatedReader(self.options)
 
 
-def rated_stream(spark: SparkSession, path: str, offset: str, most: int = MOST, parts: int = PARTS) -> DataFrame:
-    """The rows of a Parquet table as a stream, by a column of growing numbers, `most` a trigger. Rows that are equal in it come together."""
+def rated_stream(spark: SparkSession, path: str, offset: str, most: int = MOST, parts: int = PARTS, over: int = BEFORE_ALL, upto: int = AFTER_ALL) -> DataFrame:
+    """The rows of a Parquet table as a stream, by a column of growing numbers, `most` a trigger; of offsets over one and up to
+    another, if given. Rows that are equal in it come together."""
     spark.dataSource.register(RatedTable)
-    return spark.readStream.format(NAME).option("path", path).option("offset", offset).option("most", most).option("parts", parts).load()
+    return spark.readStream.format(NAME).option("path", path).option("offset", offset).option("most", most).option("parts", parts).option("over", over).option("upto", upto).load()
+
+
+def ranges_of(table: DataFrame, offset: str, most: int = MOST, streams: int = STREAMS, triggers: int = TRIGGERS) -> list[tuple[int, int, int]]:
+    """Ranges of offsets (over, upto) that hold as many whole triggers each, and the number of the first trigger: at most
+    `streams`, of `triggers` at least. The first and the last are open, and a table in which offsets repeat is one range."""
+    whole = [(BEFORE_ALL, AFTER_ALL, 0)]
+    known = table.select(F.col(offset).cast("long").alias("at")).where("at is not null")
+    n = -(-known.count() // most)
+    each = max(triggers, -(-n // streams))
+    if n <= each:
+        return whole
+    # each part of a sort is ranked by itself, and numbered on from where the parts before it end
+    parts = checkpointed(known.repartitionByRange("at").withColumn("part", F.spark_partition_id()), "offsets")
+    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("at").alias("distinct")).orderBy("part").collect()
+    if any(r["n"] != r["distinct"] for r in sizes):
+        return whole
+    before = parts.sparkSession.createDataFrame([(r["part"], sum(x["n"] for x in sizes[:k])) for k, r in enumerate(sizes)], "part int, before long")
+    place = F.row_number().over(Window.partitionBy("part").orderBy("at")) + F.col("before")
+    cuts = parts.join(F.broadcast(before), "part").select("at", place.alias("place")).where(F.col("place") % (each * most) == 0).orderBy("at")
+    ends = [r["at"] for r in cuts.collect()]
+    return [(a, b, k * each) for k, (a, b) in enumerate(zip([BEFORE_ALL, *ends], [*ends, AFTER_ALL], strict=True))]
 
 
 class BatchSizes(StreamingQueryListener):
