@@ -162,5 +162,42 @@ def test_a_long_table_goes_by_ranges_of_whole_triggers(spark, tmp_path):
         finally:
             q.stop()
     assert batches == {k: ids[100 * k : 100 * k + 100] for k in range(-(-len(ids) // 100))}
-    again = spark.read.parquet(table).union(spark.range(0, 3, 3).select("id", F.lit("x")))
+    again = spark.read.parquet(table).union(spark.range(3, 6, 3).select("id", F.lit("x")))
     assert len(R.ranges_of(again, "id", most=100, streams=3, triggers=2)) == 1  # offsets repeat
+
+
+def test_a_bucket_of_ids_is_one_call_and_one_state():
+    import pandas as pd
+
+    class Handle:
+        held, timers, updates = None, [], 0
+
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held, self.updates = value, self.updates + 1
+
+        def clear(self):
+            self.held = None
+
+        def registerTimer(self, at):
+            self.timers = [*self.timers, at]
+
+        getExpiryTimeInMs = lambda self: self.timers[0]
+        getCurrentWatermarkInMs = lambda self: 10_000
+
+    from pyspark.sql.types import StructType
+
+    one = Handle()
+    own = O.FirstOfId(5000, "id", "ts", StructType.fromDDL("id string, ts timestamp"))
+    own.init(one)
+    times = pd.to_datetime([11_000, 12_000, 13_000, 9000, 14_000, 30_000], unit="ms", utc=True)
+    batch = pd.DataFrame({"id": ["a", "b", "a", "late", None, "c"], "ts": times})
+    got = [x for part in own.handleInputRows((1,), iter([batch, batch]), one) for x in part["id"]]
+    assert [x if isinstance(x, str) else None for x in got] == ["a", "b", None, "c"] and one.updates == 1 and one.timers == [16_000]
+    assert not list(own.handleExpiredTimer((1,), one, one))
+    assert one.held == (["b", None, "c"], [17_000, 19_000, 35_000]) and one.timers == [16_000, 17_000]
