@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cells, knn
 from tidemark.plans import adapters as A
+from tidemark.plans import analytics
 from tidemark.sources.tables import checkpointed
 
 
@@ -74,3 +75,20 @@ def test_best_places():
         row, column = knn.best_places(s, k)
         want = np.argsort(-s, axis=1, kind="stable")[:, :k]
         assert (column.reshape(50, -1) == want).all() and (row == np.repeat(np.arange(50), want.shape[1])).all()
+
+
+def test_the_query_looks_into_all_cells(spark, small, monkeypatch):
+    monkeypatch.setattr(cells, "CELL", 20)  # more cells than PROBES
+    assert len(cells.centres(A.vectors(spark, small))) > cells.PROBES
+    assert pairs(analytics.knn_cells_topk(spark, small)) == pairs(knn.top_k(A.vectors(spark, small), None, exclude_self=True))
+
+
+def test_expressions_agree_with_tiles_and_many_pairs_go_by_tiles(vectors, monkeypatch):
+    queries = vectors.where("id like 'v%0' or id in ('zero', 'none', 'twin')")
+    exact, by_expressions = pairs(knn.top_k(queries, vectors)), knn.top_k_by_expressions(queries, vectors)
+    assert pairs(by_expressions) == exact and len(exact) > 100
+    used = []
+    monkeypatch.setattr(knn, "top_k", lambda *a, **k: used.append(a))
+    monkeypatch.setattr(knn, "EXPRESSION_PAIRS", 1000)
+    knn.top_k_by_expressions(queries, vectors)
+    assert len(used) == 1

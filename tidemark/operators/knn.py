@@ -20,6 +20,8 @@ K = 3
 QUERY_TILE, HISTORY_TILE = 4096, 16_384
 #: Vectors that the form in expressions may broadcast.
 BROADCAST_VECTORS = 20_000
+#: Pairs that it may compute, each of which costs microseconds; its queries of a task, and blocks of its history.
+EXPRESSION_PAIRS, EXPRESSION_QUERIES, BLOCKS = 10_000_000, 100, 64
 
 #: Similarities are ranked at so many decimals unless told otherwise, so that ties don't hang on the order of sums.
 DECIMALS = 6
@@ -103,15 +105,28 @@ def top_k(queries: DataFrame, history: DataFrame | None, k: int = K, exclude_sel
 
 
 def top_k_by_expressions(queries: DataFrame, history: DataFrame, k: int = K, decimals: int | None = DECIMALS) -> DataFrame:
-    """As top_k, in expressions alone: every pair is computed in the JVM. A history over BROADCAST_VECTORS goes by tiles."""
-    if history.limit(BROADCAST_VECTORS + 1).count() > BROADCAST_VECTORS:
+    """As top_k, in expressions alone: every pair is computed in the JVM. A history over BROADCAST_VECTORS, or more than EXPRESSION_PAIRS, go by tiles."""
+    n, m = queries.count(), history.count()
+    if m > BROADCAST_VECTORS or n * m > EXPRESSION_PAIRS:
         return top_k(queries, history, k, decimals=decimals)
-    q = queries.select(F.col("id").alias("new_id"), F.col("embedding").alias("a")).where(V.norm(F.col("a")) > 0)
-    pairs = q.join(F.broadcast(history.select(F.col("id").alias("historical_id"), F.col("embedding").alias("b"))))
-    cosine = V.cosine(F.col("a"), F.col("b"))
-    scored = pairs.select("new_id", "historical_id", (cosine if decimals is None else F.round(cosine, decimals)).alias("similarity"))
+    def at_length_one(df: DataFrame) -> DataFrame:
+        known = df.where(F.col("embedding").isNotNull()).select("id", F.transform("embedding", lambda x: x.cast("double")).alias("e"), V.norm(F.col("embedding")).alias("norm"))
+        return known.withColumn("e", F.transform("e", lambda x: x / (F.col("norm") + V.EPSILON)))
+
+    q = at_length_one(queries).where("norm > 0").select(F.col("id").alias("new_id"), F.col("e").alias("a"))
+    # by number: each row is much work, and adaptive execution would put rows together by their size
+    q = q.repartition(max(1, -(-n // EXPRESSION_QUERIES)), "new_id")
+    dealt = at_length_one(history).groupBy(F.pmod(F.xxhash64("id"), F.lit(BLOCKS)).alias("block")).agg(F.collect_list(F.struct("id", "e")).alias("b"))
+
+    def scored(h: Column) -> Column:
+        cosine = V.dot(F.col("a"), h["e"])
+        return F.struct((-(cosine if decimals is None else F.round(cosine, decimals))).alias("s"), h["id"].alias("historical_id"))
+
+    # of each block its k best, so that no more are sorted and shuffled
+    best = F.slice(F.array_sort(F.transform("b", scored)), 1, k)
+    found = q.join(F.broadcast(dealt)).select("new_id", F.explode(best).alias("r")).select("new_id", "r.historical_id", (F.lit(0.0) - F.col("r.s")).alias("similarity"))
     rank = Window.partitionBy("new_id").orderBy(F.desc("similarity"), "historical_id")
-    return scored.withColumn("rank", F.row_number().over(rank)).where((F.col("rank") <= k) & (F.col("new_id") != F.col("historical_id")))
+    return found.withColumn("rank", F.row_number().over(rank)).where((F.col("rank") <= k) & (F.col("new_id") != F.col("historical_id")))
 
 
 def similarities(neighbours: DataFrame, model: str, k: int = K, now: Column | None = None) -> DataFrame:
