@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions import vectors as V
-from tidemark.operators.knn import DECIMALS, K, matrix, tile_best, unit
+from tidemark.operators.knn import DECIMALS, K, matrix, tile_best, top_k, unit
 
 #: Cells there are at most: centres go to every task. Vectors of a cell, about, below that.
 MOST_CELLS, CELL = 4096, 1000
@@ -74,10 +74,12 @@ def nearest(queries: DataFrame, index: DataFrame, found: np.ndarray, k: int = K,
     Both sides have id (string) and embedding; index has cell as well, and is best a written table. Zero queries and null
     vectors have no neighbours, a cell without vectors none to give. Equal similarities go by id.
     """
-    asked = _in_cells(queries, found, probes)
     sizes = {r["cell"]: r["count"] for r in index.groupBy("cell").count().collect()}  # a row a cell, MOST_CELLS at most
     if not sizes:
         return queries.sparkSession.createDataFrame([], "new_id string, historical_id string, similarity double, rank int")
+    if exclude_self and probes >= len(found):  # the whole index, whose tiles then needn't follow its cells: a query goes once to each
+        return top_k(queries, index.select("id", "embedding"), k, True, QUERY_TILE, CELL_TILE, decimals)
+    asked = _in_cells(queries, found, probes)
     tiles = F.create_map(*(F.lit(x) for c, n in sizes.items() for x in (c, -(-n // CELL_TILE))))
     blocks = max(1, -(-queries.count() // QUERY_TILE))
     part = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
