@@ -12,6 +12,9 @@ similarity 0.8 shares about EXPECTED of them. From where a shared key starts, th
 is held to its proportional budget, FAR / SEGMENTS bits (pigeonring filtering); what passes meets the whole ring's. Longer chains
 aren't tested in between: they would need more bits in each key's row. Of SMALL texts or fewer that share a key all pairs of close
 first chains are candidates. Of more, only a spanning forest by the first chain is, each key giving another. That is done within each batch already, so that a large group of copies is small before any shuffle.
+
+All this finds nearly all links and joins large groups early. Those that it misses are between two of its groups, and `completed` finds every
+one of them by an exact join of shingles on prefixes.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.llm import prefixes
 from tidemark.llm.common import discarded, map_batches, private, written
 from tidemark.llm.decontamination import word_hashes
 from tidemark.llm.graph import components
@@ -284,7 +288,28 @@ def grouped(rows: DataFrame, docs: DataFrame) -> DataFrame:
     first = prints.join(sure.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("bits", "node", F.coalesce("root", "node").alias("near"))
     found = written(first.join(joined.withColumnRenamed("node", "of"), F.col("near") == F.col("of"), "left").select("bits", "node", F.coalesce("root", "near").alias("root")), "groups")
     discarded(prints, pairs, sure, apart, wanted, joined)
-    return found
+    return completed(rows, docs, found)
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and text of wanted (_h, node; a written table)."""
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    return docs.join(few, F.col("h") == F.col("_h")).select("node", "text")
+
+
+def completed(rows: DataFrame, docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Groups found, joined by all links between them that the fingerprints missed: the exact join looks at every pair of texts of two groups."""
+    roots = written(rows.select("h", "bits").distinct().join(found.select("bits", "root"), "bits").groupBy("h").agg(F.min("root").alias("root")), "roots_of_texts")
+    pairs = written(prefixes.candidates(docs.select("h", "text"), roots, shingles_of, SIMILARITY, roots.count()), "prefix_pairs")
+    wanted = written(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().withColumn("_h", F.col("node")), "wanted_texts")
+    links = written(similar(pairs, texts_of(docs, wanted)), "prefix_links")
+    for c in ("u", "v"):
+        links = links.join(roots.select(F.col("h").alias(c), F.col("root").alias(f"root_{c}")), c)
+    joined = written(components(links.select(F.col("root_u").alias("u"), F.col("root_v").alias("v"))), "joined_roots")
+    whole = found.withColumnRenamed("root", "near").join(joined.withColumnRenamed("node", "of"), F.col("near") == F.col("of"), "left")
+    whole = written(whole.select("bits", "node", F.coalesce("root", "near").alias("root")), "groups")
+    discarded(found, roots, pairs, wanted, joined)
+    return whole
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
