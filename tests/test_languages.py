@@ -58,3 +58,14 @@ def test_feeds_without_a_language_are_judged_by_their_words(spark, small):
     df = spark.createDataFrame(rows, "feed_id string, feed_language string, episode_id string, title string, audio_url string, published long").withColumn("description", F.lit(""))
     got = feeds.newest_episodes(df, profiles=L.profiles(docs)).collect()
     assert sorted((r["feed_id"], r["episode_id"]) for r in got) == [("a", "4"), ("c", "3")]
+
+
+def test_no_trigram_is_shuffled_and_repeated_ids_agree(spark, small):
+    docs = A.table(spark, small, "documents").where("doc_id < 60").select("doc_id", "text", "lang").localCheckpoint()
+    learned = L.profiles(docs)
+    once = L.detected(docs, learned, "doc_id")
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "") or "gram" not in plan
+    both = L.detected(docs.union(docs.selectExpr("doc_id", "'' as text", "lang")), learned, "doc_id")  # the same texts in two rows each
+    rows = lambda df: sorted((r["doc_id"], r["language"], round(r["cost"], 9)) for r in df.collect())
+    assert rows(both) == rows(once)
