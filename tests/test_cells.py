@@ -92,3 +92,16 @@ def test_expressions_agree_with_tiles_and_many_pairs_go_by_tiles(vectors, monkey
     monkeypatch.setattr(knn, "EXPRESSION_PAIRS", 1000)
     knn.top_k_by_expressions(queries, vectors)
     assert len(used) == 1
+
+
+def test_the_best_of_a_tile_come_from_a_few_candidates():
+    r = np.random.default_rng(6)
+    h, q = knn.unit(r.normal(size=(3000, 16))), knn.unit(r.normal(size=(40, 16)))
+    h[100:140], h[2500:2520], q[3] = h[7], h[9], h[7]  # ties
+    for decimals in (None, 1, 6):
+        for k in (1, 3, 200):
+            row, column, s = knn.best_near(q, h, h.astype(np.float32), k, decimals)
+            exact = q @ h.T if decimals is None else np.round(q @ h.T, decimals)
+            x, y = knn.best_places(np.round(exact, 12), k)
+            assert np.allclose(s, exact[x, y], atol=1e-12) and (row == x).all() and (decimals is None or (column == y).all())
+    assert len(knn.near_places((q @ h.T).astype(np.float32), 3, knn.SINGLE)[0]) < 0.05 * len(q) * len(h)

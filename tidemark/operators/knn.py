@@ -23,6 +23,8 @@ BROADCAST_VECTORS = 20_000
 #: Pairs that it may compute, each of which costs microseconds; its queries of a task, and blocks of its history.
 EXPRESSION_PAIRS, EXPRESSION_QUERIES, BLOCKS = 10_000_000, 100, 64
 
+#: Parts of a history tile whose maxima bound the k best, and twice what single precision may cost a similarity, at most.
+STRIPES, SINGLE = 128, 1e-4
 #: Similarities are ranked at so many decimals unless told otherwise, so that ties don't hang on the order of sums.
 DECIMALS = 6
 
@@ -51,6 +53,32 @@ def best_places(s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row[place < k], column[place < k]
 
 
+def near_places(s: np.ndarray, k: int, slack: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of all that are up to slack under a bound that k of the row reach; in order. The bound is the least of the k
+    greatest maxima of STRIPES, which costs one look at each."""
+    n = s.shape[1]
+    width = n // STRIPES
+    if width < 2 or k > STRIPES:
+        row, column = np.nonzero(np.ones_like(s, bool))
+        return row, column
+    greatest = s[:, : width * STRIPES].reshape(len(s), STRIPES, width).max(axis=2)
+    bound = np.partition(greatest, STRIPES - k, axis=1)[:, STRIPES - k] - slack
+    return np.divmod(np.flatnonzero(s >= bound[:, None]), n)
+
+
+def best_near(q: np.ndarray, h: np.ndarray, single: np.ndarray, k: int, decimals: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and similarity of the k best of h for each of q, at length one; of equal ones the first. single is h in single precision, which rules out
+    nearly all; the rest are computed in double precision and rounded."""
+    slack = SINGLE + (0 if decimals is None else 10.0**-decimals)
+    row, column = near_places(q.astype(np.float32) @ single.T, k, slack)
+    s = np.concatenate([np.empty(0), *(np.einsum("ij,ij->i", q[row[a : a + 65_536]], h[column[a : a + 65_536]]) for a in range(0, len(row), 65_536))])
+    s = s if decimals is None else np.round(s, decimals)
+    order = np.lexsort((column, -s, row))
+    row, column, s = row[order], column[order], s[order]
+    best = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[best], column[best], s[best]
+
+
 def tile_best(k: int, decimals: int | None = None):
     """Of a tile of queries and one of the history, the k best of each query; ties go to the least id."""
 
@@ -61,13 +89,13 @@ def tile_best(k: int, decimals: int | None = None):
             known = np.flatnonzero(q.any(axis=1))  # a zero vector has no neighbours
             order = pc.array_sort_indices(own.combine_chunks()).to_numpy()
             h = unit(h[order])
+            single = h.astype(np.float32)
             for a in range(0, len(known), 256):
                 rows = known[a : a + 256]
-                s = unit(q[rows]) @ h.T
-                row, column = best_places(s if decimals is None else np.round(s, decimals), k)
+                row, column, s = best_near(unit(q[rows]), h, single, k, decimals)
                 number.append(rows[row])
                 names.append(order[column])
-                near.append(s[row, column] if decimals is None else np.round(s[row, column], decimals))
+                near.append(s)
         at = [np.concatenate(x) if x else np.empty(0, t) for x, t in ((number, np.int64), (names, np.int64), (near, np.float64))]
         return pa.table({"new_id": ids.take(pa.array(at[0])), "historical_id": own.take(pa.array(at[1])), "similarity": at[2]})
 
