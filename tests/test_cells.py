@@ -105,3 +105,12 @@ def test_the_best_of_a_tile_come_from_a_few_candidates():
             x, y = knn.best_places(np.round(exact, 12), k)
             assert np.allclose(s, exact[x, y], atol=1e-12) and (row == x).all() and (decimals is None or (column == y).all())
     assert len(knn.near_places((q @ h.T).astype(np.float32), 3, knn.SINGLE)[0]) < 0.05 * len(q) * len(h)
+
+
+def test_ids_of_one_table_are_computed_once(spark, vectors):
+    from tidemark.operators import ingest
+
+    found = knn.top_k(vectors, None).selectExpr("new_id as new_episode_id", "historical_id as historical_episode_id")
+    ids = ingest.distinct_ids(found, found)
+    assert ids._jdf.queryExecution().optimizedPlan().toString().count("FlatMapCoGroupsInArrow") == 1
+    assert sorted(r[0] for r in ids.collect()) == sorted({x for r in found.collect() for x in r})

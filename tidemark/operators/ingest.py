@@ -112,5 +112,8 @@ def poll_until_new(records: DataFrame, known: DataFrame, size: int, attempts: in
 
 def distinct_ids(new: DataFrame, old: DataFrame) -> DataFrame:
     """Distinct ids of new_episode_id and historical_episode_id; empty ones and "null" are no ids."""
-    both = new.select(F.col("new_episode_id").alias("episode_id")).union(old.select("historical_episode_id"))
+    if new is old:  # one table's ids of both kinds, computed once
+        both = new.select(F.explode(F.array("new_episode_id", "historical_episode_id")).alias("episode_id"))
+    else:
+        both = new.select(F.col("new_episode_id").alias("episode_id")).union(old.select("historical_episode_id"))
     return both.where(~F.col("episode_id").isin("", "null")).distinct()
