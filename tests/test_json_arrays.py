@@ -82,3 +82,29 @@ def test_many_tasks_read_one_array(spark, tmp_path):
     assert found.count() == 500 and len(tasks) > 1
     got = records.json_records(spark, f"file://{tmp_path}", schemas._struct("id string"))
     assert sorted(int(r["id"]) for r in got.collect()) == list(range(500))
+
+
+def test_one_look_gives_all_states():
+    r = random.Random(3)
+    for n in (1, 2, 3, 8, 40):
+        for _ in range(300):
+            data = np.frombuffer("".join(r.choices('a"\\\\{}[],', k=n)).encode(), np.uint8)
+            found = [J.read_states(data, s) for s in (J.OUTSIDE, J.INSIDE, J.ESCAPED)]
+            assert J.summary(data) == ([e for _, e in found], [int(s.sum()) for s, _ in found])
+
+
+def test_the_query_writes_a_file_a_task(spark, small):
+    """Not one for each 200 pages."""
+    from pathlib import Path
+
+    from tidemark.plans import ingestion
+
+    sf = small.replace("0.001", "0.1")
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(shared.glob("arrays-*"))
+    got = ingestion.json_array_items(spark, sf)
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    (new,) = set(shared.glob("arrays-*")) - before
+    assert len(list(new.rglob("part-*"))) <= pages.rdd.getNumPartitions()
+    want = pages.select("page_id", "url", F.length("html").cast("long").alias("n"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -291,13 +291,11 @@ def language_detected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT page_id, url, length(html) AS n FROM pages")
 def json_array_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as JSON arrays of 200, with other items between them, read back by ranges of bytes."""
+    """Pages as JSON arrays, one a task, with other items between them, read back by ranges of bytes."""
     at = f"{shared_folder(spark)}/arrays-{uuid.uuid4().hex}"
     item = F.concat(F.to_json(F.struct("page_id", "url", "html")), F.lit(', ["[{", 1], "}\\""'))
-    arrays = A.table(spark, sf_dir, "pages").groupBy(F.expr("page_id div 200").alias("block")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(item), ",\n"), F.lit("]")).alias("value"))
-    arrays.write.partitionBy("block").text(at)
-    files = listed(spark, f"{at}/*")
-    items = json_arrays.array_objects(files, 1 << 16).select(F.from_json("item", "page_id long, url string, html string").alias("r"))
+    json_arrays.as_arrays(A.table(spark, sf_dir, "pages").select(item.alias("value"))).write.text(at)
+    items = json_arrays.array_objects(listed(spark, at)).select(F.from_json("item", "page_id long, url string, html string").alias("r"))
     return items.select("r.page_id", "r.url", F.length("r.html").cast("long").alias("n"))
 
 

@@ -49,6 +49,23 @@ def read_states(data: np.ndarray, state: int) -> tuple[np.ndarray, int]:
     return steps, OUTSIDE if not inside[-1] else ESCAPED if open_slash else INSIDE
 
 
+def summary(data: np.ndarray) -> tuple[list[int], list[int]]:
+    """For each state that bytes may begin in, the state that they end in and their change of depth. They are looked through once, unless the
+    first is one that a backslash before them matters to."""
+    steps, end = read_states(data, OUTSIDE)
+    depth = int(steps.sum(dtype=np.int64))
+    counts = np.bincount(data, minlength=256)
+    whole = int(counts[ord("{")] + counts[ord("[")] - counts[ord("}")] - counts[ord("]")])
+    raw = data[-1024:].tobytes()
+    slashes = len(raw) - len(raw.rstrip(b"\\"))
+    if slashes == len(raw) or data[0] in b'"\\':
+        found = [(steps, end), *(read_states(data, s) for s in (INSIDE, ESCAPED))]
+        return [e for _, e in found], [int(x.sum(dtype=np.int64)) for x, _ in found]
+    # What is outside strings from the one state is inside from the other.
+    other = OUTSIDE if end != OUTSIDE else ESCAPED if slashes % 2 else INSIDE
+    return [end, other, other], [depth, whole - depth, whole - depth]
+
+
 class Cut:
     """Objects that begin at depth 1, from bytes that come one block after the other."""
 
@@ -77,6 +94,22 @@ class Cut:
             self.held = block[starts[-1] :]
 
 
+def as_arrays(items: DataFrame) -> DataFrame:
+    """Lines of one JSON array a task of items (value: JSON text), to be written as text: a file a task, whatever its size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = "["
+        for batch in batches:
+            lines = []
+            for x in batch.column("value").to_pylist():
+                lines.append(mark + x)
+                mark = ","
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if mark == "," else "[]"])], names=["value"])
+
+    return items.mapInArrow(run, "value string")
+
+
 def ranges_of(files: DataFrame, size: int) -> DataFrame:
     """path, length, k and start of each range of files (path, length)."""
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size).cast("long"))
@@ -96,8 +129,7 @@ def array_objects(files: DataFrame, size: int = RANGE, opener: Opener = opened)
                 with opener(r["path"]) as f:
                     f.seek(r["start"])
                     data = np.frombuffer(f.read(min(size, r["length"] - r["start"])), np.uint8)
-                found = [read_states(data, s) for s in (OUTSIDE, INSIDE, ESCAPED)]
-                row = r | {"ends": [e for _, e in found], "changes": [int(s.sum(dtype=np.int64)) for s, _ in found]}
+                row = r | dict(zip(("ends", "changes"), summary(data), strict=True))
                 yield pa.RecordBatch.from_pylist([row], pa.schema([("path", pa.string()), ("k", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ends", pa.list_(pa.int32())), ("changes", pa.list_(pa.int64()))]))
 
     def composed(rows: pd.DataFrame) -> pd.DataFrame:
