@@ -87,3 +87,40 @@ def test_prefixes_hold_every_similar_pair(spark, monkeypatch, tile):
     want = {(a, b) for a, b in similar_pairs(sets_of(texts)) if root[a] != root[b]}
     assert len(want) > 50 and want <= got and all(root[a] != root[b] for a, b in got)
     assert len(P.common_elements(rows.select("h", "text"), N.shingles_of, len(texts))) >= 26
+
+
+def test_strangers_make_no_pairs(spark, monkeypatch):
+    """Texts of 60 roots share twelve shingles of 116, and 40 of one root share nearly all: none is a pair."""
+    monkeypatch.setattr(P, "MANY", 1000)  # no shingle is learned as common
+    draw = np.random.default_rng(6)
+    lines = [" ".join(f"c{k}w{i}" for i in range(5)) for k in range(12)]
+    texts = []
+    for _ in range(60):
+        own = [f"w{int(x)}" for x in draw.integers(0, 9000, 60)]
+        texts.append(" ".join(" ".join([*own[5 * k : 5 * k + 5], lines[k]]) for k in range(12)))
+    texts += [f"{texts[0]} e{i}" for i in range(40)]
+    rows = spark.createDataFrame([(i, t, i if i < 60 else 0) for i, t in enumerate(texts)], "h long, text string, root long")
+    assert P.candidates(rows.select("h", "text"), rows.select("h", "root"), N.shingles_of, N.SIMILARITY, len(texts)).count() == 0
+
+
+def test_keys_are_as_many_for_any_corpus():
+    assert len({len(N.key_plan(n)[1]) for n in (0, 1_000, 10**6, 10**11)}) == 1
+
+
+def test_sketches_never_differ_in_more_than_the_sets():
+    """Of any lengths that one power of two is between, longest and shortest among them."""
+    import pyarrow as pa
+
+    draw = np.random.default_rng(7)
+    sets = []
+    for n in (1, 3, 120, 500, 520, 1_000, 1_030, 2_040, 2_060, 9_000):
+        base = draw.integers(0, 1 << 63, n).astype(np.uint64)
+        sets += [np.unique(np.concatenate((base[k:], draw.integers(0, 1 << 63, k).astype(np.uint64)))) for k in (0, n // 20, n // 9, n)]
+    of = P._Sketches(pa.array([P.sketch(x) for x in sets], pa.binary()))
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if 0.8 * max(len(sets[a]), len(sets[b])) <= min(len(sets[a]), len(sets[b]))]
+    x, y = (np.array(c) for c in zip(*pairs, strict=True))
+    bits = of.differing(x, y)
+    apart = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in pairs])
+    assert (bits <= apart).all() and (bits % 2 == apart % 2).all()
+    strangers = np.array([not len(np.intersect1d(sets[a], sets[b])) and 120 < len(sets[a]) < 9_000 for a, b in pairs])
+    assert strangers.sum() > 10 and (bits[strangers] > 2 * apart[strangers] / 9).all()

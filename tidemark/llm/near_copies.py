@@ -7,13 +7,12 @@ of SURE bits at most, five deviations under it, are linked as they are. Between
 unless both are linked by others already.
 
 The bits lie on a ring. A key is a run of consecutive bits; its width grows with the logarithm of the number of
-texts, so that strangers seldom share one, and the number of keys grows so that a pair of
-similarity 0.8 shares about EXPECTED of them. From where a shared key starts, the ring is cut into SEGMENTS, and the first chain
+texts, so that strangers seldom share one, and there are KEYS of them. From where a shared key starts, the ring is cut into SEGMENTS, and the first chain
 is held to its proportional budget, FAR / SEGMENTS bits (pigeonring filtering); what passes meets the whole ring's. Longer chains
 aren't tested in between: they would need more bits in each key's row. Of SMALL texts or fewer that share a key all pairs of close
 first chains are candidates. Of more, only a spanning forest by the first chain is, each key giving another. That is done within each batch already, so that a large group of copies is small before any shuffle.
 
-All this finds nearly all links and joins large groups early. Those that it misses are between two of its groups, and `completed` finds every
+All this finds most links and joins large groups early. Those that it misses are between two of its groups, and `completed` finds every
 one of them by an exact join of shingles on prefixes.
 """
 
@@ -40,8 +39,8 @@ SEGMENTS = 8
 DIFFERING = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi
 _DEVIATION = math.sqrt(BITS * DIFFERING * (1 - DIFFERING))
 SURE, FAR = int(BITS * DIFFERING - 5 * _DEVIATION), int(BITS * DIFFERING + 2.5 * _DEVIATION)
-#: Keys that a pair at SIMILARITY shares on average. A hundredth of such pairs share none whose first chain is close.
-EXPECTED = 4.6
+#: Keys of a text, however many texts there are: a pair at SIMILARITY shares about two of them among 40,000 texts, a closer one more. Of pairs that share none, the exact join finds all.
+KEYS = 32
 #: Texts that share a key of which all pairs are candidates: over all, and of those of one batch, where more show a large group.
 SMALL, SMALL_IN_BATCH = 16, 4
 LEAST_WIDTH, MOST_WIDTH = 16, 60
@@ -98,8 +97,7 @@ def wide_fingerprint(text: str | None) -> bytes:
 def key_plan(texts: int) -> tuple[int, np.ndarray]:
     """The width of keys for so many texts, and where on the ring they start."""
     width = min(MOST_WIDTH, max(LEAST_WIDTH, math.ceil(math.log2(max(2, texts))) + 1))
-    keys = math.ceil(EXPECTED / (1 - DIFFERING) ** width)
-    return width, (np.arange(keys) * BITS // keys).astype(np.int64)
+    return width, (np.arange(KEYS) * BITS // KEYS).astype(np.int64)
 
 
 def run_of_bits(bits: np.ndarray, start: int, width: int) -> np.ndarray:
@@ -300,7 +298,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def completed(rows: DataFrame, docs: DataFrame, found: DataFrame) -> DataFrame:
     """Groups found, joined by all links between them that the fingerprints missed: the exact join looks at every pair of texts of two groups."""
     roots = written(rows.select("h", "bits").distinct().join(found.select("bits", "root"), "bits").groupBy("h").agg(F.min("root").alias("root")), "roots_of_texts")
-    pairs = written(prefixes.candidates(docs.select("h", "text"), roots, shingles_of, SIMILARITY, roots.count()), "prefix_pairs")
+    pairs = prefixes.candidates(docs.select("h", "text"), roots, shingles_of, SIMILARITY, roots.count())
     wanted = written(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().withColumn("_h", F.col("node")), "wanted_texts")
     links = written(similar(pairs, texts_of(docs, wanted)), "prefix_links")
     for c in ("u", "v"):
