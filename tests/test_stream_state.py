@@ -5,9 +5,11 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tidemark.functions import events as E
 from tidemark.operators import merges
+from tidemark.plans import streams
 from tidemark.streaming import deltas as D
 from tidemark.streaming import events as S
 from tidemark.streaming import once as O
@@ -166,6 +168,52 @@ def test_a_long_table_goes_by_ranges_of_whole_triggers(spark, tmp_path):
     assert len(R.ranges_of(again, "id", most=100, streams=3, triggers=2)) == 1  # offsets repeat
 
 
+class Sources(StreamingQueryListener):
+    """What the streams that ran read."""
+
+    def __init__(self):
+        self.found = set()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.found |= {(str(event.progress.id), s.description) for s in event.progress.sources}
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def test_rated_events_need_no_process_a_stream_and_no_reader_but_spark(spark, tmp_path, monkeypatch):
+    """By a path that only Spark opens, three streams and none of them with a Python process; ids repeat and are null."""
+    spark.range(0, 970, 1, 5).selectExpr("IF(id % 97 = 0, NULL, (id * 31) % 970 DIV 3) AS event_id", "'view' AS event_type", "'x' AS props").write.parquet(f"file://{tmp_path}/events.parquet")
+    ids = sorted((r["event_id"] for r in spark.read.parquet(f"file://{tmp_path}/events.parquet").collect()), key=lambda x: (x is None, x))
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.rated.link./in", f"file://{tmp_path}")
+    monkeypatch.setattr(streams, "A_TRIGGER", 20)
+    spark.streams.addListener(listener := Sources())
+    try:
+        got = streams.rated_events(spark, "viewfs://rated/in").collect()
+        time.sleep(1)
+    finally:
+        spark.streams.removeListener(listener)
+    order = lambda x: (x[0], x[1] is None, x[1])
+    assert sorted(((r["batch"], r["event_id"]) for r in got), key=order) == [(k // 20, x) for k, x in enumerate(ids)]
+    assert len(listener.found) == 3 and not [x for _, x in listener.found if "Python" in x]
+
+
+def test_files_of_a_trigger_are_taken_in_the_order_of_offsets(spark, tmp_path):
+    table = spark.range(0, 1010, 1, 7).select(((F.col("id") * 397) % 1010).alias("at"))
+    found, batches = R.cut(table, "at", most=100, streams=3, triggers=2), {}
+    assert [first for _, first in found] == [0, 4, 8]
+    for folder, first in found:
+        R.file_a_trigger(spark, folder, "at long").writeStream.foreachBatch(lambda b, n, first=first: batches.setdefault(first + n, sorted(r["at"] for r in b.collect()))).option("checkpointLocation", f"file://{tmp_path}/c{first}").trigger(availableNow=True).start().awaitTermination()
+    assert batches == {k: list(range(100 * k, min(100 * k + 100, 1010))) for k in range(11)}
+    assert R.cut(table.where("false"), "at") == []
+
+
 def test_a_bucket_of_ids_is_one_call_and_one_state():
     import pandas as pd
 
